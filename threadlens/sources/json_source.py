@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.functions.timefmt import utc_month, utc_year
 from threadlens.sources.schema import COMMENT_COLUMNS, CORRUPT_COLUMN, RAW_COMMENT_SCHEMA
@@ -21,7 +22,8 @@ def read_raw_comments(spark: SparkSession, path: str, keep_corrupt: bool = True)
     schema = RAW_COMMENT_SCHEMA
     reader = spark.read.option("mode", "PERMISSIVE")
     if keep_corrupt:
-        schema = schema.add(CORRUPT_COLUMN, "string")
+        # a new StructType: .add() would mutate the shared schema in place
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.schema(schema).json(path)
 
@@ -40,8 +42,12 @@ def typed_comments(raw: DataFrame) -> DataFrame:
 
 
 def dead_letters(raw: DataFrame) -> DataFrame:
-    """Rows of a raw read that did not parse."""
-    return raw.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    """Rows of a raw read that did not parse, with the file they came from.
+
+    Spark rejects a scan whose only referenced column is the corrupt record,
+    so ``raw`` must be a persisted read (as in ``ingest``)."""
+    return (raw.filter(F.col(CORRUPT_COLUMN).isNotNull())
+            .withColumn("source_file", F.input_file_name()))
 
 
 def with_month(df: DataFrame, epoch_col: str = "created_utc") -> DataFrame:
@@ -66,6 +72,20 @@ def write_comments_parquet(comments: DataFrame, path: str, mode: str = "errorife
      .write.mode(mode).partitionBy("year", "month").parquet(path))
 
 
+def ingest(spark: SparkSession, source: str, out: str, dead_out: str, mode: str = "errorifexists",
+           num_files: int | None = None) -> None:
+    """The ingest job: every dump file under ``source`` (glob or folder) in one
+    pass.  The parsed read is persisted once (memory, spilling to disk) and feeds
+    both outputs: typed comments and the dead-letter rows."""
+    from pyspark import StorageLevel
+    raw = read_raw_comments(spark, source).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_comments_parquet(typed_comments(raw), out, mode=mode, num_files=num_files)
+        dead_letters(raw).write.mode(mode).json(dead_out)
+    finally:
+        raw.unpersist()
+
+
 def read_comments_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
