@@ -72,21 +72,35 @@ def leaders(edges: DataFrame, kind: str = "indegree") -> DataFrame:
                          [F.col("rank").desc(), F.col("author")], 1)
 
 
+def all_degrees(edges: DataFrame) -> DataFrame:
+    """(kind, subreddit, author, rank) for both kinds from one pass over the
+    edges: every edge yields an in-degree row for its parent's author and an
+    out-degree row for the reply's author, and one partially aggregated
+    shuffle counts both.  The self-join upstream therefore runs once."""
+    sides = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(col).alias("author"))
+                      for kind, col in DEGREE_SIDES.items()])
+    return (edges.select(F.col("Subreddit").alias("subreddit"), F.explode(sides).alias("s"))
+            .groupBy(F.col("s.kind").alias("kind"), "subreddit", F.col("s.author").alias("author"))
+            .agg(F.count(F.lit(1)).alias("rank")))
+
+
 def engagement(edges: DataFrame) -> DataFrame:
     """Per subreddit: most influential (in-degree) and most active (out-degree)
-    author.  Both inputs come out of windows partitioned by subreddit, so the
-    full outer join reuses that partitioning."""
-    top_in = leaders(edges, "indegree").select(
-        "subreddit", F.col("author").alias("influential_user"), F.col("rank").alias("influence"))
-    top_out = leaders(edges, "outdegree").select(
-        "subreddit", F.col("author").alias("active_user"), F.col("rank").alias("activity"))
-    return top_in.join(top_out, "subreddit", "full_outer")
+    author.  Both leaders come from one degree pass and one top-1 window per
+    (kind, subreddit); the final pivot groups at most two rows per subreddit.
+    A subreddit appears when it has any edge, and every edge feeds both kinds,
+    so this equals a full outer join of the two leader lists."""
+    top = top_per_group(all_degrees(edges), ["kind", "subreddit"],
+                        [F.col("rank").desc(), F.col("author")], 1)
+    is_in = F.col("kind") == "indegree"
+    pick = lambda cond, col: F.max(F.when(cond, F.col(col)))  # noqa: E731 - one row per kind
+    return top.groupBy("subreddit").agg(
+        pick(is_in, "author").alias("influential_user"), pick(is_in, "rank").alias("influence"),
+        pick(~is_in, "author").alias("active_user"), pick(~is_in, "rank").alias("activity"))
 
 
 def degree_export(edges: DataFrame) -> DataFrame:
-    """In- and out-degree rows together, in the download's field names."""
-    parts = [degrees(edges, kind).select(F.lit(kind).alias("kind"), "subreddit",
-                                         F.col("author").alias("user"),
-                                         F.col("rank").alias("influence"))
-             for kind in ("indegree", "outdegree")]
-    return parts[0].unionByName(parts[1])
+    """In- and out-degree rows together, in the download's field names (one
+    degree pass, so the union costs no second join)."""
+    return all_degrees(edges).select("kind", "subreddit", F.col("author").alias("user"),
+                                     F.col("rank").alias("influence"))

@@ -21,9 +21,12 @@ def upsert_latest(rows: DataFrame, keys: Sequence[str], version: Sequence[Column
 
 
 def clustered(table: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Storage order of a clustered table: partition by ``keys``, rows sorted
-    inside each task (readers still sort explicitly)."""
-    return table.repartition(*keys).sortWithinPartitions(*keys, *order)
+    """Storage order of a clustered table (partition key, then clustering
+    columns).  Range partitioning on the whole order cuts a hot key across
+    several files instead of one task; rows are sorted inside each file
+    (readers still sort explicitly)."""
+    cols = [F.col(k) for k in keys] + list(order)
+    return table.repartitionByRange(*cols).sortWithinPartitions(*cols)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:

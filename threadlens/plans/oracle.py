@@ -184,6 +184,7 @@ SELECT year, month, total_comments, distinct_authors, concat_ws('-', year, month
 FROM stats100 WHERE subreddit = 'sub_0'""",
 
     "q_edges": _with(COMMENTS, EDGES) + "SELECT * FROM edges",
+    "q_outdegree_sql": _with(COMMENTS, EDGES) + "SELECT * FROM outdeg",
     "q_indegree": _with(COMMENTS, EDGES) + "SELECT * FROM indeg",
     "q_outdegree": _with(COMMENTS, EDGES) + "SELECT * FROM outdeg",
     "q_top_influential": _with(COMMENTS, EDGES) +
@@ -254,6 +255,11 @@ SELECT arrived_at AS secslot, subreddit, author, created_utc, body FROM recs
 WHERE arrived_at = (SELECT max(arrived_at) FROM recs)
 ORDER BY created_utc, author, body LIMIT 20""",
 
+    "q_archive": _with(COMMENTS, RECS) + """
+SELECT author, parent_id, score, name, subreddit, 'http://www.reddit.com/' || split_part(link_id, 't3_', 2) AS link_url,
+       created_utc, body, "offset", arrived_at
+FROM recs""",
+
     "q_stream_dedup": _with(COMMENTS) + f"""
 SELECT id, name, author, subreddit, parent_id, link_id, body, score, created_utc, {b36('id')} AS code
 FROM comments""",
@@ -268,3 +274,5 @@ SELECT {_label('s')} AS minuteslot, subreddit, count FROM (
   FROM live GROUP BY 1, 2)
 WHERE s + 60 > (SELECT max(created_utc) FROM recs) - 300""",
 }
+
+ORACLE["q_snapshot_sql"] = ORACLE["q_snapshot"]

@@ -104,6 +104,13 @@ def q_trend(spark, sf):
     return snapshot.subreddit_trend(_stats_table(spark, sf), TREND_SUBREDDIT)
 
 
+def q_snapshot_sql(spark, sf):
+    """The snapshot through temp views and ``spark.sql``."""
+    from threadlens.plans import sql
+    sql.register_views(spark, _comments(spark, sf))
+    return spark.sql(sql.snapshot_sql(SNAPSHOT_TOP_N))
+
+
 # ---- graph ------------------------------------------------------------------
 
 def q_edges(spark, sf):
@@ -123,6 +130,13 @@ def _leader_view(spark, sf, kind):
         "subreddit", F.col("rank").alias("influence"), F.col("author").alias("user"))
 
 
+def q_outdegree_sql(spark, sf):
+    """Out-degree through the ``self_join`` view and ``spark.sql``."""
+    from threadlens.plans import sql
+    sql.register_views(spark, _comments(spark, sf))
+    return spark.sql(sql.degree_sql("outdegree"))
+
+
 def q_top_influential(spark, sf):
     return _leader_view(spark, sf, "indegree")
 
@@ -261,6 +275,18 @@ def q_live(spark, sf):
     return live.read_feed(table)
 
 
+def q_archive(spark, sf):
+    """Live records archived by a streaming JSON file sink, read back."""
+    src = _landed_records(spark, sf)
+    out = scratch_path(spark, "archive")
+    q = live_stream.start_archive(live_stream.file_source(spark, src), out, scratch_path(spark, "archive-ckpt"))
+    q.awaitTermination()
+    schema = "author string, parent_id string, score bigint, name string, subreddit string, " \
+             "link_url string, created_utc bigint, body string, offset bigint, arrived_at bigint"
+    cols = [c.split()[0] for c in schema.split(", ")]
+    return spark.read.schema(schema).json(out).select(*cols)
+
+
 def q_stream_dedup(spark, sf):
     pages = scratch_path(spark, "pages")
     live_stream.land_pages(live.pages_from_records(fixtures.load_comments(spark, sf, with_arrival=True)),

@@ -16,16 +16,21 @@ from threadlens.functions.timefmt import utc_month, utc_year
 from threadlens.sources.schema import COMMENT_COLUMNS, CORRUPT_COLUMN, RAW_COMMENT_SCHEMA
 
 
-def read_raw_comments(spark: SparkSession, path: str, keep_corrupt: bool = True) -> DataFrame:
+def read_raw_comments(spark: SparkSession, path: str, keep_corrupt: bool = True,
+                      with_source: bool = False) -> DataFrame:
     """JSON lines with the declared schema; a missing field reads as NULL and an
-    unparsable line keeps its text in ``_corrupt_record`` (PERMISSIVE mode)."""
+    unparsable line keeps its text in ``_corrupt_record`` (PERMISSIVE mode).
+    ``with_source`` adds ``source_file``, the dump's file name (its month)."""
     schema = RAW_COMMENT_SCHEMA
     reader = spark.read.option("mode", "PERMISSIVE")
     if keep_corrupt:
         # a new StructType: .add() would mutate the shared schema in place
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    return reader.schema(schema).json(path)
+    df = reader.schema(schema).json(path)
+    if with_source:
+        df = df.withColumn("source_file", table_name_of(F.input_file_name()))
+    return df
 
 
 def convert_column(df: DataFrame, name: str, new_type: str) -> DataFrame:
