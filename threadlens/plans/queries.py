@@ -55,8 +55,10 @@ def q_ingest(spark, sf):
     """Raw JSON lines -> declared-schema read -> cast -> month-partitioned Parquet."""
     comments = _comments(spark, sf)
     raw_dir = scratch_path(spark, "raw-json")
+    # land the dump as several files, as monthly dumps arrive
     (comments.withColumn("created_utc", F.col("created_utc").cast("string"))
-     .select(*RAW_COMMENT_SCHEMA.fieldNames()).write.json(raw_dir))
+     .select(*RAW_COMMENT_SCHEMA.fieldNames())
+     .repartition(spark.sparkContext.defaultParallelism).write.json(raw_dir))
     typed = json_source.typed_comments(json_source.read_raw_comments(spark, raw_dir))
     out = scratch_path(spark, "comments-parquet")
     json_source.write_comments_parquet(typed, out)
