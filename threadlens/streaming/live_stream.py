@@ -59,13 +59,30 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
                                 F.col("value").cast("string").alias("value"))
 
 
-def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str | None):
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str | None,
+           spark: SparkSession | None = None, state_partitions: int | None = None):
+    """Start a query.  For a stateful query, ``state_partitions`` fixes the
+    number of state-store partitions: Spark records it in the checkpoint at
+    the first start and keeps it on every restart.  The default is the
+    cluster's total cores; the session setting is restored right after start
+    (the stream runs on its own clone of the session)."""
     w = df_writer.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    if spark is None:
+        return w.start()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, old)
 
 
 # ---- feed: parse, dead letters, per-second feed table ---------------------
@@ -112,7 +129,8 @@ def slot_trend_counts(records: DataFrame, key: str, time_col: str = "created_utc
 def start_slot_trends(records: DataFrame, key: str, sink_path: str, checkpoint: str,
                       time_col: str = "created_utc", slot_seconds: int = 60, k: int = live.TOP_K,
                       delay: str = "2 minutes", available_now: bool = True,
-                      processing_time: str | None = None) -> StreamingQuery:
+                      processing_time: str | None = None,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """Top ``k`` keys of every closed slot.
 
     Append mode emits a slot once, in the batch whose watermark closes it, so
@@ -131,7 +149,7 @@ def start_slot_trends(records: DataFrame, key: str, sink_path: str, checkpoint:
                .repartition("day").sortWithinPartitions("minuteslot", "rank"))
         overwrite_partitions(out, sink_path, ["day", "batch"])
     return _start(counts.writeStream.outputMode("append").foreachBatch(write),
-                  checkpoint, available_now, processing_time)
+                  checkpoint, available_now, processing_time, records.sparkSession, state_partitions)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -146,7 +164,7 @@ def land_pages(pages: DataFrame, path: str) -> None:
 
 def start_dedup(spark: SparkSession, pages_path: str, sink_path: str, checkpoint: str,
                 delay: str = "10 minutes", available_now: bool = True,
-                processing_time: str | None = None) -> StreamingQuery:
+                processing_time: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Flatten landed listing pages and drop comments already seen, keyed by id,
     with state bounded by the watermark (``dropDuplicatesWithinWatermark``).
     A repeat carries the same created_utc as the first copy, so event time is
@@ -159,7 +177,7 @@ def start_dedup(spark: SparkSession, pages_path: str, sink_path: str, checkpoint
             .dropDuplicatesWithinWatermark(["id"])
             .drop("page", "polled_at", "event_time"))
     w = rows.writeStream.format("parquet").option("path", sink_path).outputMode("append")
-    return _start(w, checkpoint, available_now, processing_time)
+    return _start(w, checkpoint, available_now, processing_time, spark, state_partitions)
 
 
 # ---- rolling JSON archive -----------------------------------------------------
