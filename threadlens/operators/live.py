@@ -173,7 +173,3 @@ def distinct_comments(rows: DataFrame) -> DataFrame:
     """Overlapping polls collapsed to one row per comment id."""
     return rows.dropDuplicates(["id"]).drop("page", "polled_at")
 
-
-def slot_bounds(epoch_col: str, slot_seconds: int) -> tuple[Column, Column]:
-    start = slot_start(epoch_col, slot_seconds)
-    return start, start + F.lit(slot_seconds)

@@ -34,6 +34,3 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 
-
-def with_expiry(df: DataFrame, written_at: Column, ttl_seconds: int) -> DataFrame:
-    return df.withColumn("expires_at", written_at + F.lit(ttl_seconds))
