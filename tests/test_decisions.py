@@ -159,3 +159,16 @@ def test_upsert_last_write_wins(spark):
                                "key string, version int, v string")
     out = {r.key: r.v for r in upsert_latest(df, ["key"], [F.col("version")]).collect()}
     assert out == {"k": "new", "j": "only"}
+
+
+def test_fixture_epochs_do_not_depend_on_session_zone(spark):
+    from conftest import SF001
+    from threadlens.sources import fixtures
+    cols = ["id", "created_utc", "retrieved_on"]
+    utc = sorted(fixtures.load_comments(spark, SF001).select(*cols).collect())
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        other = sorted(fixtures.load_comments(spark, SF001).select(*cols).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other

@@ -55,3 +55,13 @@ def test_source_file_is_the_dump_name(spark):
     raw = json_source.read_raw_comments(spark, f"{dump}/RC_2024-01", with_source=True)
     names = {r.source_file for r in raw.select("source_file").distinct().collect()}
     assert len(names) == 1 and next(iter(names)).startswith("part-")
+
+
+def test_scale_conf_sizes_partitions():
+    from threadlens.session import scale_conf
+    small = scale_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(100 * (1 << 40), 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    mid = scale_conf(1 << 40, 1000)
+    assert mid["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))

@@ -75,7 +75,7 @@ def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode
 
 
 def main(argv: list[str] | None = None) -> None:
-    from threadlens.session import build_session
+    from threadlens.session import build_session, scale_conf
     p = argparse.ArgumentParser(prog="threadlens.jobs")
     sub = p.add_subparsers(dest="job", required=True)
     a = sub.add_parser("ingest"); a.add_argument("source"); a.add_argument("out"); a.add_argument("dead_out")
@@ -85,8 +85,12 @@ def main(argv: list[str] | None = None) -> None:
     for arg in ("comments", "edges", "out"):
         r.add_argument(arg)
     r.add_argument("--block-list"); r.add_argument("--by", default="outdegree")
+    p.add_argument("--input-bytes", type=int, help="input volume, sizes shuffle partitions")
     args = p.parse_args(argv)
     spark = build_session(app_name=f"threadlens-{args.job}")
+    if args.input_bytes:
+        for k, v in scale_conf(args.input_bytes, spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(k, v)
     if args.job == "ingest":
         ingest_job(spark, args.source, args.out, args.dead_out)
     elif args.job == "recommend":

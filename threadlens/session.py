@@ -8,6 +8,7 @@ laptops) gets a private temporary folder.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -49,6 +50,26 @@ def build_session(master: str | None = None, app_name: str = "threadlens",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a job over ``input_bytes`` of input.
+
+    The initial shuffle partition count is at least twice the cores and about
+    one partition per ``partition_bytes`` of input, so that every reducer's
+    share fits in executor memory before AQE coalesces small partitions to
+    the advisory size.  The count is capped at ``max_partitions`` (map x
+    reduce shuffle blocks).  Scan splits and the skew threshold use the same
+    unit.
+    """
+    n = min(max_partitions, max(2 * total_cores, math.ceil(input_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
