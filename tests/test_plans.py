@@ -17,10 +17,13 @@ def test_no_python_evaluation(spark, name):
     assert python_nodes(entry_mod.queries()[name](spark, SF001)) == []
 
 
-def test_keyed_read_pushes_author_filter(spark, tmp_path):
+@pytest.mark.parametrize("layout", ["local", "range"])
+def test_keyed_read_pushes_author_filter(spark, tmp_path, layout):
     from threadlens.sources import json_source
     out = str(tmp_path / "c")
-    json_source.write_comments_parquet(fixtures.load_comments(spark, SF001), out)
+    json_source.write_comments_parquet(fixtures.load_comments(spark, SF001), out, layout=layout)
+    assert history.author_posts(json_source.read_comments_parquet(spark, out), "u8").count() == \
+        history.author_posts(fixtures.load_comments(spark, SF001), "u8").count()
     df = history.author_posts(json_source.read_comments_parquet(spark, out), "u8")
     assert any("EqualTo(author,u8)" in f for f in pushed_filters(df))
     # five projected columns (plus partition columns), not all twenty

@@ -60,32 +60,42 @@ def with_month(df: DataFrame, epoch_col: str = "created_utc") -> DataFrame:
 
 
 def write_comments_parquet(comments: DataFrame, path: str, mode: str = "errorifexists",
-                           cluster_by: str = "author", num_files: int | None = None) -> None:
-    """Write typed comments partitioned by (year, month).
-
-    Rows are range-partitioned on (year, month, ``cluster_by``, created_utc, id)
-    and sorted within each task, so every file holds a narrow ``cluster_by``
-    range and Parquet min/max statistics skip most row groups of a keyed read
-    (all posts of one author).  Because the range key ends in created_utc and
-    id, one author or one month holding a third of all rows is still cut into
-    many tasks by the sampled range bounds.
+                           cluster_by: str = "author", layout: str = "local",
+                           num_files: int | None = None) -> None:
+    """Write typed comments partitioned by (year, month), rows ordered by
+    (``cluster_by``, created_utc, id) inside every file.
+
+    ``layout="local"`` (default) sorts each input split and writes it: one
+    pass, no shuffle, nothing a hot author or month can skew.  Each row group
+    covers a narrow ``cluster_by`` range, so Parquet min/max statistics skip
+    most row groups of a keyed read (all posts of one author), though every
+    file footer is consulted.
+
+    ``layout="range"`` range-partitions on the same key first, so each file
+    holds a disjoint key range and a keyed read opens few files.  Spark
+    samples the input for the range bounds (an extra pass over the upstream
+    plan), and because the key ends in created_utc and id, a hot author is
+    still cut across several tasks.
     """
     keys = ["year", "month", cluster_by, "created_utc", "id"]
     df = with_month(comments)
-    df = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    if layout == "range":
+        df = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    elif layout != "local":
+        raise ValueError(f"unknown layout {layout!r}")
     (df.sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy("year", "month").parquet(path))
 
 
 def ingest(spark: SparkSession, source: str, out: str, dead_out: str, mode: str = "errorifexists",
-           num_files: int | None = None) -> None:
+           layout: str = "local") -> None:
     """The ingest job: every dump file under ``source`` (glob or folder) in one
     pass.  The parsed read is persisted once (memory, spilling to disk) and feeds
     both outputs: typed comments and the dead-letter rows."""
     from pyspark import StorageLevel
     raw = read_raw_comments(spark, source).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_comments_parquet(typed_comments(raw), out, mode=mode, num_files=num_files)
+        write_comments_parquet(typed_comments(raw), out, mode=mode, layout=layout)
         dead_letters(raw).write.mode(mode).json(dead_out)
     finally:
         raw.unpersist()
