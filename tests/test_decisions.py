@@ -172,3 +172,14 @@ def test_fixture_epochs_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
+
+
+def test_approximate_distinct_counts_close_to_exact(spark):
+    from conftest import SF01
+    from threadlens.sources import fixtures
+    c = fixtures.load_comments(spark, SF01)
+    exact = {(r.year, r.month, r.subreddit): r.distinct_authors for r in snapshot.monthly_stats(c).collect()}
+    approx = {(r.year, r.month, r.subreddit): r.distinct_authors
+              for r in snapshot.monthly_stats(c, exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(2, 0.1 * v) for k, v in exact.items())

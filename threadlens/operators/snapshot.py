@@ -13,7 +13,7 @@ STAT_COLUMNS = ["year", "month", "subreddit", "total_comments", "distinct_author
                 "comments_per_distinct_submission"]
 
 
-def monthly_stats(comments: DataFrame) -> DataFrame:
+def monthly_stats(comments: DataFrame, exact: bool = True, rsd: float = 0.02) -> DataFrame:
     """Comments, distinct authors and distinct submissions per (year, month,
     subreddit), with the two ratios.
 
@@ -21,14 +21,20 @@ def monthly_stats(comments: DataFrame) -> DataFrame:
     aggregate: partial aggregation dedupes (group, value) pairs inside each map
     task, and the shuffle key includes the distinct value, so a hot subreddit
     is spread over many reducers.  A ratio with no distinct value is NULL.
+
+    ``exact=False`` swaps both distinct counts for HyperLogLog sketches
+    (``approx_count_distinct`` with relative error ``rsd``): one fixed-size
+    buffer per group and no Expand, for dashboards over the full history.
     """
+    distinct = (lambda c, name: F.count_distinct(c).alias(name)) if exact else \
+        (lambda c, name: F.approx_count_distinct(c, rsd).alias(name))
     grouped = (comments
                .select(utc_year("created_utc").alias("year"), utc_month("created_utc").alias("month"),
                        "subreddit", "author", "link_id")
                .groupBy("year", "month", "subreddit")
                .agg(F.count(F.lit(1)).alias("total_comments"),
-                    F.count_distinct("author").alias("distinct_authors"),
-                    F.count_distinct("link_id").alias("distinct_submissions")))
+                    distinct("author", "distinct_authors"),
+                    distinct("link_id", "distinct_submissions")))
     return grouped.select(
         *STAT_COLUMNS[:6],
         F.try_divide(F.col("total_comments").cast("double"), F.col("distinct_authors"))
