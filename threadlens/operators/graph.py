@@ -21,17 +21,7 @@ def _live_author(df: DataFrame) -> DataFrame:
     return df.filter(F.col("author") != F.lit(DELETED_AUTHOR))
 
 
-def reply_edges(comments: DataFrame) -> DataFrame:
-    """One edge per reply: parent comment -> reply, both authors known.
-
-    Equi-join on ``'t1_' || parent.id = reply.parent_id``.  Only replies to a
-    comment can match, so the reply side is pre-filtered on the ``t1_`` prefix
-    (pushed into the scan) before the shuffle.  Each parent id is unique, so a
-    heavily answered comment skews only the reply side; AQE's skew-join split
-    cuts such a partition into several tasks, each joined with the single
-    parent row.  Self-replies are kept; parent and reply may lie in
-    different months.
-    """
+def _edge_sides(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     parents = _live_author(comments).select(
         fullname(COMMENT_PREFIX, "id").alias("_key"),
         F.col("subreddit").alias("Subreddit"), F.col("id").alias("OrigId"),
@@ -44,7 +34,43 @@ def reply_edges(comments: DataFrame) -> DataFrame:
                        F.col("author").alias("RespAuth"), F.col("score").alias("RespScore"),
                        F.col("ups").alias("RespUps"), F.col("downs").alias("RespDowns"),
                        F.col("controversiality").alias("RespControv")))
-    return parents.join(replies, "_key", "inner").select(*EDGE_COLUMNS)
+    return parents, replies
+
+
+HOT_PARENTS_MAX = 100_000
+
+
+def reply_edges(comments: DataFrame, hot_parent_threshold: int | None = None,
+                hot_parents_max: int = HOT_PARENTS_MAX) -> DataFrame:
+    """One edge per reply: parent comment -> reply, both authors known.
+
+    Equi-join on ``'t1_' || parent.id = reply.parent_id``.  Only replies to a
+    comment can match, so the reply side is pre-filtered on the ``t1_`` prefix
+    (pushed into the scan) before the shuffle.  Each parent id is unique, so a
+    heavily answered comment skews only the reply side; AQE's skew-join split
+    cuts such a partition into several tasks, each joined with the single
+    parent row.  Self-replies are kept; parent and reply may lie in
+    different months.
+
+    ``hot_parent_threshold`` makes the split explicit (for plans where AQE
+    cannot split): parents with more replies than the threshold are found by a
+    partially aggregated count, and the ``hot_parents_max`` heaviest of them
+    (a fixed bound, chosen by a per-task top-k) have their parent rows
+    broadcast, so their replies join map-side without a shuffle.  Every other
+    reply, including hot ones beyond the bound, takes the sort-merge join:
+    the result is the same set of edges either way.
+    """
+    parents, replies = _edge_sides(comments)
+    if not hot_parent_threshold:
+        return parents.join(replies, "_key", "inner").select(*EDGE_COLUMNS)
+    hot = (replies.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+           .filter(F.col("n") > hot_parent_threshold)
+           .orderBy(F.col("n").desc(), "_key").limit(hot_parents_max).select("_key"))
+    hot_parents = parents.join(F.broadcast(hot), "_key", "left_semi")
+    hot_edges = replies.join(F.broadcast(hot_parents), "_key", "inner")
+    cold_edges = (parents.join(F.broadcast(hot), "_key", "left_anti")
+                  .join(replies.join(F.broadcast(hot), "_key", "left_anti"), "_key", "inner"))
+    return hot_edges.select(*EDGE_COLUMNS).unionByName(cold_edges.select(*EDGE_COLUMNS))
 
 
 def degrees(edges: DataFrame, kind: str = "indegree") -> DataFrame:
