@@ -95,3 +95,23 @@ def test_feed_stream_fans_out_dead_letters(spark):
     total = fixtures.load_comments(spark, SF001).count()
     expect_dead = total // Q.DEAD_LETTER_EVERY + 1
     assert n_dead == expect_dead and n_feed + n_dead == total
+
+
+def test_rocksdb_state_store_gives_same_trends(spark):
+    src = Q._landed_records(spark, SF001)
+    outs = []
+    old = spark.conf.get(live_stream.STATE_PROVIDER, None)
+    try:
+        for rocks in (False, True):
+            if rocks:
+                live_stream.use_rocksdb_state(spark)
+            out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
+            q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt)
+            q.awaitTermination()
+            outs.append(_rows(spark.read.parquet(out), ["minuteslot", "author", "count", "rank"]))
+    finally:
+        if old is None:
+            spark.conf.unset(live_stream.STATE_PROVIDER)
+        else:
+            spark.conf.set(live_stream.STATE_PROVIDER, old)
+    assert outs[0] == outs[1] and outs[0]

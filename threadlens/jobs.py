@@ -74,6 +74,34 @@ def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode
         .write.mode(mode).parquet(f"{out}/als_recommendations")
 
 
+def live_job(spark: SparkSession, servers: str, topic: str, out: str, checkpoint_root: str,
+             slot_seconds: int = 60, delay: str = "2 minutes", trigger: str = "10 seconds",
+             starting_offsets: str = "latest"):
+    """The live products on a Kafka topic of comment JSON: feed + dead letters,
+    top subreddits and top authors per slot, and the JSON archive; four
+    queries on one source, each with its own checkpoint.  Stateful queries
+    keep their state in RocksDB."""
+    from threadlens.streaming import live_stream as ls
+    ls.use_rocksdb_state(spark)
+
+    def source():
+        return ls.kafka_source(spark, servers, topic, starting_offsets=starting_offsets)
+    queries = [
+        ls.start_feed(source(), f"{out}/feed", f"{out}/dead_letters", f"{checkpoint_root}/feed",
+                      available_now=False, processing_time=trigger),
+        ls.start_slot_trends(source(), "subreddit", f"{out}/top_subreddits", f"{checkpoint_root}/subreddits",
+                             slot_seconds=slot_seconds, delay=delay, available_now=False,
+                             processing_time=trigger),
+        ls.start_slot_trends(source(), "author", f"{out}/top_authors", f"{checkpoint_root}/authors",
+                             slot_seconds=slot_seconds, delay=delay, available_now=False,
+                             processing_time=trigger),
+        ls.start_archive(source(), f"{out}/archive", f"{checkpoint_root}/archive",
+                         available_now=False, processing_time=trigger),
+    ]
+    spark.streams.awaitAnyTermination()
+    return queries
+
+
 def main(argv: list[str] | None = None) -> None:
     from threadlens.session import build_session, scale_conf
     p = argparse.ArgumentParser(prog="threadlens.jobs")
@@ -85,6 +113,11 @@ def main(argv: list[str] | None = None) -> None:
     for arg in ("comments", "edges", "out"):
         r.add_argument(arg)
     r.add_argument("--block-list"); r.add_argument("--by", default="outdegree")
+    lv = sub.add_parser("live")
+    for arg in ("servers", "topic", "out", "checkpoint"):
+        lv.add_argument(arg)
+    lv.add_argument("--slot-seconds", type=int, default=60)
+    lv.add_argument("--starting-offsets", default="latest")
     p.add_argument("--input-bytes", type=int, help="input volume, sizes shuffle partitions")
     args = p.parse_args(argv)
     spark = build_session(app_name=f"threadlens-{args.job}")
@@ -93,6 +126,9 @@ def main(argv: list[str] | None = None) -> None:
             spark.conf.set(k, v)
     if args.job == "ingest":
         ingest_job(spark, args.source, args.out, args.dead_out)
+    elif args.job == "live":
+        live_job(spark, args.servers, args.topic, args.out, args.checkpoint, args.slot_seconds,
+                 starting_offsets=args.starting_offsets)
     elif args.job == "recommend":
         recommend_job(spark, args.comments, args.edges, args.out, args.block_list, args.by)
     else:

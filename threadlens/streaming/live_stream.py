@@ -60,6 +60,15 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
 
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk and is
+    snapshotted to the checkpoint) instead of executor heap: the choice for
+    state that grows with the number of keys per window."""
+    spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
 
 
 def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str | None,
