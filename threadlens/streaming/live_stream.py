@@ -25,14 +25,15 @@ def land_records(messages: DataFrame, path: str, offset: str = "offset",
                  timestamp: str = "arrived_at", partitions: int | None = None,
                  mode: str = "errorifexists") -> None:
     """Write (offset, timestamp, value) records as Parquet, the shape a Kafka
-    source yields, so a file stream can replay a topic.  Records are cut into
-    ``partitions`` contiguous offset ranges (default: the session's
-    parallelism), one file each, like the partitions of a topic."""
+    source yields, so a file stream can replay a topic.  Records are spread
+    over ``partitions`` files (default: the session's parallelism) by a hash
+    of the offset, as a producer's partitioner spreads keys, each file in
+    offset order."""
     n = partitions or messages.sparkSession.sparkContext.defaultParallelism
     (messages.select(F.col(offset).cast("bigint").alias("offset"),
                      F.col(timestamp).cast("bigint").alias("timestamp"),
                      F.col("value").cast("string").alias("value"))
-     .repartitionByRange(n, "offset").sortWithinPartitions("offset")
+     .repartition(n, "offset").sortWithinPartitions("offset")
      .write.mode(mode).parquet(path))
 
 
