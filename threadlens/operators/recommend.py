@@ -55,15 +55,16 @@ def graph_recommend(comments: DataFrame, edges: DataFrame, block_list: DataFrame
     names and minus the seed, and keep ``k`` in a repeatable pseudo-random order
     (md5 of leader and subreddit).
 
-    Scale: the order depends on the leader, not on the seed, so each leader's
-    list is cut to ``k + 1`` once (partial WindowGroupLimit) before it meets the
-    seeds; a user leading many subreddits therefore costs at most ``k + 1`` rows
-    per seed, never seeds x subreddits.
+    Scale: the order depends on the user, not on the seed, so every user's
+    list is cut to ``k + 1`` once (a partial WindowGroupLimit per map task,
+    then a final one) before it meets the seeds; a user leading many
+    subreddits therefore costs at most ``k + 1`` rows per seed, never
+    seeds x subreddits.  The leader table is used once, so the reply graph
+    behind it is computed once.
     """
     seeds = leaders(edges, by).select(F.col("subreddit").alias("seed"), F.col("author").alias("leader"))
     pairs = (comments.filter(F.col("author") != F.lit(DELETED_AUTHOR))
              .select(F.col("author").alias("leader"), "subreddit").distinct())
-    pairs = pairs.join(seeds.select("leader").distinct(), "leader", "left_semi")
     if block_list is not None:
         blocked = broadcast_if_small(block_list.select(F.col(block_list.columns[0]).alias("subreddit")))
         pairs = pairs.join(blocked, "subreddit", "left_anti")
