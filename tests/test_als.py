@@ -37,3 +37,19 @@ def test_ratings_ids_fit_int(spark):
     counts = recommend.interaction_counts(fixtures.load_comments(spark, SF001))
     r = recommend.als_ratings(counts).agg(F.max("user"), F.max("item"), F.min("rating")).first()
     assert r[0] < 10 ** 8 and r[1] < 10 ** 8 and r[2] >= 1.0
+
+
+def test_broadcast_scoring_equals_builtin(spark):
+    counts = recommend.interaction_counts(fixtures.load_comments(spark, SF001))
+    model = recommend.train_als(recommend.als_ratings(counts), max_iter=3)
+    users = recommend.id_map(counts, "author", "user")
+    items = recommend.id_map(counts, "subreddit", "product")
+    fast = recommend.als_recommend(model, users, items, 5).collect()
+    slow = recommend.als_recommend(model, users, items, 5, broadcast_max_items=0).collect()
+    assert len(fast) == len(slow) > 0
+    f = {(r.author, r.position): (r.subreddit, r.score) for r in fast}
+    s = {(r.author, r.position): (r.subreddit, r.score) for r in slow}
+    assert f.keys() == s.keys()
+    assert all(abs(f[k][1] - s[k][1]) <= 1e-4 * max(1.0, abs(s[k][1])) for k in s)
+    same = sum(f[k][0] == s[k][0] for k in s)
+    assert same >= 0.99 * len(s)   # only exact score ties may order differently

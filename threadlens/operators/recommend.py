@@ -99,17 +99,72 @@ def train_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_ITER
     return als.fit(ratings)
 
 
-def als_recommend(model, users: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
+# Item factors are broadcast only up to this many items (rank-10 float32
+# factors: about 40 bytes each); beyond it the blockwise built-in is used.
+ALS_BROADCAST_MAX_ITEMS = 2_000_000
+# Scores computed at once in one task: a user batch times all items.
+ALS_SCORE_CELLS = 1 << 24
+
+
+def _top_items(users: DataFrame, items, n: int) -> DataFrame:
+    """Top-``n`` items per user, scored inside the tasks that hold the users.
+
+    ``items`` is a broadcast (ids, factor matrix).  Each task takes its users in
+    batches of at most ALS_SCORE_CELLS / n_items rows, computes the batch's
+    scores with one matrix product and keeps the best ``n`` per user with a
+    partial sort; only those ``n`` rows per user leave the task.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def score(batches):
+        ids, mat = items.value
+        step = max(1, ALS_SCORE_CELLS // max(1, len(ids)))
+        k = min(n, len(ids))
+        for pdf in batches:
+            for lo in range(0, len(pdf), step):
+                part = pdf.iloc[lo:lo + step]
+                u = np.stack(part["features"].to_numpy()).astype(np.float32)
+                sc = u @ mat.T
+                top = np.argpartition(-sc, k - 1, axis=1)[:, :k]
+                rows = np.arange(len(part))[:, None]
+                order = np.argsort(-sc[rows, top], axis=1, kind="stable")
+                best = top[rows, order]
+                yield pd.DataFrame({
+                    "user": np.repeat(part["id"].to_numpy(), k),
+                    "item": ids[best].ravel(),
+                    "score": sc[rows, best].ravel().astype(np.float32),
+                    "position": np.tile(np.arange(1, k + 1, dtype=np.int64), len(part)),
+                })
+
+    return users.mapInPandas(score, "user int, item int, score float, position bigint")
+
+
+def als_recommend(model, users: DataFrame, items: DataFrame, n: int = 10,
+                  broadcast_max_items: int = ALS_BROADCAST_MAX_ITEMS) -> DataFrame:
     """Top-``n`` items for every user, mapped back to names.
 
-    ``recommendForAllUsers`` scores user and item factor blocks against each
-    other and keeps a bounded top-n per user.  Hash collisions make a name map
-    to several ids and back, exactly as in the hashed original.
+    Exact top-n needs every user scored against every item.  When the item
+    factors fit the proven bound (counted first), they are broadcast and
+    each task scores the users it holds (``_top_items``): no cross join,
+    and only n rows per user are emitted.  Beyond the bound, Spark's blockwise
+    ``recommendForAllUsers`` is used.  Hash collisions make a name map to
+    several ids and back, exactly as in the hashed original.
     """
-    recs = (model.recommendForAllUsers(n)
-            .select("user", F.posexplode("recommendations").alias("pos", "rec"))
-            .select("user", F.col("rec.item").alias("item"), F.col("rec.rating").alias("score"),
-                    (F.col("pos") + 1).cast("bigint").alias("position")))
+    import numpy as np
+    n_items = model.itemFactors.limit(broadcast_max_items + 1).count()
+    if n_items <= broadcast_max_items:
+        # bounded by the check above; passes the driver once as a broadcast
+        pdf = model.itemFactors.toPandas()
+        mat = np.stack(pdf["features"].to_numpy()).astype(np.float32) if len(pdf) else \
+            np.zeros((0, model.rank), np.float32)
+        bc = users.sparkSession.sparkContext.broadcast((pdf["id"].to_numpy(np.int32), mat))
+        recs = _top_items(model.userFactors, bc, n)
+    else:
+        recs = (model.recommendForAllUsers(n)
+                .select("user", F.posexplode("recommendations").alias("pos", "rec"))
+                .select("user", F.col("rec.item").alias("item"), F.col("rec.rating").alias("score"),
+                        (F.col("pos") + 1).cast("bigint").alias("position")))
     u = users.select(F.col("user").alias("user_name"), F.col("hash").cast("int").alias("user"))
     i = items.select(F.col("product").alias("subreddit"), F.col("hash").cast("int").alias("item"))
     return (recs.join(u, "user").join(i, "item")
