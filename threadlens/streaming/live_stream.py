@@ -174,18 +174,25 @@ def land_pages(pages: DataFrame, path: str) -> None:
 
 def start_dedup(spark: SparkSession, pages_path: str, sink_path: str, checkpoint: str,
                 delay: str = "10 minutes", available_now: bool = True,
-                processing_time: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                processing_time: str | None = None, state_partitions: int | None = None,
+                max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Flatten landed listing pages and drop comments already seen, keyed by id,
     with state bounded by the watermark (``dropDuplicatesWithinWatermark``).
-    A repeat carries the same created_utc as the first copy, so event time is
-    the comment's own time.
-    The file sink commits through its own log: exactly once."""
-    pages = spark.readStream.schema(FEED_PAGE_SCHEMA).parquet(pages_path)
+
+    A repeat comes from an overlapping later poll, so the watermark runs on the
+    poll time (monotone in arrival order) and ``delay`` must cover the interval
+    between polls; a comment created long before it is polled is therefore
+    never mistaken for late data.  The file sink commits through its own log:
+    exactly once."""
+    reader = spark.readStream.schema(FEED_PAGE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    pages = reader.parquet(pages_path)
     rows = (live.flatten_pages(pages)
-            .withColumn("event_time", F.timestamp_seconds("created_utc"))
-            .withWatermark("event_time", delay)
+            .withColumn("poll_time", F.timestamp_seconds("polled_at"))
+            .withWatermark("poll_time", delay)
             .dropDuplicatesWithinWatermark(["id"])
-            .drop("page", "polled_at", "event_time"))
+            .drop("page", "polled_at", "poll_time"))
     w = rows.writeStream.format("parquet").option("path", sink_path).outputMode("append")
     return _start(w, checkpoint, available_now, processing_time, spark, state_partitions)
 
