@@ -65,3 +65,30 @@ def test_scale_conf_sizes_partitions():
     assert big["spark.sql.shuffle.partitions"] == "100000"
     mid = scale_conf(1 << 40, 1000)
     assert mid["spark.sql.shuffle.partitions"] == str((1 << 40) // (256 << 20))
+
+
+def test_incremental_graph_equals_full(spark):
+    from threadlens.functions.timefmt import utc_month, utc_year
+    c = fixtures.load_comments(spark, SF001).withColumn("ym", utc_year("created_utc") * 100 + utc_month("created_utc"))
+    months = sorted(r.ym for r in c.select("ym").distinct().collect())
+    assert len(months) == 3
+    degs = None
+    for i, ym in enumerate(months):
+        seen = c.filter(F.col("ym") <= ym).drop("ym")
+        new = c.filter(F.col("ym") == ym).drop("ym")
+        delta = graph.incremental_edges(new, seen)
+        degs = graph.all_degrees(delta) if degs is None else graph.merge_degrees(degs, delta)
+        degs = degs.persist()
+    full = graph.all_degrees(graph.reply_edges(c.drop("ym")))
+    assert degs.exceptAll(full).count() == 0 and full.exceptAll(degs).count() == 0
+
+
+def test_snapshot_month_job_replaces_only_its_month(spark):
+    out = scratch_path(spark, "wh")
+    comments = fixtures.load_comments(spark, SF001)
+    json_source.write_comments_parquet(comments, f"{out}/comments")
+    jobs.snapshot_job(spark, f"{out}/comments", out)
+    before = spark.read.parquet(f"{out}/subredditinfo").collect()
+    jobs.snapshot_month_job(spark, f"{out}/comments", out, 2024, 7)
+    after = spark.read.parquet(f"{out}/subredditinfo").collect()
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after))

@@ -38,6 +38,31 @@ def snapshot_job(spark: SparkSession, comments_path: str, out: str, n: int = 100
     table.write.mode(mode).partitionBy("year", "month").parquet(f"{out}/subredditinfo")
 
 
+def snapshot_month_job(spark: SparkSession, comments_path: str, out: str, year: int, month: int,
+                       n: int = 100):
+    """Recompute one month of subredditinfo; only that (year, month)
+    partition is read (directory pruning) and replaced."""
+    from threadlens.operators.sink import overwrite_partitions
+    comments = json_source.read_comments_parquet(spark, comments_path).filter(
+        (F.col("year") == year) & (F.col("month") == month))
+    table = snapshot.top_subreddits_per_month(snapshot.monthly_stats(comments), n)
+    overwrite_partitions(table, f"{out}/subredditinfo", ["year", "month"])
+
+
+def graph_increment_job(spark: SparkSession, comments_path: str, out: str, year: int, month: int):
+    """Add one ingested month to the graph tables: its replies' edges (parents
+    from any month) are appended to the edges, and the degree table is
+    rewritten as old + delta into a new version folder (``degrees_<y>_<m>``)."""
+    all_comments = json_source.read_comments_parquet(spark, comments_path)
+    new = all_comments.filter((F.col("year") == year) & (F.col("month") == month))
+    delta_path = f"{out}/edges/added={year:04d}{month:02d}"
+    graph.incremental_edges(new, all_comments).write.mode("overwrite").parquet(delta_path)
+    delta = spark.read.parquet(delta_path)
+    current = spark.read.parquet(f"{out}/degrees")
+    graph.merge_degrees(current, delta).write.mode("overwrite").partitionBy("kind") \
+        .parquet(f"{out}/degrees_{year:04d}_{month:02d}")
+
+
 def graph_job(spark: SparkSession, comments_path: str, out: str, mode: str = "overwrite"):
     """Edges written once (lineage cut), then both degree tables and leaders
     from the written edges."""
@@ -113,6 +138,10 @@ def main(argv: list[str] | None = None) -> None:
     for arg in ("comments", "edges", "out"):
         r.add_argument(arg)
     r.add_argument("--block-list"); r.add_argument("--by", default="outdegree")
+    for name in ("snapshot-month", "graph-increment"):
+        m = sub.add_parser(name)
+        m.add_argument("comments"); m.add_argument("out")
+        m.add_argument("year", type=int); m.add_argument("month", type=int)
     lv = sub.add_parser("live")
     for arg in ("servers", "topic", "out", "checkpoint"):
         lv.add_argument(arg)
@@ -129,6 +158,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "live":
         live_job(spark, args.servers, args.topic, args.out, args.checkpoint, args.slot_seconds,
                  starting_offsets=args.starting_offsets)
+    elif args.job == "snapshot-month":
+        snapshot_month_job(spark, args.comments, args.out, args.year, args.month)
+    elif args.job == "graph-increment":
+        graph_increment_job(spark, args.comments, args.out, args.year, args.month)
     elif args.job == "recommend":
         recommend_job(spark, args.comments, args.edges, args.out, args.block_list, args.by)
     else:

@@ -73,6 +73,31 @@ def reply_edges(comments: DataFrame, hot_parent_threshold: int | None = None,
     return hot_edges.select(*EDGE_COLUMNS).unionByName(cold_edges.select(*EDGE_COLUMNS))
 
 
+def incremental_edges(new_comments: DataFrame, all_comments: DataFrame) -> DataFrame:
+    """Edges whose reply is in ``new_comments`` (say, the month just ingested),
+    with parents from any month of ``all_comments`` (which includes the new
+    rows).
+
+    Only parents that a new reply points to can match, so the parent side is
+    first narrowed by a semi-join on the new replies' parent keys.  That join
+    reads two columns of history instead of joining it in full, so adding a
+    month costs about that month, not the whole history.
+    """
+    parents, _ = _edge_sides(all_comments)
+    _, replies = _edge_sides(new_comments)
+    wanted = replies.select("_key").distinct()
+    return (parents.join(wanted, "_key", "left_semi")
+            .join(replies, "_key", "inner").select(*EDGE_COLUMNS))
+
+
+def merge_degrees(current: DataFrame, delta_edges: DataFrame) -> DataFrame:
+    """Degree table (kind, subreddit, author, rank) plus the degrees of new
+    edges: a union and a re-aggregation with partial sums."""
+    delta = all_degrees(delta_edges)
+    return (current.select("kind", "subreddit", "author", "rank").unionByName(delta)
+            .groupBy("kind", "subreddit", "author").agg(F.sum("rank").alias("rank")))
+
+
 def degrees(edges: DataFrame, kind: str = "indegree") -> DataFrame:
     """(subreddit, author, rank): replies received (indegree) or made
     (outdegree).  A count with map-side partial aggregation, so a hot author
