@@ -31,9 +31,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage and task times for `python -m threadlens.plans.eventlog <dir>`
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = build_session(f"local[{cpus}]", app_name="threadlens-bench",
-                          shuffle_partitions=max(cpus, 8),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          shuffle_partitions=max(cpus, 8), extra=extra)
     # warm-up, not timed: each query once on the smallest fixture, so the timed
     # runs measure the work, not JVM class loading and code generation
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

@@ -137,17 +137,22 @@ def all_degrees(edges: DataFrame) -> DataFrame:
 
 def engagement(edges: DataFrame) -> DataFrame:
     """Per subreddit: most influential (in-degree) and most active (out-degree)
-    author.  Both leaders come from one degree pass and one top-1 window per
-    (kind, subreddit); the final pivot groups at most two rows per subreddit.
-    A subreddit appears when it has any edge, and every edge feeds both kinds,
-    so this equals a full outer join of the two leader lists."""
-    top = top_per_group(all_degrees(edges), ["kind", "subreddit"],
-                        [F.col("rank").desc(), F.col("author")], 1)
-    is_in = F.col("kind") == "indegree"
-    pick = lambda cond, col: F.max(F.when(cond, F.col(col)))  # noqa: E731 - one row per kind
-    return top.groupBy("subreddit").agg(
-        pick(is_in, "author").alias("influential_user"), pick(is_in, "rank").alias("influence"),
-        pick(~is_in, "author").alias("active_user"), pick(~is_in, "rank").alias("activity"))
+    author, ties by smaller name.
+
+    Both leaders come from one degree pass and one aggregation by subreddit:
+    ``min(struct(-rank, author))`` per kind orders by rank descending, then
+    author, and is partially aggregated before its shuffle, so a subreddit
+    with millions of authors sends one row per map task.  A subreddit appears
+    when it has any edge, and every edge feeds both kinds, so this equals a
+    full outer join of the two leader lists.
+    """
+    best = lambda kind: F.min(F.when(F.col("kind") == kind,
+                                     F.struct((-F.col("rank")).alias("neg"), F.col("author").alias("a"))))
+    top = all_degrees(edges).groupBy("subreddit").agg(best("indegree").alias("i"),
+                                                       best("outdegree").alias("o"))
+    return top.select("subreddit",
+                      F.col("i.a").alias("influential_user"), (-F.col("i.neg")).alias("influence"),
+                      F.col("o.a").alias("active_user"), (-F.col("o.neg")).alias("activity"))
 
 
 def degree_export(edges: DataFrame) -> DataFrame:
