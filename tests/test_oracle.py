@@ -15,11 +15,19 @@ def test_every_query_has_an_oracle_except_als():
     assert set(QUERIES) - set(ORACLES) == {"q_als"}
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+             "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck001, name):
-    result = compare(QUERIES[name](spark, SF001), duck001, ORACLES[name])
+    df = QUERIES[name](spark, SF001)
+    result = compare(df, duck001, ORACLES[name])
     assert result["columns_match"], result
     assert result["values_match"], result
+    rel = duck001.sql(ORACLES[name])
+    oracle_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SQL_TYPES.get(t, t) for c, t in df.dtypes} == oracle_types
 
 
 def test_entry_runs(spark):

@@ -149,8 +149,8 @@ SELECT count(*) AS n_comments FROM comments WHERE author = '{AUTHOR}'""",
 SELECT author, created_utc, body, link_id, subreddit FROM comments WHERE author = '{AUTHOR}'""",
 
     "q_history_json": _with(COMMENTS) + f"""
-SELECT to_json(struct_pack(author := author, posted_at := created_utc, post := body,
-                           discussion := link_id, subreddit := subreddit)) AS value
+SELECT CAST(to_json(struct_pack(author := author, posted_at := created_utc, post := body,
+                                discussion := link_id, subreddit := subreddit)) AS VARCHAR) AS value
 FROM comments WHERE author = '{AUTHOR}'""",
 
     "q_first_post": _with(COMMENTS, FIRST) + """
@@ -232,9 +232,9 @@ SELECT page, max(code) AS max_code, arg_max(id, code) AS newest_id, arg_max(crea
        max(polled_at) - arg_max(created_utc, code) AS lag_seconds, false AS skipping
 FROM flat GROUP BY page""",
     "q_to_json": _with(COMMENTS) + """
-SELECT "offset", to_json(struct_pack(author := author, parent_id := parent_id, score := score, name := name,
+SELECT "offset", CAST(to_json(struct_pack(author := author, parent_id := parent_id, score := score, name := name,
          subreddit := subreddit, link_url := 'http://www.reddit.com/' || split_part(link_id, 't3_', 2),
-         created_utc := created_utc, body := body)) AS value
+         created_utc := created_utc, body := body)) AS VARCHAR) AS value
 FROM comments""",
     "q_dead_letter": _with(COMMENTS) + """
 SELECT "offset", 'not json' AS message FROM comments WHERE "offset" % 97 = 0""",
