@@ -160,3 +160,12 @@ def degree_export(edges: DataFrame) -> DataFrame:
     degree pass, so the union costs no second join)."""
     return all_degrees(edges).select("kind", "subreddit", F.col("author").alias("user"),
                                      F.col("rank").alias("influence"))
+
+
+def degree_download(edges: DataFrame, subreddit: str) -> DataFrame:
+    """Every in- and out-degree row of one subreddit as JSON lines (the
+    download of the engagement page; the original's non-JSON trailer is
+    dropped).  The subreddit filter runs on the degree rows' grouping key, so
+    Catalyst pushes it below the aggregation to the edges."""
+    rows = degree_export(edges).filter(F.col("subreddit") == subreddit)
+    return rows.select(F.to_json(F.struct("kind", "subreddit", "user", "influence")).alias("value"))

@@ -199,6 +199,14 @@ SELECT 'indegree' AS kind, subreddit, author AS user, rank AS influence FROM ind
 UNION ALL
 SELECT 'outdegree' AS kind, subreddit, author AS user, rank AS influence FROM outdeg""",
 
+    "q_engage_download": _with(COMMENTS, EDGES) + """
+SELECT CAST(to_json(struct_pack(kind := kind, subreddit := subreddit, "user" := "user",
+                                influence := influence)) AS VARCHAR) AS value
+FROM (SELECT 'indegree' AS kind, subreddit, author AS "user", rank AS influence FROM indeg
+      UNION ALL
+      SELECT 'outdegree' AS kind, subreddit, author AS "user", rank AS influence FROM outdeg)
+WHERE subreddit = 'sub_0'""",
+
     "q_recommend": _with(COMMENTS, EDGES, """
 seeds AS (SELECT subreddit AS seed, author AS leader FROM top_out),
 blocked AS (SELECT DISTINCT subreddit FROM comments WHERE subreddit LIKE '%7'),

@@ -155,6 +155,10 @@ def q_degree_export(spark, sf):
     return graph.degree_export(_edges(spark, sf))
 
 
+def q_engage_download(spark, sf):
+    return graph.degree_download(_edges(spark, sf), TREND_SUBREDDIT)
+
+
 # ---- recommendation -----------------------------------------------------------
 
 def q_recommend(spark, sf):
