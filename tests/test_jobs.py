@@ -92,3 +92,24 @@ def test_snapshot_month_job_replaces_only_its_month(spark):
     jobs.snapshot_month_job(spark, f"{out}/comments", out, 2024, 7)
     after = spark.read.parquet(f"{out}/subredditinfo").collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
+
+
+def test_live_job_on_landed_records(spark):
+    from threadlens.plans import queries as Q
+    from threadlens.streaming import live_stream
+    src = Q._landed_records(spark, SF001)
+    out, ck = scratch_path(spark, "live"), scratch_path(spark, "live-ck")
+    old = spark.conf.get(live_stream.STATE_PROVIDER, None)
+    try:
+        jobs.live_job(spark, lambda: live_stream.file_source(spark, src), out, ck, available_now=True)
+    finally:
+        if old is None:
+            spark.conf.unset(live_stream.STATE_PROVIDER)
+        else:
+            spark.conf.set(live_stream.STATE_PROVIDER, old)
+    total = fixtures.load_comments(spark, SF001).count()
+    dead = spark.read.parquet(f"{out}/dead_letters").count()
+    assert spark.read.parquet(f"{out}/feed").count() + dead == total
+    assert spark.read.json(f"{out}/archive").count() == total - dead
+    assert spark.read.parquet(f"{out}/top_subreddits").count() > 0
+    assert spark.read.parquet(f"{out}/top_authors").count() > 0

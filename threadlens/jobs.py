@@ -102,31 +102,26 @@ def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode
         .write.mode(mode).parquet(f"{out}/als_recommendations")
 
 
-def live_job(spark: SparkSession, servers: str, topic: str, out: str, checkpoint_root: str,
-             slot_seconds: int = 60, delay: str = "2 minutes", trigger: str = "10 seconds",
-             starting_offsets: str = "latest"):
-    """The live products on a Kafka topic of comment JSON: feed + dead letters,
-    top subreddits and top authors per slot, and the JSON archive; four
-    queries on one source, each with its own checkpoint.  Stateful queries
-    keep their state in RocksDB."""
+def live_job(spark: SparkSession, source, out: str, checkpoint_root: str, slot_seconds: int = 60,
+             delay: str = "2 minutes", trigger: str = "10 seconds", available_now: bool = False):
+    """The live products on one stream of comment JSON: feed + dead letters,
+    top subreddits and top authors per slot, and the JSON archive.  Four
+    queries, each with its own checkpoint; ``source()`` returns a fresh
+    (offset, timestamp, value) stream (Kafka on a cluster, landed files in
+    tests).  Stateful queries keep their state in RocksDB."""
     from threadlens.streaming import live_stream as ls
     ls.use_rocksdb_state(spark)
-
-    def source():
-        return ls.kafka_source(spark, servers, topic, starting_offsets=starting_offsets)
+    run = dict(available_now=available_now, processing_time=None if available_now else trigger)
     queries = [
-        ls.start_feed(source(), f"{out}/feed", f"{out}/dead_letters", f"{checkpoint_root}/feed",
-                      available_now=False, processing_time=trigger),
+        ls.start_feed(source(), f"{out}/feed", f"{out}/dead_letters", f"{checkpoint_root}/feed", **run),
         ls.start_slot_trends(source(), "subreddit", f"{out}/top_subreddits", f"{checkpoint_root}/subreddits",
-                             slot_seconds=slot_seconds, delay=delay, available_now=False,
-                             processing_time=trigger),
+                             slot_seconds=slot_seconds, delay=delay, **run),
         ls.start_slot_trends(source(), "author", f"{out}/top_authors", f"{checkpoint_root}/authors",
-                             slot_seconds=slot_seconds, delay=delay, available_now=False,
-                             processing_time=trigger),
-        ls.start_archive(source(), f"{out}/archive", f"{checkpoint_root}/archive",
-                         available_now=False, processing_time=trigger),
+                             slot_seconds=slot_seconds, delay=delay, **run),
+        ls.start_archive(source(), f"{out}/archive", f"{checkpoint_root}/archive", **run),
     ]
-    spark.streams.awaitAnyTermination()
+    for q in queries:
+        q.awaitTermination()
     return queries
 
 
@@ -159,8 +154,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "ingest":
         ingest_job(spark, args.source, args.out, args.dead_out)
     elif args.job == "live":
-        live_job(spark, args.servers, args.topic, args.out, args.checkpoint, args.slot_seconds,
-                 starting_offsets=args.starting_offsets)
+        from threadlens.streaming.live_stream import kafka_source
+        live_job(spark, lambda: kafka_source(spark, args.servers, args.topic,
+                                             starting_offsets=args.starting_offsets),
+                 args.out, args.checkpoint, args.slot_seconds)
     elif args.job == "snapshot-month":
         snapshot_month_job(spark, args.comments, args.out, args.year, args.month)
     elif args.job == "graph-increment":
