@@ -38,7 +38,7 @@ def test_ingest_then_batch_jobs(spark):
     assert got.select(*expect.columns).exceptAll(expect).count() == 0
 
     jobs.graph_job(spark, f"{out}/comments", out)
-    degs = spark.read.parquet(f"{out}/degrees")
+    degs = jobs.latest_degrees(spark, out)
     edges = spark.read.parquet(f"{out}/edges")
     assert degs.filter("kind = 'indegree'").agg(F.sum("rank")).first()[0] == edges.count()
     assert spark.read.parquet(f"{out}/engagement").count() == \
@@ -113,3 +113,22 @@ def test_live_job_on_landed_records(spark):
     assert spark.read.json(f"{out}/archive").count() == total - dead
     assert spark.read.parquet(f"{out}/top_subreddits").count() > 0
     assert spark.read.parquet(f"{out}/top_authors").count() > 0
+
+
+def test_graph_increment_job_layout_and_rerun(spark):
+    """Full build over the first two months, then the third month added (twice):
+    the newest degree version equals a full build over all three months."""
+    from threadlens.functions.timefmt import utc_month, utc_year
+    out = scratch_path(spark, "wh-inc")
+    c = fixtures.load_comments(spark, SF001)
+    json_source.write_comments_parquet(c, f"{out}/comments")
+    comments = json_source.read_comments_parquet(spark, f"{out}/comments")
+    comments.filter(~((F.col("year") == 2025) & (F.col("month") == 1))).write.parquet(f"{out}/first2")
+    jobs.graph_job(spark, f"{out}/first2", out)
+    for _ in range(2):
+        jobs.graph_increment_job(spark, f"{out}/comments", out, 2025, 1)
+    got = jobs.latest_degrees(spark, out).select("kind", "subreddit", "author", "rank")
+    want = graph.all_degrees(graph.reply_edges(c))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    edges = spark.read.parquet(f"{out}/edges")
+    assert edges.count() == graph.reply_edges(c).count()

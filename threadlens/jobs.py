@@ -50,38 +50,60 @@ def snapshot_month_job(spark: SparkSession, comments_path: str, out: str, year:
     overwrite_partitions(table, f"{out}/subredditinfo", ["year", "month"])
 
 
-def graph_increment_job(spark: SparkSession, comments_path: str, out: str, year: int, month: int):
-    """Add one ingested month to the graph tables: its replies' edges (parents
-    from any month) are appended to the edges, and the degree table is
-    rewritten as old + delta into a new version folder (``degrees_<y>_<m>``)."""
-    all_comments = json_source.read_comments_parquet(spark, comments_path)
-    new = all_comments.filter((F.col("year") == year) & (F.col("month") == month))
-    delta_path = f"{out}/edges/added={year:04d}{month:02d}"
-    graph.incremental_edges(new, all_comments).write.mode("overwrite").parquet(delta_path)
-    delta = spark.read.parquet(delta_path)
-    current = spark.read.parquet(f"{out}/degrees")
-    graph.merge_degrees(current, delta).write.mode("overwrite").partitionBy("kind") \
-        .parquet(f"{out}/degrees_{year:04d}_{month:02d}")
+def latest_degrees(spark: SparkSession, out: str, before: int | None = None):
+    """Newest version of the degree table (optionally the newest older than
+    ``before``)."""
+    degs = spark.read.parquet(f"{out}/degrees")
+    if before is not None:
+        degs = degs.filter(F.col("version") < before)
+    newest = degs.select(F.max("version")).scalar()
+    return degs.filter(F.col("version") == newest).drop("version")
 
 
 def graph_job(spark: SparkSession, comments_path: str, out: str, mode: str = "overwrite"):
     """Edges written once (lineage cut), then both degree tables and leaders
-    from the written edges."""
+    from the written edges.  Edges are partitioned by ``added`` (0 = this full
+    build, yyyymm = a month added later) and degrees by ``version``, so an
+    increment never rewrites history."""
     comments = json_source.read_comments_parquet(spark, comments_path)
-    graph.reply_edges(comments).write.mode(mode).parquet(f"{out}/edges")
-    edges = spark.read.parquet(f"{out}/edges")
+    graph.reply_edges(comments).withColumn("added", F.lit(0)) \
+        .write.mode(mode).partitionBy("added").parquet(f"{out}/edges")
+    edges = spark.read.parquet(f"{out}/edges").drop("added")
     # files sorted by (subreddit, rank desc): a per-subreddit read skips row
     # groups by min/max statistics; a local sort, no extra shuffle
     degs = graph.all_degrees(edges).sortWithinPartitions("kind", "subreddit", F.col("rank").desc(), "author")
-    degs.write.mode(mode).partitionBy("kind").parquet(f"{out}/degrees")
+    degs.withColumn("version", F.lit(0)).write.mode(mode).partitionBy("version", "kind") \
+        .parquet(f"{out}/degrees")
     graph.engagement(edges).write.mode(mode).parquet(f"{out}/engagement")
 
 
+def graph_increment_job(spark: SparkSession, comments_path: str, out: str, year: int, month: int):
+    """Add one newly ingested month to the graph tables.
+
+    The month's replies (parents from any month) become the ``added=yyyymm``
+    partition of the edges, and degree ``version=yyyymm`` is the newest older
+    version plus the month's delta.  Both writes replace only their own
+    partitions, so re-running a month gives the same tables.
+    """
+    from threadlens.operators.sink import overwrite_partitions
+    tag = year * 100 + month
+    all_comments = json_source.read_comments_parquet(spark, comments_path)
+    new = all_comments.filter((F.col("year") == year) & (F.col("month") == month))
+    overwrite_partitions(graph.incremental_edges(new, all_comments).withColumn("added", F.lit(tag)),
+                         f"{out}/edges", ["added"])
+    delta = spark.read.parquet(f"{out}/edges").filter(F.col("added") == tag).drop("added")
+    merged = (graph.merge_degrees(latest_degrees(spark, out, before=tag), delta)
+              .withColumn("version", F.lit(tag))
+              .sortWithinPartitions("kind", "subreddit", F.col("rank").desc(), "author"))
+    overwrite_partitions(merged, f"{out}/degrees", ["version", "kind"])
+
+
 def recommend_job(spark: SparkSession, comments_path: str, edges_path: str, out: str,
                   block_list: str | None = None, by: str = "outdegree", mode: str = "overwrite"):
     comments = json_source.read_comments_parquet(spark, comments_path)
     block = lists.read_name_list(spark, block_list) if block_list else None
-    recommend.graph_recommend(comments, spark.read.parquet(edges_path), block, by=by) \
+    edges = spark.read.parquet(edges_path).drop("added")
+    recommend.graph_recommend(comments, edges, block, by=by) \
         .write.mode(mode).parquet(f"{out}/recommendations")
 
 
