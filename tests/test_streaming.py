@@ -134,3 +134,22 @@ def test_dedup_across_batches_with_out_of_order_creation(spark):
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
     got = spark.read.parquet(out)
     assert got.count() == got.select("id").distinct().count() == 1000
+
+
+def test_compaction_keeps_rows_and_reader_unions(spark):
+    from threadlens.operators import sink
+    src = Q._landed_records(spark, SF001)
+    out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
+    q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt)
+    q.awaitTermination()
+    raw = spark.read.parquet(out)
+    days = sorted(r.day for r in raw.select("day").distinct().collect())
+    compact = scratch_path(spark, "compact")
+    for _ in range(2):                      # idempotent
+        sink.compact_days(spark.read.parquet(out), compact, days[: len(days) // 2], ["minuteslot", "rank"])
+    merged = sink.read_compacted(spark.read.parquet(out), spark.read.parquet(compact))
+    cols = ["day", "minuteslot", "author", "count", "rank"]
+    assert _rows(merged, cols) == _rows(raw, cols)
+    from threadlens.plans.inspect import explain_string
+    filters = [ln for ln in explain_string(merged).splitlines() if "PartitionFilters" in ln]
+    assert any("day" in ln and "Subquery" in ln for ln in filters)   # raw days pruned at the scan

@@ -34,3 +34,24 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 
+
+
+def compact_days(raw: DataFrame, compact_path: str, days: Sequence[int], sort_cols: Sequence[str] = ()) -> None:
+    """Rewrite closed days of a ``(day, batch)``-partitioned stream sink into
+    one ``day`` partition each (dynamic overwrite: re-running is harmless).
+    The day filter is a partition filter, so only those days are read."""
+    closed = raw.filter(F.col("day").isin(list(days))).drop("batch")
+    if sort_cols:
+        closed = closed.repartition("day").sortWithinPartitions("day", *sort_cols)
+    overwrite_partitions(closed, compact_path, ["day"])
+
+
+def read_compacted(raw: DataFrame, compacted: DataFrame | None) -> DataFrame:
+    """Compacted days plus the raw days after the last compacted one.  The
+    raw side is cut by a partition filter on ``day`` (its bound is a scalar
+    subquery), so compacted raw folders are not scanned again."""
+    raw = raw.drop("batch")
+    if compacted is None:
+        return raw
+    last = compacted.select(F.max("day")).scalar()
+    return compacted.unionByName(raw.filter(F.col("day") > last))
