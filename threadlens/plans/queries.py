@@ -52,16 +52,16 @@ def _stats_table(spark: SparkSession, sf: str, n: int = TABLE_TOP_N) -> DataFram
 # ---- ingest / history -------------------------------------------------------
 
 def q_ingest(spark, sf):
-    """Raw JSON lines -> declared-schema read -> cast -> month-partitioned Parquet."""
+    """The ingest job: raw JSON lines -> declared-schema read (persisted once)
+    -> cast -> month-partitioned Parquet + dead letters; read back."""
     comments = _comments(spark, sf)
     raw_dir = scratch_path(spark, "raw-json")
     # land the dump as several files, as monthly dumps arrive
     (comments.withColumn("created_utc", F.col("created_utc").cast("string"))
      .select(*RAW_COMMENT_SCHEMA.fieldNames())
      .repartition(spark.sparkContext.defaultParallelism).write.json(raw_dir))
-    typed = json_source.typed_comments(json_source.read_raw_comments(spark, raw_dir))
-    out = scratch_path(spark, "comments-parquet")
-    json_source.write_comments_parquet(typed, out)
+    out, dead = scratch_path(spark, "comments-parquet"), scratch_path(spark, "dead-letters")
+    json_source.ingest(spark, raw_dir, out, dead)
     back = json_source.read_comments_parquet(spark, out)
     return back.select(*COMMENT_COLUMNS, F.col("year").cast("bigint").alias("year"),
                        F.col("month").cast("bigint").alias("month"))
