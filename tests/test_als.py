@@ -53,3 +53,9 @@ def test_broadcast_scoring_equals_builtin(spark):
     assert all(abs(f[k][1] - s[k][1]) <= 1e-4 * max(1.0, abs(s[k][1])) for k in s)
     same = sum(f[k][0] == s[k][0] for k in s)
     assert same >= 0.99 * len(s)   # only exact score ties may order differently
+
+
+def test_als_blocks_follow_volume():
+    assert recommend.als_blocks(64_000, 8) == 1
+    assert recommend.als_blocks(5_500_000, 8) == 6
+    assert recommend.als_blocks(10 ** 10, 8000) == 8000

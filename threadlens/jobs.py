@@ -117,7 +117,8 @@ def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode
     users.write.mode(mode).parquet(f"{out}/userhash")
     items.write.mode(mode).parquet(f"{out}/producthash")
     recommend.hash_audit(counts, "author").write.mode(mode).parquet(f"{out}/hash_audit")
-    model = recommend.train_als(recommend.als_ratings(counts))
+    blocks = recommend.als_blocks(counts.count(), spark.sparkContext.defaultParallelism)
+    model = recommend.train_als(recommend.als_ratings(counts), blocks=blocks)
     model.write().overwrite().save(f"{out}/model")
     recommend.als_recommend(model, spark.read.parquet(f"{out}/userhash"),
                             spark.read.parquet(f"{out}/producthash"), n) \

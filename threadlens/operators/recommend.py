@@ -84,6 +84,16 @@ def als_ratings(counts: DataFrame, modulus: int = ID_MODULUS) -> DataFrame:
                          F.col("count").cast("float").alias("rating"))
 
 
+ALS_RATINGS_PER_BLOCK = 1_000_000
+
+
+def als_blocks(n_ratings: int, parallelism: int, per_block: int = ALS_RATINGS_PER_BLOCK) -> int:
+    """User/item block count from the ratings volume: about ``per_block``
+    ratings per block, at least 1, at most the cluster's parallelism.  A
+    fixed count would give blocks that grow with the data."""
+    return max(1, min(parallelism, -(-n_ratings // per_block)))
+
+
 def train_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_ITERATIONS,
               alpha: float = ALS_ALPHA, reg: float = ALS_REG, seed: int = ALS_SEED,
               blocks: int | None = None):

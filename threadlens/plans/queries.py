@@ -189,8 +189,11 @@ def q_hash_audit(spark, sf):
 def q_als(spark, sf):
     """Train implicit ALS, save, load, recommend top-N for every user."""
     from pyspark.ml.recommendation import ALSModel
-    counts = recommend.interaction_counts(_comments(spark, sf))
-    model = recommend.train_als(recommend.als_ratings(counts))
+    counts_path = scratch_path(spark, "interaction-counts")
+    recommend.interaction_counts(_comments(spark, sf)).write.parquet(counts_path)
+    counts = spark.read.parquet(counts_path)          # lineage cut; counting it reads footers
+    blocks = recommend.als_blocks(counts.count(), spark.sparkContext.defaultParallelism)
+    model = recommend.train_als(recommend.als_ratings(counts), blocks=blocks)
     path = scratch_path(spark, "als-model")
     model.write().overwrite().save(path)
     loaded = ALSModel.load(path)
