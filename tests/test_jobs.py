@@ -97,7 +97,7 @@ def test_snapshot_month_job_replaces_only_its_month(spark):
 def test_live_job_on_landed_records(spark):
     from threadlens.plans import queries as Q
     from threadlens.streaming import live_stream
-    src = Q._landed_records(spark, SF001)
+    src = Q._landed_records(spark, SF001, junk=True)
     out, ck = scratch_path(spark, "live"), scratch_path(spark, "live-ck")
     old = spark.conf.get(live_stream.STATE_PROVIDER, None)
     try:

@@ -11,7 +11,7 @@ from threadlens.streaming import live_stream
 
 
 def _batch_closed(spark, key, slot_seconds, delay_seconds=120):
-    recs = live.good_records(live.parse_messages(Q._messages_with_junk(spark, SF001)))
+    recs = live.good_records(live.parse_messages(Q._messages(spark, SF001)))
     recs = recs.dropna(subset=["author", "subreddit"])
     newest = recs.agg(F.max("created_utc")).first()[0]
     counts = live.slot_counts(recs, key, slot_seconds=slot_seconds, with_start=True)
@@ -35,7 +35,7 @@ def test_stream_in_several_batches_equals_one_batch(spark):
     """The topic landed in four offset chunks, one after the other, and read
     one file per trigger: event time (arrival) only moves forward, nothing is
     late, and the result equals a single-batch run."""
-    msgs = Q._messages_with_junk(spark, SF001)
+    msgs = Q._messages(spark, SF001)
     src = scratch_path(spark, "chunks")
     for lo in range(0, 1000, 250):
         chunk = msgs.filter((F.col("offset") >= lo) & (F.col("offset") < lo + 250))
@@ -54,7 +54,7 @@ def test_stream_in_several_batches_equals_one_batch(spark):
 def test_late_rows_are_dropped_not_double_counted(spark):
     """Chunks landed newest first: rows older than the watermark are dropped,
     every emitted slot count is still exact for the rows it kept."""
-    msgs = Q._messages_with_junk(spark, SF001)
+    msgs = Q._messages(spark, SF001)
     src = scratch_path(spark, "chunks-rev")
     for lo in (750, 0):
         chunk = msgs.filter((F.col("offset") >= lo) & (F.col("offset") < lo + 250))
@@ -86,7 +86,7 @@ def test_dedup_stream_equals_distinct_comments(spark):
 
 
 def test_feed_stream_fans_out_dead_letters(spark):
-    src = Q._landed_records(spark, SF001)
+    src = Q._landed_records(spark, SF001, junk=True)
     feed, dead = scratch_path(spark, "feed"), scratch_path(spark, "dead")
     q = live_stream.start_feed(live_stream.file_source(spark, src), feed, dead, scratch_path(spark, "ck"))
     q.awaitTermination()

@@ -115,9 +115,13 @@ flat AS (
 )"""
 
 RECS = """
-recs AS (SELECT * FROM comments WHERE "offset" % 97 <> 0),
+recs AS (SELECT * FROM comments),
 live AS (SELECT * FROM recs WHERE author IS NOT NULL AND subreddit IS NOT NULL)"""
 
+# the feed topic with every 97th message corrupted: those become dead letters
+RECS_WITH_JUNK = """
+recs AS (SELECT * FROM comments WHERE "offset" % 97 <> 0)"""
+
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
@@ -258,7 +262,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY count DESC, subr
 SELECT {_label('s')} AS minuteslot, subreddit, count, rank FROM ranked
 WHERE rank <= 20 AND s = (SELECT max(created_utc) - max(created_utc) % 60 FROM recs)""",
 
-    "q_live": _with(COMMENTS, RECS) + """
+    "q_live": _with(COMMENTS, RECS_WITH_JUNK) + """
 SELECT arrived_at AS secslot, subreddit, author, created_utc, body FROM recs
 WHERE arrived_at = (SELECT max(arrived_at) FROM recs)
 ORDER BY created_utc, author, body LIMIT 20""",

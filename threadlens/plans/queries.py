@@ -229,10 +229,16 @@ def q_to_json(spark, sf):
     return live.to_messages(_records(spark, sf), keep=("offset",))
 
 
+def _messages(spark, sf) -> DataFrame:
+    """Every comment as a published message (offset, arrival second, JSON)."""
+    return live.to_messages(_records(spark, sf), keep=("offset", "arrived_at"))
+
+
 def _messages_with_junk(spark, sf) -> DataFrame:
-    msgs = live.to_messages(_records(spark, sf), keep=("offset", "arrived_at"))
-    return msgs.withColumn("value", F.when(F.col("offset") % DEAD_LETTER_EVERY == 0, F.lit("not json"))
-                           .otherwise(F.col("value")))
+    """The same messages with corrupt ones mixed in (FIXTURES F8: every 97th
+    offset replaced by text that is not JSON), for the dead-letter path."""
+    return _messages(spark, sf).withColumn(
+        "value", F.when(F.col("offset") % DEAD_LETTER_EVERY == 0, F.lit("not json")).otherwise(F.col("value")))
 
 
 def q_dead_letter(spark, sf):
@@ -241,9 +247,9 @@ def q_dead_letter(spark, sf):
 
 # ---- live: streams --------------------------------------------------------------
 
-def _landed_records(spark, sf) -> str:
+def _landed_records(spark, sf, junk: bool = False) -> str:
     path = scratch_path(spark, "records")
-    live_stream.land_records(_messages_with_junk(spark, sf), path)
+    live_stream.land_records(_messages_with_junk(spark, sf) if junk else _messages(spark, sf), path)
     return path
 
 
@@ -269,13 +275,15 @@ def q_hour_authors(spark, sf):
 
 
 def q_trend_read(spark, sf):
-    recs = live.good_records(live.parse_messages(_messages_with_junk(spark, sf)))
+    recs = live.good_records(live.parse_messages(_messages(spark, sf)))
     trends = live.minute_trends(recs.dropna(subset=["author"]), "subreddit")
     return live.read_trend_slot(trends, recs, "subreddit")
 
 
 def q_live(spark, sf):
-    src = _landed_records(spark, sf)
+    """Feed stream over a topic with corrupt messages (split off as dead
+    letters), then the feed read of the newest second."""
+    src = _landed_records(spark, sf, junk=True)
     feed, dead = scratch_path(spark, "feed"), scratch_path(spark, "dead")
     q = live_stream.start_feed(live_stream.file_source(spark, src), feed, dead,
                                scratch_path(spark, "feed-ckpt"))
@@ -316,7 +324,7 @@ def q_upsert(spark, sf):
 
 def q_ttl(spark, sf):
     """Per-minute subreddit counts still alive 300 s after the newest comment."""
-    recs = live.good_records(live.parse_messages(_messages_with_junk(spark, sf)))
+    recs = live.good_records(live.parse_messages(_messages(spark, sf)))
     counts = live.slot_counts(recs.dropna(subset=["author"]), "subreddit", with_start=True)
     as_of = recs.select(F.max("created_utc")).scalar()
     return live.retained(counts, "slot_start", as_of, live.TREND_TTL_SECONDS).drop("slot_start")
