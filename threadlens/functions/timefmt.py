@@ -37,23 +37,26 @@ def utc_month(epoch) -> Column:
     return F.month(utc_date(epoch)).cast("bigint")
 
 
-def _second_of_day(epoch) -> Column:
-    return F.pmod(_c(epoch), F.lit(SECONDS_PER_DAY))
+# Every helper below mentions its input once.  Catalyst pushes filters
+# through projections by substituting column definitions, so a helper that
+# used its input ten times would copy an expensive input (say, a field of a
+# parsed JSON message) ten times into the pushed predicate.
+
+def utc_timestamp_ntz(epoch) -> Column:
+    """Epoch seconds as a ``timestamp_ntz`` holding the UTC wall clock:
+    1970-01-01 plus an interval, so no session zone is involved."""
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return origin + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), _c(epoch).cast("decimal(18,6)"))
 
 
 def slot_start(epoch, slot_seconds: int = 60) -> Column:
     """Start (epoch seconds) of the tumbling slot that contains ``epoch``."""
-    e = _c(epoch)
-    return e - F.pmod(e, F.lit(slot_seconds))
+    return (F.floor(_c(epoch) / F.lit(slot_seconds)) * F.lit(slot_seconds)).cast("bigint")
 
 
 def minute_slot(epoch) -> Column:
     """``yyyyMMddHHmm`` of epoch seconds as a bigint (UTC), e.g. 202401311259."""
-    d = utc_date(epoch)
-    sod = _second_of_day(epoch)
-    return (F.year(d).cast("bigint") * 100000000 + F.month(d).cast("bigint") * 1000000
-            + F.dayofmonth(d).cast("bigint") * 10000
-            + F.floor(sod / F.lit(3600)) * 100 + F.floor(F.pmod(sod, F.lit(3600)) / F.lit(60)))
+    return F.date_format(utc_timestamp_ntz(epoch), "yyyyMMddHHmm").cast("bigint")
 
 
 def slot_of_epoch(epoch, slot_seconds: int = 60) -> Column:
@@ -68,8 +71,4 @@ def second_slot(epoch) -> Column:
 
 def format_mdy_hms(epoch) -> Column:
     """``MM-dd-yyyy HH:mm:ss`` in UTC."""
-    sod = _second_of_day(epoch)
-    return F.concat(
-        F.date_format(utc_date(epoch), "MM-dd-yyyy"), F.lit(" "),
-        F.format_string("%02d:%02d:%02d", F.floor(sod / F.lit(3600)),
-                        F.floor(F.pmod(sod, F.lit(3600)) / F.lit(60)), F.pmod(sod, F.lit(60))))
+    return F.date_format(utc_timestamp_ntz(epoch), "MM-dd-yyyy HH:mm:ss")

@@ -90,8 +90,16 @@ def _as_of(records: DataFrame, as_of, time_col: str, default_lag: int) -> Column
 def read_trend_slot(trends: DataFrame, records: DataFrame, key: str, as_of=None,
                     time_col: str = "created_utc", lag: int = TREND_LAG_SECONDS,
                     slot_seconds: int = 60, k: int = TOP_K) -> DataFrame:
-    """Top list of the slot ``lag`` seconds before ``as_of``, largest first."""
-    want = slot_of_epoch(_as_of(records, as_of, time_col, lag) - F.lit(lag), slot_seconds)
+    """Top list of the slot ``lag`` seconds before ``as_of``, largest first.
+
+    Without ``as_of`` the wanted slot label is computed inside one scalar
+    subquery: the label expression references its input many times, and a
+    subquery placed inside it would be planned (and run) once per reference.
+    """
+    if as_of is not None:
+        want = slot_of_epoch(F.lit(int(as_of) - lag).cast("bigint"), slot_seconds)
+    else:   # default "now" = newest time + lag, so the slot read is the newest one
+        want = records.select(slot_of_epoch(F.max(time_col), slot_seconds).alias("slot")).scalar()
     return (trends.filter(F.col("minuteslot") == want)
             .orderBy(F.col("count").desc(), F.col(key)).limit(k))
 

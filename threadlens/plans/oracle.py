@@ -262,6 +262,13 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY count DESC, subr
 SELECT {_label('s')} AS minuteslot, subreddit, count, rank FROM ranked
 WHERE rank <= 20 AND s = (SELECT max(created_utc) - max(created_utc) % 60 FROM recs)""",
 
+    "q_hour_trend_read": _with(COMMENTS, RECS, """
+cnt AS (SELECT created_utc - created_utc % 3600 AS s, author, CAST(count(*) AS INTEGER) AS count
+        FROM live GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY count DESC, author) AS rank FROM cnt)""") + f"""
+SELECT {_label('s')} AS minuteslot, author, count, rank FROM ranked
+WHERE rank <= 20 AND s = (SELECT max(created_utc) - max(created_utc) % 3600 FROM recs)""",
+
     "q_live": _with(COMMENTS, RECS_WITH_JUNK) + """
 SELECT arrived_at AS secslot, subreddit, author, created_utc, body FROM recs
 WHERE arrived_at = (SELECT max(arrived_at) FROM recs)

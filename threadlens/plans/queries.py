@@ -280,6 +280,13 @@ def q_trend_read(spark, sf):
     return live.read_trend_slot(trends, recs, "subreddit")
 
 
+def q_hour_trend_read(spark, sf):
+    """Top authors of the hour slot two minutes before "now" (1-hour slots)."""
+    recs = live.good_records(live.parse_messages(_messages(spark, sf)))
+    trends = live.minute_trends(recs, "author", slot_seconds=HOUR)
+    return live.read_trend_slot(trends, recs, "author", slot_seconds=HOUR)
+
+
 def q_live(spark, sf):
     """Feed stream over a topic with corrupt messages (split off as dead
     letters), then the feed read of the newest second."""
