@@ -96,9 +96,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique path under the shared checkpoint root.  Its folder is
+    removed when the session's JVM ends (a result may read it until then)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/threadlens/{name}-{uuid.uuid4().hex[:12]}"
+    folder = f"{root}/threadlens/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def local_path(path: str) -> str:
