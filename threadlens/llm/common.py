@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,3 +71,19 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     renamed = right.select([F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = [left[c].eqNullSafe(renamed[f"__r_{c}"]) for c in keys]
     return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in keys])
+
+
+def text_score(setup: Callable[[], Callable[[pd.Series], np.ndarray]]) -> Callable[..., Column]:
+    """A column function text -> double.  ``setup`` runs once in each task and
+    gives a function over a batch of texts; batches are bounded by Spark's
+    Arrow batch size, and other columns never leave the JVM."""
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        score = setup()
+        for texts in batches:
+            yield pd.Series(score(texts), dtype="float64")
+    return run
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -30.0, 30.0)))

@@ -5,7 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlens.llm import mixing, near_dup, sharding
+from threadlens.llm import (
+    fingerprints,
+    language,
+    mixing,
+    near_dup,
+    packing,
+    quality,
+    search,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from threadlens.llm.common import table
 
 
@@ -14,6 +25,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into bins without conflicts of source or cluster."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -24,6 +40,41 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_near_dup, op4_sharding)}
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20."""
+    docs = table(spark, sf_dir, "documents")
+    return search.top_k(docs, docs.filter("doc_id % 20 = 0"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return url_filter.judged_urls(table(spark, sf_dir, "pages")).drop("score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_packing, op3_near_dup, op4_sharding, op5_fingerprints, op6_language, op7_search, op8_toxicity,
+    op9_url_filter, op10_quality)}
 
+#: Learnt models, sketches, packing and ranked search have no SQL form; they
+#: are tested against brute force, round trips and held-out rows.
 ORACLE = {"op1_mixing": mixing.ORACLE, "op3_near_dup": near_dup.ORACLE, "op4_sharding": sharding.ORACLE}
