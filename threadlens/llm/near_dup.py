@@ -197,16 +197,20 @@ def far_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
               .withColumn("place", F.row_number().over(by_rep.orderBy("n", "value"))
                           + F.col("size") - F.col("shared"))
               .filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
-              .select("value", "rep", "label", "size", "shared"))
+              .select("value", "rep", "label", "size", "shared", (F.col("size") - F.col("place")).alias("behind")))
     prefix = stash(prefix, "long-lists")
     major = prefix.groupBy("value", "label").agg(F.count(F.lit(1)).alias("c")) \
         .groupBy("value").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("labels")) \
         .filter("labels > 1").select("value", F.col("top.label").alias("major"))
     left = prefix.join(major, "value").filter(F.col("label") != F.col("major")).drop("major")
-    right = prefix.select("value", *[F.col(c).alias(c + "2") for c in ("rep", "label", "size", "shared")])
+    right = prefix.select("value", *[F.col(c).alias(c + "2") for c in ("rep", "label", "size", "shared", "behind")])
     common = F.least("shared", "shared2")
+    # values stand in one order in all sets, so the first common value of a
+    # link has room behind it, in both sets, for the rest of the overlap
+    overlap = F.ceil((F.col("size") + F.col("size2")) * percent / (100 + percent))
     pairs = left.join(right, "value").filter(
         (F.col("label") != F.col("label2"))
+        & (F.least("behind", "behind2") + 1 >= overlap)
         & (F.lit(100) * F.least("size", "size2") >= F.lit(percent) * F.greatest("size", "size2"))
         & (F.lit(100) * common >= F.lit(percent) * (F.col("size") + F.col("size2") - common))) \
         .select(*_pair("rep", "rep2")).distinct()
