@@ -67,7 +67,7 @@ def test_malformed_and_missing_key_messages(spark):
     assert [(d.offset, d.message) for d in dead] == [(2, "not json")]
     good = live.good_records(parsed)
     assert good.count() == 2
-    trends = live.minute_trends(good, "subreddit").collect()
+    trends = live.minute_trends(good, "subreddit", "created_utc").collect()
     assert [(t.subreddit, t["count"]) for t in trends] == [("s", 1)]
 
 
@@ -128,7 +128,7 @@ def test_top_20_per_minute(spark):
         for j in range(25 - a):
             rows.append({"author": f"a{a:02d}", "subreddit": "s", "created_utc": 120 + j % 60})
     recs = spark.createDataFrame(rows, "author string, subreddit string, created_utc long")
-    top = live.minute_trends(recs, "author").orderBy("rank").collect()
+    top = live.minute_trends(recs, "author", "created_utc").orderBy("rank").collect()
     assert len(top) == 20
     assert [t["count"] for t in top] == list(range(25, 5, -1))
     assert [t.rank for t in top] == list(range(1, 21))

@@ -58,3 +58,28 @@ def test_snapshot_scan_is_pruned(spark):
 def test_distinct_counts_use_expand(spark):
     df = snapshot.monthly_stats(fixtures.load_comments(spark, SF001))
     assert "Expand" in explain_string(df)
+
+
+def test_slot_reads_open_one_day(spark):
+    """Stored trends and feed: the day is a partition filter, the slot is pushed."""
+    from threadlens.plans import queries as Q
+    for name in ("q_trend_read", "q_hour_trend_read", "q_live"):
+        plan = explain_string(Q.QUERIES[name](spark, SF001))
+        line = next(ln for ln in plan.splitlines() if "PartitionFilters" in ln)
+        assert "day" in line.split("PartitionFilters")[1]
+        assert any("EqualTo(minuteslot" in f or "EqualTo(secslot" in f
+                   for f in pushed_filters(Q.QUERIES[name](spark, SF001)))
+
+
+def test_recommender_narrows_authors_before_distinct(spark):
+    from threadlens.operators import recommend
+    c = fixtures.load_comments(spark, SF001)
+    plan = explain_string(recommend.graph_recommend(c, graph.reply_edges(c)))
+    assert "LeftSemi" in plan
+
+
+def test_high_water_filter_sits_below_the_dedup(spark):
+    from threadlens.plans import queries as Q
+    plan = explain_string(Q.q_new_comments(spark, SF001)).splitlines()
+    depth = {k: next(i for i, ln in enumerate(plan) if k in ln) for k in ("Filter", "Aggregate")}
+    assert depth["Filter"] > depth["Aggregate"]  # printed from the root down

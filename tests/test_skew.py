@@ -70,19 +70,3 @@ def test_whale_author_first_post_and_counts(spark):
     assert first["whale"] == 1704067201
     plan = explain_string(history.first_posts(c))
     assert "WindowGroupLimit" in plan
-
-
-def test_explicit_hot_parent_split_equals_plain_join(spark):
-    c = _skewed(spark)
-    plain = graph.reply_edges(c)
-    split = graph.reply_edges(c, hot_parent_threshold=1000)
-    assert split.count() == plain.count() == N - 1
-    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
-    plan = explain_string(split)
-    assert "BroadcastHashJoin" in plan
-
-
-def test_hot_set_bound_keeps_every_edge(spark):
-    c = _skewed(spark)
-    split = graph.reply_edges(c, hot_parent_threshold=0, hot_parents_max=5)
-    assert split.count() == N - 1

@@ -10,12 +10,11 @@ from threadlens.sources import fixtures
 from threadlens.streaming import live_stream
 
 
-def _batch_closed(spark, key, slot_seconds, delay_seconds=120):
-    recs = live.good_records(live.parse_messages(Q._messages(spark, SF001)))
-    recs = recs.dropna(subset=["author", "subreddit"])
-    newest = recs.agg(F.max("created_utc")).first()[0]
-    counts = live.slot_counts(recs, key, slot_seconds=slot_seconds, with_start=True)
-    closed = counts.filter(F.col("slot_start") + slot_seconds <= newest - delay_seconds).drop("slot_start")
+def _batch_closed(spark, key, slot_seconds, rate, delay):
+    recs = live.good_records(live.parse_messages(Q._messages(spark, SF001, rate)))
+    newest = recs.agg(F.max("arrived_at")).first()[0]
+    counts = live.slot_counts(recs, key, "arrived_at", slot_seconds, with_start=True)
+    closed = counts.filter(F.col("slot_start") + slot_seconds <= newest - delay).drop("slot_start")
     return live.top_per_slot(closed, key)
 
 
@@ -24,48 +23,52 @@ def _rows(df, cols):
 
 
 def test_stream_trends_equal_batch_on_closed_windows(spark):
-    for key, slot in (("subreddit", 60), ("author", 3600)):
-        stream = Q._stream_trends(spark, SF001, key, slot_seconds=slot)
-        batch = _batch_closed(spark, key, slot)
+    for key, slot, rate, delay in (("subreddit", 60, Q.MINUTE_RATE, 5), ("author", 3600, Q.HOUR_RATE, 120)):
+        stream = Q._stream_trends(spark, SF001, key, slot, rate, delay)
         cols = ["minuteslot", key, "count", "rank"]
-        assert _rows(stream, cols) == _rows(batch, cols)
-
-
-def test_stream_in_several_batches_equals_one_batch(spark):
-    """The topic landed in four offset chunks, one after the other, and read
-    one file per trigger: event time (arrival) only moves forward, nothing is
-    late, and the result equals a single-batch run."""
-    msgs = Q._messages(spark, SF001)
-    src = scratch_path(spark, "chunks")
-    for lo in range(0, 1000, 250):
-        chunk = msgs.filter((F.col("offset") >= lo) & (F.col("offset") < lo + 250))
-        live_stream.land_records(chunk, src, partitions=1, mode="append")
+        rows = _rows(stream, cols)
+        assert rows == _rows(_batch_closed(spark, key, slot, rate, delay), cols) and rows
+
+
+def test_a_topic_in_order_loses_nothing_over_several_triggers(spark):
+    """Four triggers or one: the same slots, and no archived comment missing."""
+    src = Q._landed_records(spark, SF001, rate=Q.HOUR_RATE)
     outs = []
     for per_trigger in (None, 1):
         out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
         q = live_stream.start_slot_trends(
             live_stream.file_source(spark, src, max_files_per_trigger=per_trigger), "subreddit", out, ckpt,
-            time_col="arrived_at", delay="1 hour")
+            slot_seconds=3600, delay="2 minutes")
         q.awaitTermination()
+        batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+        assert len(batches) == (4 if per_trigger else 1)
         outs.append(_rows(spark.read.parquet(out), ["minuteslot", "subreddit", "count", "rank"]))
+        short = live_stream.slot_shortfall(Q._records(spark, SF001, Q.HOUR_RATE), spark.read.parquet(out), "subreddit",
+                                           Q._newest(spark, SF001, Q.HOUR_RATE) - 120, 3600)
+        assert short.isEmpty()
     assert outs[0] == outs[1] and len(outs[0]) > 0
 
 
-def test_late_rows_are_dropped_not_double_counted(spark):
-    """Chunks landed newest first: rows older than the watermark are dropped,
-    every emitted slot count is still exact for the rows it kept."""
-    msgs = Q._messages(spark, SF001)
-    src = scratch_path(spark, "chunks-rev")
-    for lo in (750, 0):
-        chunk = msgs.filter((F.col("offset") >= lo) & (F.col("offset") < lo + 250))
-        live_stream.land_records(chunk, src, partitions=1, mode="append")
-    out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
-    q = live_stream.start_slot_trends(live_stream.file_source(spark, src, max_files_per_trigger=1),
-                                      "subreddit", out, ckpt, time_col="arrived_at", delay="1 hour")
-    q.awaitTermination()
-    got = spark.read.parquet(out)
-    assert got.count() > 0
-    assert got.count() == got.select("minuteslot", "subreddit").distinct().count()
+def test_counted_plus_reported_late_equals_the_input(spark):
+    """Chunks landed newest first: the watermark drops rows, the report names
+    every one of them, and the repair puts them back."""
+    from threadlens.operators import sink
+    rate, slot = Q.HOUR_RATE, 3600
+    out = Q._trend_table(spark, SF001, "subreddit", slot, rate, 120, newest_first=True)
+    archive, until = Q._records(spark, SF001, rate), Q._newest(spark, SF001, rate) - 120
+    stored = spark.read.parquet(out)
+    short = live_stream.slot_shortfall(archive, stored, "subreddit", until, slot)
+    late = short.agg(F.sum("missing")).first()[0]
+    counted = stored.select("minuteslot", "slot_total").distinct().agg(F.sum("slot_total")).first()[0] or 0
+    whole = live.slot_counts(archive, "subreddit", "arrived_at", slot, with_start=True) \
+        .filter(F.col("slot_start") + slot <= until).agg(F.sum("count")).first()[0]
+    assert late > 0 and counted + late == whole
+    compact = scratch_path(spark, "compact")
+    assert live_stream.repair_slots(spark, archive, out, compact, "subreddit", until, slot)
+    cols = ["minuteslot", "subreddit", "count", "rank"]
+    assert _rows(sink.read_compacted(spark, out, compact), cols) == \
+        _rows(_batch_closed(spark, "subreddit", slot, rate, 120), cols)
+    assert not live_stream.repair_slots(spark, archive, out, compact, "subreddit", until, slot)
 
 
 def test_stream_restart_is_idempotent(spark):
@@ -73,7 +76,8 @@ def test_stream_restart_is_idempotent(spark):
     src = Q._landed_records(spark, SF001)
     out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
     for _ in range(2):
-        q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt)
+        q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt,
+                                          delay="5 seconds")
         q.awaitTermination()
     df = spark.read.parquet(out)
     assert df.count() == df.select("minuteslot", "author").distinct().count()
@@ -106,7 +110,8 @@ def test_rocksdb_state_store_gives_same_trends(spark):
             if rocks:
                 live_stream.use_rocksdb_state(spark)
             out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
-            q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt)
+            q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt,
+                                          delay="5 seconds")
             q.awaitTermination()
             outs.append(_rows(spark.read.parquet(out), ["minuteslot", "author", "count", "rank"]))
     finally:
@@ -136,20 +141,62 @@ def test_dedup_across_batches_with_out_of_order_creation(spark):
     assert got.count() == got.select("id").distinct().count() == 1000
 
 
-def test_compaction_keeps_rows_and_reader_unions(spark):
+def test_late_pages_are_found(spark):
+    """Pages landed newest first: what the watermark drops, ``unseen_comments``
+    names."""
+    from threadlens.sources.schema import FEED_PAGE_SCHEMA
+    pages = live.pages_from_records(fixtures.load_comments(spark, SF001, with_arrival=True))
+    src = scratch_path(spark, "pages-late")
+    for lo in (6, 3, 0, 9):
+        pages.filter((F.col("page") >= lo) & (F.col("page") < lo + 3)).coalesce(1).write.mode("append").parquet(src)
+    out = scratch_path(spark, "dedup-late")
+    live_stream.start_dedup(spark, src, out, scratch_path(spark, "ck"), delay="1 second").awaitTermination()
+    seen = spark.read.parquet(out)
+    lost = live.unseen_comments(live.flatten_pages(spark.read.schema(FEED_PAGE_SCHEMA).parquet(src)), seen)
+    assert lost.count() > 0 and lost.count() + seen.count() == 1000
+
+
+def test_compaction_hides_no_row(spark):
+    """Compact some days, append a late batch to a compacted day, compact
+    again, expire: every living row is read exactly once, with pruned folders."""
     from threadlens.operators import sink
-    src = Q._landed_records(spark, SF001)
-    out, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
-    q = live_stream.start_slot_trends(live_stream.file_source(spark, src), "author", out, ckpt)
-    q.awaitTermination()
-    raw = spark.read.parquet(out)
-    days = sorted(r.day for r in raw.select("day").distinct().collect())
-    compact = scratch_path(spark, "compact")
-    for _ in range(2):                      # idempotent
-        sink.compact_days(spark.read.parquet(out), compact, days[: len(days) // 2], ["minuteslot", "rank"])
-    merged = sink.read_compacted(spark.read.parquet(out), spark.read.parquet(compact))
-    cols = ["day", "minuteslot", "author", "count", "rank"]
-    assert _rows(merged, cols) == _rows(raw, cols)
     from threadlens.plans.inspect import explain_string
-    filters = [ln for ln in explain_string(merged).splitlines() if "PartitionFilters" in ln]
-    assert any("day" in ln and "Subquery" in ln for ln in filters)   # raw days pruned at the scan
+    raw, compact = scratch_path(spark, "raw"), scratch_path(spark, "compact")
+    rows = [(d, b, n) for d in (20240101, 20240102, 20240103) for b in (0, 1) for n in range(5)]
+    schema = "day bigint, batch bigint, n bigint"
+
+    def put(items):
+        sink.overwrite_partitions(spark.createDataFrame(items, schema), raw, ["day", "batch"])
+
+    def read(days=None):
+        return sorted((r.day, r.n) for r in sink.read_compacted(spark, raw, compact, days).collect())
+    put(rows)
+    assert read() == sorted((d, n) for d, _, n in rows)
+    for _ in range(2):
+        sink.compact_days(spark, raw, compact, [20240101, 20240103, 20231231], ["n"])
+    assert read() == sorted((d, n) for d, _, n in rows)
+    late = [(20240101, 2, 77), (20240102, 2, 78)]
+    put(late)
+    assert read() == sorted((d, n) for d, _, n in rows + late)
+    sink.compact_days(spark, raw, compact, [20240101], ["n"])
+    assert read() == sorted((d, n) for d, _, n in rows + late)
+    assert read([20240102]) == sorted((d, n) for d, _, n in rows + late if d == 20240102)
+    filters = [ln for ln in explain_string(sink.read_compacted(spark, raw, compact, [20240101])).splitlines()
+               if "PartitionFilters" in ln]
+    assert filters and all("day" in ln for ln in filters)
+    assert sink.expire_days(spark, [raw, compact], 20240102) == [20240101]
+    assert read() == sorted((d, n) for d, _, n in rows + late if d > 20240101)
+
+
+def test_upsert_touches_only_its_buckets(spark):
+    from threadlens.operators import sink
+    path = scratch_path(spark, "kv")
+    old = [(f"k{i}", 1, "old") for i in range(100)]
+    sink.upsert_table(spark.createDataFrame(old, "k string, v int, x string"), path, ["k"], [F.col("v")], buckets=16)
+    before = dict(spark.read.parquet(path).withColumn("f", F.input_file_name()).select("bucket", "f").distinct().collect())
+    new = [("k1", 2, "new"), ("k2", 0, "stale"), ("z", 5, "added")]
+    sink.upsert_table(spark.createDataFrame(new, "k string, v int, x string"), path, ["k"], [F.col("v")], buckets=16)
+    table = {r.k: r.x for r in spark.read.parquet(path).collect()}
+    assert len(table) == 101 and (table["k1"], table["k2"], table["z"]) == ("new", "old", "added")
+    after = dict(spark.read.parquet(path).withColumn("f", F.input_file_name()).select("bucket", "f").distinct().collect())
+    assert sum(after[b] != f for b, f in before.items()) <= 3

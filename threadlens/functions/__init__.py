@@ -7,4 +7,4 @@ from threadlens.functions.ids import (  # noqa: F401
 from threadlens.functions.timefmt import (  # noqa: F401
     epoch_seconds, utc_date, utc_year, utc_month, minute_slot, second_slot,
     slot_start, format_mdy_hms, slot_of_epoch)
-from threadlens.functions.text import html_title, title_head, trimmed  # noqa: F401
+from threadlens.functions.text import html_title, title_head  # noqa: F401

@@ -21,7 +21,3 @@ def html_title(html) -> Column:
 def title_head(title) -> Column:
     """Title up to its first ``:`` (whole title when there is none)."""
     return F.substring_index(_c(title), ":", 1)
-
-
-def trimmed(col) -> Column:
-    return F.trim(_c(col))

@@ -8,6 +8,8 @@ original jobs silently used the host zone while labelling output "UTC").
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,11 @@ def utc_date(epoch) -> Column:
     return F.date_from_unix_date(F.floor(_c(epoch) / F.lit(SECONDS_PER_DAY)).cast("int"))
 
 
+def day_number(epoch) -> Column:
+    """``yyyyMMdd`` of epoch seconds as a bigint (UTC), e.g. 20240131."""
+    return F.date_format(utc_date(epoch), "yyyyMMdd").cast("bigint")
+
+
 def utc_year(epoch) -> Column:
     return F.year(utc_date(epoch)).cast("bigint")
 
@@ -64,6 +71,16 @@ def slot_of_epoch(epoch, slot_seconds: int = 60) -> Column:
     return minute_slot(slot_start(epoch, slot_seconds))
 
 
+def slot_label(epoch: int, slot_seconds: int = 60) -> int:
+    """``slot_of_epoch`` of a number, for a read at a known time."""
+    return int(time.strftime("%Y%m%d%H%M", time.gmtime(epoch // slot_seconds * slot_seconds)))
+
+
+def day_label(epoch: int) -> int:
+    """``day_number`` of a number."""
+    return int(time.strftime("%Y%m%d", time.gmtime(epoch)))
+
+
 def second_slot(epoch) -> Column:
     """Arrival second of a live comment (floor of epoch seconds)."""
     return F.floor(_c(epoch)).cast("bigint")
@@ -72,3 +89,8 @@ def second_slot(epoch) -> Column:
 def format_mdy_hms(epoch) -> Column:
     """``MM-dd-yyyy HH:mm:ss`` in UTC."""
     return F.date_format(utc_timestamp_ntz(epoch), "MM-dd-yyyy HH:mm:ss")
+
+
+def display_time(epoch) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` in UTC, as a feed shows it."""
+    return F.date_format(utc_timestamp_ntz(epoch), "yyyy-MM-dd HH:mm:ss")

@@ -12,10 +12,21 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.operators import graph, history, recommend, snapshot
-from threadlens.operators.sink import clustered
+from threadlens.functions.timefmt import day_label
+from threadlens.operators import graph, history, live, recommend, snapshot
+from threadlens.operators.sink import (
+    clustered,
+    compact_days,
+    drop_partition,
+    expire_days,
+    overwrite_partitions,
+    partitions_of,
+)
+from threadlens.session import scratch_path
 from threadlens.sources import json_source, lists
 
+EDGE_MONTHS = ["resp_month", "orig_month"]
+
 
 def ingest_job(spark: SparkSession, source: str, out: str, dead_out: str, mode: str = "errorifexists"):
     json_source.ingest(spark, source, out, dead_out, mode=mode)
@@ -43,72 +54,87 @@ def snapshot_month_job(spark: SparkSession, comments_path: str, out: str, year:
                        n: int = 100):
     """Recompute one month of subredditinfo; only that (year, month)
     partition is read (directory pruning) and replaced."""
-    from threadlens.operators.sink import overwrite_partitions
     comments = json_source.read_comments_parquet(spark, comments_path).filter(
         (F.col("year") == year) & (F.col("month") == month))
     table = snapshot.top_subreddits_per_month(snapshot.monthly_stats(comments), n)
     overwrite_partitions(table, f"{out}/subredditinfo", ["year", "month"])
 
 
-def latest_degrees(spark: SparkSession, out: str, before: int | None = None):
-    """Newest version of the degree table (optionally the newest older than
-    ``before``)."""
-    degs = spark.read.parquet(f"{out}/degrees")
-    if before is not None:
-        degs = degs.filter(F.col("version") < before)
-    newest = degs.select(F.max("version")).scalar()
-    return degs.filter(F.col("version") == newest).drop("version")
+def _with_month_id(comments):
+    return comments.withColumn("month_id", (F.col("year") * 100 + F.col("month")).cast("int"))
+
+
+def _write_degrees(spark: SparkSession, out: str, edges, mode: str | None = None) -> None:
+    """Degrees of each (resp_month, orig_month) pair, next to its edges; files
+    sorted so that a per-subreddit read skips row groups by their statistics."""
+    degs = graph.all_degrees(edges, by=EDGE_MONTHS).sortWithinPartitions(
+        "kind", "subreddit", F.col("rank").desc(), "author")
+    if mode:
+        degs.write.mode(mode).partitionBy(*EDGE_MONTHS).parquet(f"{out}/degrees")
+    else:
+        overwrite_partitions(degs, f"{out}/degrees", EDGE_MONTHS)
+
+
+def current_degrees(spark: SparkSession, out: str):
+    """The degree table: the stored pairs of months summed, with map-side
+    partial sums."""
+    return graph.summed_degrees(spark.read.parquet(f"{out}/degrees"))
 
 
 def graph_job(spark: SparkSession, comments_path: str, out: str, mode: str = "overwrite"):
-    """Edges written once (lineage cut), then both degree tables and leaders
-    from the written edges.  Edges are partitioned by ``added`` (0 = this full
-    build, yyyymm = a month added later) and degrees by ``version``, so an
-    increment never rewrites history."""
-    comments = json_source.read_comments_parquet(spark, comments_path)
-    graph.reply_edges(comments).withColumn("added", F.lit(0)) \
-        .write.mode(mode).partitionBy("added").parquet(f"{out}/edges")
-    edges = spark.read.parquet(f"{out}/edges").drop("added")
-    # files sorted by (subreddit, rank desc): a per-subreddit read skips row
-    # groups by min/max statistics; a local sort, no extra shuffle
-    degs = graph.all_degrees(edges).sortWithinPartitions("kind", "subreddit", F.col("rank").desc(), "author")
-    degs.withColumn("version", F.lit(0)).write.mode(mode).partitionBy("version", "kind") \
-        .parquet(f"{out}/degrees")
-    graph.engagement(edges).write.mode(mode).parquet(f"{out}/engagement")
+    """Edges written once (lineage cut), then degrees and leaders from them.
+
+    Edges and degrees are partitioned by the months of both ends, so the full
+    build and ``graph_increment_job`` write the same layout, and a month can be
+    added or replaced at any time without touching the other pairs."""
+    comments = _with_month_id(json_source.read_comments_parquet(spark, comments_path))
+    graph.all_month_edges(comments).write.mode(mode).partitionBy(*EDGE_MONTHS).parquet(f"{out}/edges")
+    _write_degrees(spark, out, spark.read.parquet(f"{out}/edges"), mode)
+    graph.engagement_of(current_degrees(spark, out)).write.mode(mode).parquet(f"{out}/engagement")
 
 
 def graph_increment_job(spark: SparkSession, comments_path: str, out: str, year: int, month: int):
-    """Add one newly ingested month to the graph tables.
-
-    The month's replies (parents from any month) become the ``added=yyyymm``
-    partition of the edges, and degree ``version=yyyymm`` is the newest older
-    version plus the month's delta.  Both writes replace only their own
-    partitions, so re-running a month gives the same tables.
-    """
-    from threadlens.operators.sink import overwrite_partitions
+    """Add one stored month to the graph tables, or replace it.
+
+    All edges with an end in the month are found again (new replies to any
+    parent, old replies to new parents) and their pairs of months replaced, so
+    months may come in any order and any number of times.  Pairs that have no
+    edges any more go.  The leaders follow from the summed degrees."""
     tag = year * 100 + month
-    all_comments = json_source.read_comments_parquet(spark, comments_path)
-    new = all_comments.filter((F.col("year") == year) & (F.col("month") == month))
-    overwrite_partitions(graph.incremental_edges(new, all_comments).withColumn("added", F.lit(tag)),
-                         f"{out}/edges", ["added"])
-    delta = spark.read.parquet(f"{out}/edges").filter(F.col("added") == tag).drop("added")
-    merged = (graph.merge_degrees(latest_degrees(spark, out, before=tag), delta)
-              .withColumn("version", F.lit(tag))
-              .sortWithinPartitions("kind", "subreddit", F.col("rank").desc(), "author"))
-    overwrite_partitions(merged, f"{out}/degrees", ["version", "kind"])
+    comments = _with_month_id(json_source.read_comments_parquet(spark, comments_path))
+    edges_path = f"{out}/edges"
+    before = {p for p in partitions_of(spark, edges_path, *EDGE_MONTHS) if tag in p}
+    new = _stored(spark, graph.month_edges(comments, tag), "month-edges")
+    now = {(r[0], r[1]) for r in new.select(*EDGE_MONTHS).distinct().collect()}  # pairs of months
+    if now:
+        overwrite_partitions(new, edges_path, EDGE_MONTHS)
+        _write_degrees(spark, out, new)
+    for resp, orig in before - now:
+        for path in (edges_path, f"{out}/degrees"):
+            drop_partition(spark, path, resp_month=resp, orig_month=orig)
+    graph.engagement_of(current_degrees(spark, out)).write.mode("overwrite").parquet(f"{out}/engagement")
 
 
 def recommend_job(spark: SparkSession, comments_path: str, edges_path: str, out: str,
                   block_list: str | None = None, by: str = "outdegree", mode: str = "overwrite"):
     comments = json_source.read_comments_parquet(spark, comments_path)
     block = lists.read_name_list(spark, block_list) if block_list else None
-    edges = spark.read.parquet(edges_path).drop("added")
-    recommend.graph_recommend(comments, edges, block, by=by) \
+    edges = spark.read.parquet(edges_path)
+    recommend.graph_recommend(comments, edges, block, by=by, cut=lambda df: _stored(spark, df, "leaders")) \
         .write.mode(mode).parquet(f"{out}/recommendations")
 
 
-def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode: str = "overwrite"):
-    """Counts, id maps, implicit ALS model and top-n recommendations."""
+def _stored(spark: SparkSession, df, name: str):
+    """``df`` written to the shared scratch folder and read back."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode: str = "overwrite",
+            blocks: int = recommend.ALS_BLOCKS):
+    """Counts, id maps, implicit ALS model and top-n recommendations.
+    ``blocks`` is part of the model (see ``ALS_BLOCKS``)."""
     comments = json_source.read_comments_parquet(spark, comments_path)
     recommend.interaction_counts(comments).write.mode(mode).parquet(f"{out}/counts")
     counts = spark.read.parquet(f"{out}/counts")
@@ -117,7 +143,6 @@ def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode
     users.write.mode(mode).parquet(f"{out}/userhash")
     items.write.mode(mode).parquet(f"{out}/producthash")
     recommend.hash_audit(counts, "author").write.mode(mode).parquet(f"{out}/hash_audit")
-    blocks = recommend.als_blocks(counts.count(), spark.sparkContext.defaultParallelism)
     model = recommend.train_als(recommend.als_ratings(counts), blocks=blocks)
     model.write().overwrite().save(f"{out}/model")
     recommend.als_recommend(model, spark.read.parquet(f"{out}/userhash"),
@@ -126,35 +151,76 @@ def als_job(spark: SparkSession, comments_path: str, out: str, n: int = 10, mode
 
 
 def live_job(spark: SparkSession, source, out: str, checkpoint_root: str, slot_seconds: int = 60,
-             delay: str = "2 minutes", trigger: str = "10 seconds", available_now: bool = False):
+             delay: str = "2 minutes", trigger: str = "10 seconds", available_now: bool = False,
+             state_partitions: int | None = None):
     """The live products on one stream of comment JSON: feed + dead letters,
     top subreddits and top authors per slot, and the JSON archive.  Four
-    queries, each with its own checkpoint; ``source()`` returns a fresh
-    (offset, timestamp, value) stream (Kafka on a cluster, landed files in
-    tests).  Stateful queries keep their state in RocksDB."""
+    queries, each with its own checkpoint; ``source()`` returns a fresh record
+    stream (Kafka on a cluster, landed files in tests).  Stateful queries keep
+    their state in RocksDB.  If one query fails, the others are stopped and its
+    error is raised."""
     from threadlens.streaming import live_stream as ls
     ls.use_rocksdb_state(spark)
     run = dict(available_now=available_now, processing_time=None if available_now else trigger)
+    trends = dict(slot_seconds=slot_seconds, delay=delay, state_partitions=state_partitions, **run)
     queries = [
         ls.start_feed(source(), f"{out}/feed", f"{out}/dead_letters", f"{checkpoint_root}/feed", **run),
-        ls.start_slot_trends(source(), "subreddit", f"{out}/top_subreddits", f"{checkpoint_root}/subreddits",
-                             slot_seconds=slot_seconds, delay=delay, **run),
-        ls.start_slot_trends(source(), "author", f"{out}/top_authors", f"{checkpoint_root}/authors",
-                             slot_seconds=slot_seconds, delay=delay, **run),
+        ls.start_slot_trends(source(), "subreddit", f"{out}/top_subreddits", f"{checkpoint_root}/subreddits", **trends),
+        ls.start_slot_trends(source(), "author", f"{out}/top_authors", f"{checkpoint_root}/authors", **trends),
         ls.start_archive(source(), f"{out}/archive", f"{checkpoint_root}/archive", **run),
     ]
-    for q in queries:
-        q.awaitTermination()
+    try:
+        while any(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination()   # raises the error of a query that failed
+            spark.streams.resetTerminated()
+        for q in queries:
+            q.awaitTermination()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
     return queries
 
 
+ARCHIVE_SCHEMA = ("author string, parent_id string, score bigint, name string, subreddit string, link_url string, "
+                  "created_utc bigint, body string, topic string, partition int, offset bigint, arrived_at bigint, "
+                  "day bigint")
+
+
+def maintain_live_job(spark: SparkSession, out: str, as_of: int, delay: int = 120, slot_seconds: int = 60,
+                      trend_ttl: int = live.TREND_TTL_SECONDS, feed_ttl: int = live.FEED_TTL_SECONDS) -> dict:
+    """Upkeep of the live tables at time ``as_of``: put back what the trend
+    streams dropped as late, compact closed days, drop days past their time to
+    live.  Safe to run again, and beside the streams: it never touches a raw
+    batch of a day that is still open."""
+    from threadlens.streaming import live_stream as ls
+    done: dict = {}
+    today = day_label(as_of)
+    archive = spark.read.schema(ARCHIVE_SCHEMA).json(f"{out}/archive")
+    for key, name in (("subreddit", "top_subreddits"), ("author", "top_authors")):
+        raw, compact = f"{out}/{name}", f"{out}/{name}_compacted"
+        done[f"repaired {name}"] = ls.repair_slots(spark, archive, raw, compact, key, as_of - delay, slot_seconds)
+        days = sorted({d for (d,) in partitions_of(spark, raw, "day") if d < today})
+        compact_days(spark, raw, compact, days, ["minuteslot", "rank"])
+        done[f"expired {name}"] = expire_days(spark, [raw, compact], day_label(as_of - trend_ttl))
+    days = sorted({d for (d,) in partitions_of(spark, f"{out}/feed", "day") if d < today})
+    compact_days(spark, f"{out}/feed", f"{out}/feed_compacted", days, ["secslot"])
+    done["expired feed"] = expire_days(spark, [f"{out}/feed", f"{out}/feed_compacted"], day_label(as_of - feed_ttl))
+    return done
+
+
 def main(argv: list[str] | None = None) -> None:
     from threadlens.session import build_session, scale_conf
     p = argparse.ArgumentParser(prog="threadlens.jobs")
     sub = p.add_subparsers(dest="job", required=True)
-    a = sub.add_parser("ingest"); a.add_argument("source"); a.add_argument("out"); a.add_argument("dead_out")
+    a = sub.add_parser("ingest")
+    a.add_argument("source"); a.add_argument("out"); a.add_argument("dead_out")
+    a.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "replace"],
+                   help="replace: overwrite only the months that the source holds")
     for name in ("flashback", "snapshot", "graph", "als"):
         b = sub.add_parser(name); b.add_argument("comments"); b.add_argument("out")
+        if name == "als":
+            b.add_argument("--blocks", type=int, default=recommend.ALS_BLOCKS)
     r = sub.add_parser("recommend")
     for arg in ("comments", "edges", "out"):
         r.add_argument(arg)
@@ -168,6 +234,11 @@ def main(argv: list[str] | None = None) -> None:
         lv.add_argument(arg)
     lv.add_argument("--slot-seconds", type=int, default=60)
     lv.add_argument("--starting-offsets", default="latest")
+    lv.add_argument("--starting-timestamp", type=int, help="epoch ms: skip ahead to this time")
+    lv.add_argument("--max-offsets-per-trigger", type=int)
+    lv.add_argument("--state-partitions", type=int)
+    mt = sub.add_parser("maintain-live")
+    mt.add_argument("out"); mt.add_argument("as_of", type=int); mt.add_argument("--slot-seconds", type=int, default=60)
     p.add_argument("--input-bytes", type=int, help="input volume, sizes shuffle partitions")
     args = p.parse_args(argv)
     spark = build_session(app_name=f"threadlens-{args.job}")
@@ -175,21 +246,26 @@ def main(argv: list[str] | None = None) -> None:
         for k, v in scale_conf(args.input_bytes, spark.sparkContext.defaultParallelism).items():
             spark.conf.set(k, v)
     if args.job == "ingest":
-        ingest_job(spark, args.source, args.out, args.dead_out)
+        ingest_job(spark, args.source, args.out, args.dead_out, args.mode)
     elif args.job == "live":
         from threadlens.streaming.live_stream import kafka_source
-        live_job(spark, lambda: kafka_source(spark, args.servers, args.topic,
-                                             starting_offsets=args.starting_offsets),
-                 args.out, args.checkpoint, args.slot_seconds)
+        live_job(spark, lambda: kafka_source(spark, args.servers, args.topic, starting_offsets=args.starting_offsets,
+                                             max_offsets_per_trigger=args.max_offsets_per_trigger,
+                                             starting_timestamp=args.starting_timestamp),
+                 args.out, args.checkpoint, args.slot_seconds, state_partitions=args.state_partitions)
+    elif args.job == "maintain-live":
+        print(maintain_live_job(spark, args.out, args.as_of, slot_seconds=args.slot_seconds))
     elif args.job == "snapshot-month":
         snapshot_month_job(spark, args.comments, args.out, args.year, args.month)
     elif args.job == "graph-increment":
         graph_increment_job(spark, args.comments, args.out, args.year, args.month)
     elif args.job == "recommend":
         recommend_job(spark, args.comments, args.edges, args.out, args.block_list, args.by)
+    elif args.job == "als":
+        als_job(spark, args.comments, args.out, blocks=args.blocks)
     else:
-        {"flashback": flashback_job, "snapshot": snapshot_job, "graph": graph_job,
-         "als": als_job}[args.job](spark, args.comments, args.out)
+        {"flashback": flashback_job, "snapshot": snapshot_job, "graph": graph_job}[args.job](
+            spark, args.comments, args.out)
 
 
 if __name__ == "__main__":

@@ -1,5 +1,4 @@
-"""Helpers shared by the operators: deterministic top-k per group and a
-size-checked broadcast."""
+"""Helpers shared by the operators: deterministic top-k per group."""
 
 from __future__ import annotations
 
@@ -8,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows above which a side is never broadcast explicitly; AQE may still choose a
-# broadcast join from measured runtime sizes.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
                   position: str | None = None) -> DataFrame:
     """The first ``k`` rows of every group under a total order.
@@ -27,13 +21,3 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     if position:
         return out.withColumn(position, F.col(position).cast("bigint"))
     return out.drop(col)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after counting it.
-
-    Used for small reference lists (block lists).  Beyond ``max_rows`` the
-    frame is returned unhinted and the join falls back to a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from threadlens.functions.ids import COMMENT_PREFIX, fullname
 from threadlens.operators.common import top_per_group
 from threadlens.sources.fixtures import DELETED_AUTHOR
 
+# The column names of the edge table, as its readers know them.
 EDGE_COLUMNS = ["Subreddit", "OrigId", "RespId", "OrigAuth", "RespAuth", "OrigScore", "RespScore",
                 "OrigUps", "RespUps", "OrigDowns", "RespDowns", "OrigControv", "RespControv"]
 
@@ -21,27 +24,25 @@ def _live_author(df: DataFrame) -> DataFrame:
     return df.filter(F.col("author") != F.lit(DELETED_AUTHOR))
 
 
-def _edge_sides(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
-    parents = _live_author(comments).select(
+def _edge_sides(comments: DataFrame, month: str | None = None) -> tuple[DataFrame, DataFrame]:
+    live = _live_author(comments)
+    parents = live.select(
         fullname(COMMENT_PREFIX, "id").alias("_key"),
         F.col("subreddit").alias("Subreddit"), F.col("id").alias("OrigId"),
         F.col("author").alias("OrigAuth"), F.col("score").alias("OrigScore"),
         F.col("ups").alias("OrigUps"), F.col("downs").alias("OrigDowns"),
-        F.col("controversiality").alias("OrigControv"))
-    replies = (_live_author(comments)
-               .filter(F.col("parent_id").startswith(COMMENT_PREFIX))
+        F.col("controversiality").alias("OrigControv"),
+        *([F.col(month).alias("orig_month")] if month else []))
+    replies = (live.filter(F.col("parent_id").startswith(COMMENT_PREFIX))
                .select(F.col("parent_id").alias("_key"), F.col("id").alias("RespId"),
                        F.col("author").alias("RespAuth"), F.col("score").alias("RespScore"),
                        F.col("ups").alias("RespUps"), F.col("downs").alias("RespDowns"),
-                       F.col("controversiality").alias("RespControv")))
+                       F.col("controversiality").alias("RespControv"),
+                       *([F.col(month).alias("resp_month")] if month else [])))
     return parents, replies
 
 
-HOT_PARENTS_MAX = 100_000
-
-
-def reply_edges(comments: DataFrame, hot_parent_threshold: int | None = None,
-                hot_parents_max: int = HOT_PARENTS_MAX) -> DataFrame:
+def reply_edges(comments: DataFrame) -> DataFrame:
     """One edge per reply: parent comment -> reply, both authors known.
 
     Equi-join on ``'t1_' || parent.id = reply.parent_id``.  Only replies to a
@@ -51,51 +52,40 @@ def reply_edges(comments: DataFrame, hot_parent_threshold: int | None = None,
     cuts such a partition into several tasks, each joined with the single
     parent row.  Self-replies are kept; parent and reply may lie in
     different months.
-
-    ``hot_parent_threshold`` makes the split explicit (for plans where AQE
-    cannot split): parents with more replies than the threshold are found by a
-    partially aggregated count, and the ``hot_parents_max`` heaviest of them
-    (a fixed bound, chosen by a per-task top-k) have their parent rows
-    broadcast, so their replies join map-side without a shuffle.  Every other
-    reply, including hot ones beyond the bound, takes the sort-merge join:
-    the result is the same set of edges either way.
     """
     parents, replies = _edge_sides(comments)
-    if not hot_parent_threshold:
-        return parents.join(replies, "_key", "inner").select(*EDGE_COLUMNS)
-    hot = (replies.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") > hot_parent_threshold)
-           .orderBy(F.col("n").desc(), "_key").limit(hot_parents_max).select("_key"))
-    hot_parents = parents.join(F.broadcast(hot), "_key", "left_semi")
-    hot_edges = replies.join(F.broadcast(hot_parents), "_key", "inner")
-    cold_edges = (parents.join(F.broadcast(hot), "_key", "left_anti")
-                  .join(replies.join(F.broadcast(hot), "_key", "left_anti"), "_key", "inner"))
-    return hot_edges.select(*EDGE_COLUMNS).unionByName(cold_edges.select(*EDGE_COLUMNS))
-
-
-def incremental_edges(new_comments: DataFrame, all_comments: DataFrame) -> DataFrame:
-    """Edges whose reply is in ``new_comments`` (say, the month just ingested),
-    with parents from any month of ``all_comments`` (which includes the new
-    rows).
-
-    Only parents that a new reply points to can match, so the parent side is
-    first narrowed by a semi-join on the new replies' parent keys.  That join
-    reads two columns of history instead of joining it in full, so adding a
-    month costs about that month, not the whole history.
+    return parents.join(replies, "_key", "inner").select(*EDGE_COLUMNS)
+
+
+def month_edges(stored: DataFrame, month: int) -> DataFrame:
+    """Every edge of the stored comments with an end in ``month`` (yyyymm): new
+    replies to parents of any month, and old replies to new parents.  The
+    columns ``resp_month`` and ``orig_month`` name the months of both ends.
+
+    ``stored`` has the comments of all months, with their ``month_id``.  Old
+    comments are first narrowed to those that a new one points to, or that
+    point to a new one, by semi-joins over the key column alone, so adding a
+    month costs about a month.
     """
-    parents, _ = _edge_sides(all_comments)
-    _, replies = _edge_sides(new_comments)
-    wanted = replies.select("_key").distinct()
-    return (parents.join(wanted, "_key", "left_semi")
-            .join(replies, "_key", "inner").select(*EDGE_COLUMNS))
+    parents, replies = _edge_sides(stored, "month_id")
+    new_parents, old_parents = (parents.filter(F.col("orig_month") == month), parents.filter(F.col("orig_month") != month))
+    new_replies, old_replies = (replies.filter(F.col("resp_month") == month), replies.filter(F.col("resp_month") != month))
+    asked = old_parents.join(new_replies.select("_key").distinct(), "_key", "left_semi")
+    answers = old_replies.join(new_parents.select("_key").distinct(), "_key", "left_semi")
+    out = new_parents.unionByName(asked).join(new_replies, "_key") \
+        .unionByName(new_parents.join(answers, "_key"))
+    return out.select(*EDGE_COLUMNS, "resp_month", "orig_month")
 
 
-def merge_degrees(current: DataFrame, delta_edges: DataFrame) -> DataFrame:
-    """Degree table (kind, subreddit, author, rank) plus the degrees of new
-    edges: a union and a re-aggregation with partial sums."""
-    delta = all_degrees(delta_edges)
-    return (current.select("kind", "subreddit", "author", "rank").unionByName(delta)
-            .groupBy("kind", "subreddit", "author").agg(F.sum("rank").alias("rank")))
+def all_month_edges(stored: DataFrame) -> DataFrame:
+    """``reply_edges`` with the months of both ends."""
+    parents, replies = _edge_sides(stored, "month_id")
+    return parents.join(replies, "_key").select(*EDGE_COLUMNS, "resp_month", "orig_month")
+
+
+def summed_degrees(deltas: DataFrame) -> DataFrame:
+    """The degree table from the stored degrees of each pair of months."""
+    return deltas.groupBy("kind", "subreddit", "author").agg(F.sum("rank").alias("rank"))
 
 
 def degrees(edges: DataFrame, kind: str = "indegree") -> DataFrame:
@@ -123,15 +113,16 @@ def leaders(edges: DataFrame, kind: str = "indegree") -> DataFrame:
                          [F.col("rank").desc(), F.col("author")], 1)
 
 
-def all_degrees(edges: DataFrame) -> DataFrame:
+def all_degrees(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(kind, subreddit, author, rank) for both kinds from one pass over the
     edges: every edge yields an in-degree row for its parent's author and an
     out-degree row for the reply's author, and one partially aggregated
-    shuffle counts both.  The self-join upstream therefore runs once."""
+    shuffle counts both.  The self-join upstream therefore runs once.
+    ``by`` adds further keys of the edges."""
     sides = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(col).alias("author"))
                       for kind, col in DEGREE_SIDES.items()])
-    return (edges.select(F.col("Subreddit").alias("subreddit"), F.explode(sides).alias("s"))
-            .groupBy(F.col("s.kind").alias("kind"), "subreddit", F.col("s.author").alias("author"))
+    return (edges.select(*by, F.col("Subreddit").alias("subreddit"), F.explode(sides).alias("s"))
+            .groupBy(*by, F.col("s.kind").alias("kind"), "subreddit", F.col("s.author").alias("author"))
             .agg(F.count(F.lit(1)).alias("rank")))
 
 
@@ -146,10 +137,14 @@ def engagement(edges: DataFrame) -> DataFrame:
     when it has any edge, and every edge feeds both kinds, so this equals a
     full outer join of the two leader lists.
     """
+    return engagement_of(all_degrees(edges))
+
+
+def engagement_of(degrees: DataFrame) -> DataFrame:
+    """``engagement`` from a degree table (kind, subreddit, author, rank)."""
     best = lambda kind: F.min(F.when(F.col("kind") == kind,
                                      F.struct((-F.col("rank")).alias("neg"), F.col("author").alias("a"))))
-    top = all_degrees(edges).groupBy("subreddit").agg(best("indegree").alias("i"),
-                                                       best("outdegree").alias("o"))
+    top = degrees.groupBy("subreddit").agg(best("indegree").alias("i"), best("outdegree").alias("o"))
     return top.select("subreddit",
                       F.col("i.a").alias("influential_user"), (-F.col("i.neg")).alias("influence"),
                       F.col("o.a").alias("active_user"), (-F.col("o.neg")).alias("activity"))
@@ -169,3 +164,20 @@ def degree_download(edges: DataFrame, subreddit: str) -> DataFrame:
     Catalyst pushes it below the aggregation to the edges."""
     rows = degree_export(edges).filter(F.col("subreddit") == subreddit)
     return rows.select(F.to_json(F.struct("kind", "subreddit", "user", "influence")).alias("value"))
+
+
+def engage_response(edges_engagement: DataFrame, trend: DataFrame, recommendations: DataFrame) -> DataFrame:
+    """What the engage page answers for every subreddit: its leaders, its
+    monthly trend and the recommended subreddits, one row each.  ``trend`` has
+    at most one row per month and ``recommendations`` a few per subreddit, so
+    the collected lists are bounded."""
+    months = trend.groupBy("subreddit").agg(F.array_sort(F.collect_list(F.struct(
+        "year", "month", "total_comments"))).alias("t"))
+    months = months.select("subreddit", F.concat_ws(",", F.transform("t", lambda x: F.concat_ws(
+        ":", F.concat_ws("-", x["year"], x["month"]), x["total_comments"]))).alias("trend"))
+    recs = recommendations.groupBy(F.col("seed").alias("subreddit")).agg(F.array_sort(F.collect_list(F.struct(
+        "position", F.col("subreddit").alias("name")))).alias("r"))
+    recs = recs.select("subreddit", F.concat_ws(",", F.col("r.name")).alias("recommended"))
+    return (edges_engagement.join(months, "subreddit", "left").join(recs, "subreddit", "left")
+            .withColumn("trend", F.coalesce("trend", F.lit("")))
+            .withColumn("recommended", F.coalesce("recommended", F.lit(""))))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.ids import base36_to_long, link_url
-from threadlens.functions.timefmt import second_slot, slot_of_epoch, slot_start
+from threadlens.functions.timefmt import day_label, display_time, second_slot, slot_label, slot_of_epoch, slot_start
 from threadlens.operators.common import top_per_group
 from threadlens.operators.history import DEFAULT_LINK_BASE
 from threadlens.sources.schema import CORRUPT_COLUMN, STREAM_PARSE_SCHEMA, STREAM_RECORD_SCHEMA
@@ -74,49 +74,36 @@ def top_per_slot(counts: DataFrame, key: str, k: int = TOP_K) -> DataFrame:
                          position="rank")
 
 
-def minute_trends(records: DataFrame, key: str, time_col: str = "created_utc",
+def minute_trends(records: DataFrame, key: str, time_col: str = "arrived_at",
                   slot_seconds: int = 60, k: int = TOP_K) -> DataFrame:
     return top_per_slot(slot_counts(records, key, time_col, slot_seconds), key, k)
 
 
-def _as_of(records: DataFrame, as_of, time_col: str, default_lag: int) -> Column:
-    """``as_of`` as a column: an explicit epoch, or by default the newest time
-    in the data plus ``default_lag`` (a replay's "now"), as a scalar subquery."""
-    if as_of is not None:
-        return F.lit(int(as_of)).cast("bigint")
-    return records.select((F.max(time_col) + F.lit(default_lag)).alias("as_of")).scalar()
-
-
-def read_trend_slot(trends: DataFrame, records: DataFrame, key: str, as_of=None,
-                    time_col: str = "created_utc", lag: int = TREND_LAG_SECONDS,
+def read_trend_slot(table: DataFrame, key: str, as_of: int, lag: int = TREND_LAG_SECONDS,
                     slot_seconds: int = 60, k: int = TOP_K) -> DataFrame:
-    """Top list of the slot ``lag`` seconds before ``as_of``, largest first.
-
-    Without ``as_of`` the wanted slot label is computed inside one scalar
-    subquery: the label expression references its input many times, and a
-    subquery placed inside it would be planned (and run) once per reference.
-    """
-    if as_of is not None:
-        want = slot_of_epoch(F.lit(int(as_of) - lag).cast("bigint"), slot_seconds)
-    else:   # default "now" = newest time + lag, so the slot read is the newest one
-        want = records.select(slot_of_epoch(F.max(time_col), slot_seconds).alias("slot")).scalar()
-    return (trends.filter(F.col("minuteslot") == want)
-            .orderBy(F.col("count").desc(), F.col(key)).limit(k))
+    """Top list of the slot ``lag`` seconds before ``as_of`` (epoch seconds),
+    largest first, from a stored trend table.  The day and the slot's label are
+    known numbers, so one ``day`` folder is opened and the label is pushed into
+    its files.  A slot starts on the day that its folder names."""
+    at = as_of - lag
+    return (table.filter((F.col("day") == day_label(at // slot_seconds * slot_seconds))
+                         & (F.col("minuteslot") == slot_label(at, slot_seconds)))
+            .orderBy(F.col("count").desc(), F.col(key)).limit(k).select("minuteslot", key, "count", "rank"))
 
 
 def feed_rows(records: DataFrame, time_col: str = "arrived_at") -> DataFrame:
     """Feed table: arrival second plus the displayed fields."""
     return records.select(second_slot(time_col).alias("secslot"), "subreddit", "author",
-                          "created_utc", "body",
-                          F.timestamp_seconds("created_utc").alias("posted_at"))
+                          "created_utc", "body", display_time("created_utc").alias("posted_at"))
 
 
-def read_feed(feed: DataFrame, as_of=None, lag: int = FEED_LAG_SECONDS,
-              rows: int = FEED_ROWS) -> DataFrame:
-    """The comments that arrived in the second ``lag`` before ``as_of`` (20 at most)."""
-    want = _as_of(feed, as_of, "secslot", lag) - F.lit(lag)
-    return (feed.filter(F.col("secslot") == want)
-            .orderBy("created_utc", "author", "body").limit(rows))
+def read_feed(feed: DataFrame, as_of: int, lag: int = FEED_LAG_SECONDS, rows: int = FEED_ROWS) -> DataFrame:
+    """The comments that arrived in the second ``lag`` before ``as_of`` (20 at
+    most), from the stored feed; only that second's ``day`` folder is read."""
+    at = as_of - lag
+    return (feed.filter((F.col("day") == day_label(at)) & (F.col("secslot") == at))
+            .orderBy("created_utc", "author", "body").limit(rows)
+            .select("secslot", "subreddit", "author", "created_utc", "body", "posted_at"))
 
 
 def retained(table: DataFrame, slot_col: str, as_of_col: Column, ttl: int,
@@ -158,9 +145,12 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
             .withColumn("code", base36_to_long("id")))
 
 
-def new_comments(rows: DataFrame, last_code: int) -> DataFrame:
-    """Comments above a high-water mark, in code order."""
-    return rows.filter(F.col("code") > F.lit(last_code)).orderBy("code")
+def new_comments(rows: DataFrame, last_code: Column | int) -> DataFrame:
+    """Comments above a high-water mark, each once, in code order.  Rows below
+    the mark go before the repeats are collapsed, so only new comments are
+    shuffled."""
+    mark = last_code if isinstance(last_code, Column) else F.lit(last_code)
+    return distinct_comments(rows.filter(F.col("code") > mark)).orderBy("code")
 
 
 def high_water(rows: DataFrame, max_lag: int = 0) -> DataFrame:
@@ -177,6 +167,12 @@ def high_water(rows: DataFrame, max_lag: int = 0) -> DataFrame:
                       ((F.lit(max_lag) > 0) & (lag > F.lit(max_lag))).alias("skipping"))
 
 
+def unseen_comments(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Comments of landed pages that a stored, de-duplicated table lacks: the
+    rows that a streaming watermark has dropped as late, to report or append."""
+    return distinct_comments(rows).join(stored.select("id"), "id", "left_anti")
+
+
 def distinct_comments(rows: DataFrame) -> DataFrame:
     """Overlapping polls collapsed to one row per comment id."""
     return rows.dropDuplicates(["id"]).drop("page", "polled_at")

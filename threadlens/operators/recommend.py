@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions.ids import ID_MODULUS, stable_hash
-from threadlens.operators.common import broadcast_if_small, top_per_group
+from threadlens.operators.common import top_per_group
 from threadlens.operators.graph import leaders
 from threadlens.sources.fixtures import DELETED_AUTHOR
 
@@ -47,7 +51,8 @@ def _sample_key(owner: str, item: str):
 
 
 def graph_recommend(comments: DataFrame, edges: DataFrame, block_list: DataFrame | None = None,
-                    k: int = RECOMMENDATIONS, by: str = "outdegree") -> DataFrame:
+                    k: int = RECOMMENDATIONS, by: str = "outdegree",
+                    cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Up to ``k`` subreddits for every subreddit, from its leading user.
 
     For each seed subreddit take its leader (top out-degree by default, or
@@ -59,15 +64,19 @@ def graph_recommend(comments: DataFrame, edges: DataFrame, block_list: DataFrame
     list is cut to ``k + 1`` once (a partial WindowGroupLimit per map task,
     then a final one) before it meets the seeds; a user leading many
     subreddits therefore costs at most ``k + 1`` rows per seed, never
-    seeds x subreddits.  The leader table is used once, so the reply graph
-    behind it is computed once.
+    seeds x subreddits.  Only the leaders' comments (one author per subreddit
+    at most) pass the semi-join and are made distinct.  The leaders are used
+    twice: ``cut`` (such as a write to shared storage) keeps the reply graph
+    behind them from being computed twice.
     """
     seeds = leaders(edges, by).select(F.col("subreddit").alias("seed"), F.col("author").alias("leader"))
-    pairs = (comments.filter(F.col("author") != F.lit(DELETED_AUTHOR))
-             .select(F.col("author").alias("leader"), "subreddit").distinct())
+    if cut is not None:
+        seeds = cut(seeds)
+    pairs = (comments.select(F.col("author").alias("leader"), "subreddit")
+             .join(seeds.select("leader").distinct(), "leader", "left_semi").distinct())
     if block_list is not None:
-        blocked = broadcast_if_small(block_list.select(F.col(block_list.columns[0]).alias("subreddit")))
-        pairs = pairs.join(blocked, "subreddit", "left_anti")
+        # a plain join: whether the list is small enough to broadcast is AQE's measurement
+        pairs = pairs.join(block_list.select(F.col(block_list.columns[0]).alias("subreddit")), "subreddit", "left_anti")
     shortlist = top_per_group(pairs.withColumn("_key", _sample_key("leader", "subreddit")),
                               ["leader"], [F.col("_key"), F.col("subreddit")], k + 1)
     cands = (seeds.join(shortlist, "leader", "inner")
@@ -84,98 +93,87 @@ def als_ratings(counts: DataFrame, modulus: int = ID_MODULUS) -> DataFrame:
                          F.col("count").cast("float").alias("rating"))
 
 
-ALS_RATINGS_PER_BLOCK = 1_000_000
-
-
-def als_blocks(n_ratings: int, parallelism: int, per_block: int = ALS_RATINGS_PER_BLOCK) -> int:
-    """User/item block count from the ratings volume: about ``per_block``
-    ratings per block, at least 1, at most the cluster's parallelism.  A
-    fixed count would give blocks that grow with the data."""
-    return max(1, min(parallelism, -(-n_ratings // per_block)))
+#: User and item blocks of the training.  The initial factors are drawn per
+#: block, so this number is part of the model: it is a job parameter and never
+#: follows the cluster's size.
+ALS_BLOCKS = 10
 
 
 def train_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_ITERATIONS,
               alpha: float = ALS_ALPHA, reg: float = ALS_REG, seed: int = ALS_SEED,
-              blocks: int | None = None):
+              blocks: int = ALS_BLOCKS):
     """Implicit-feedback ALS (``pyspark.ml``).  Factor blocks are partitioned by
     id; lineage is cut every ``checkpointInterval`` iterations into the
     session's checkpoint folder."""
     from pyspark.ml.recommendation import ALS
     als = ALS(rank=rank, maxIter=max_iter, alpha=alpha, regParam=reg, seed=seed, implicitPrefs=True,
               userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop",
-              checkpointInterval=5)
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+              checkpointInterval=5, numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(ratings)
 
 
-# Item factors are broadcast only up to this many items (rank-10 float32
-# factors: about 40 bytes each); beyond it the blockwise built-in is used.
-ALS_BROADCAST_MAX_ITEMS = 2_000_000
-# Scores computed at once in one task: a user batch times all items.
-ALS_SCORE_CELLS = 1 << 24
+#: Factors per block of the scoring grid: a cell holds two such blocks, and
+#: scores this many cells of the matrix at once.
+ALS_GRID_ROWS = 16_384
+ALS_SCORE_CELLS = 1 << 22
 
 
-def _top_items(users: DataFrame, items, n: int) -> DataFrame:
-    """Top-``n`` items per user, scored inside the tasks that hold the users.
+def _blocked(factors: DataFrame, seed: int, rows: int) -> tuple[DataFrame, int]:
+    n = max(1, -(-factors.count() // rows))
+    return factors.select("id", "features", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)).cast("int").alias("b")), n
 
-    ``items`` is a broadcast (ids, factor matrix).  Each task takes its users in
-    batches of at most ALS_SCORE_CELLS / n_items rows, computes the batch's
-    scores with one matrix product and keeps the best ``n`` per user with a
-    partial sort; only those ``n`` rows per user leave the task.
-    """
-    import numpy as np
-    import pandas as pd
-
-    def score(batches):
-        ids, mat = items.value
-        step = max(1, ALS_SCORE_CELLS // max(1, len(ids)))
-        k = min(n, len(ids))
-        for pdf in batches:
-            for lo in range(0, len(pdf), step):
-                part = pdf.iloc[lo:lo + step]
-                u = np.stack(part["features"].to_numpy()).astype(np.float32)
-                sc = u @ mat.T
-                top = np.argpartition(-sc, k - 1, axis=1)[:, :k]
-                rows = np.arange(len(part))[:, None]
-                order = np.argsort(-sc[rows, top], axis=1, kind="stable")
-                best = top[rows, order]
-                yield pd.DataFrame({
-                    "user": np.repeat(part["id"].to_numpy(), k),
-                    "item": ids[best].ravel(),
-                    "score": sc[rows, best].ravel().astype(np.float32),
-                    "position": np.tile(np.arange(1, k + 1, dtype=np.int64), len(part)),
-                })
-
-    return users.mapInPandas(score, "user int, item int, score float, position bigint")
-
-
-def als_recommend(model, users: DataFrame, items: DataFrame, n: int = 10,
-                  broadcast_max_items: int = ALS_BROADCAST_MAX_ITEMS) -> DataFrame:
-    """Top-``n`` items for every user, mapped back to names.
-
-    Exact top-n needs every user scored against every item.  When the item
-    factors fit the proven bound (counted first), they are broadcast and
-    each task scores the users it holds (``_top_items``): no cross join,
-    and only n rows per user are emitted.  Beyond the bound, Spark's blockwise
-    ``recommendForAllUsers`` is used.  Hash collisions make a name map to
-    several ids and back, exactly as in the hashed original.
+
+def als_top_items(model, n: int, grid_rows: int = ALS_GRID_ROWS) -> DataFrame:
+    """(user, item, score, position): the ``n`` best items of every user, ties
+    by item.
+
+    Exact top-n has to score every user against every item.  Both factor
+    tables are dealt into blocks of about ``grid_rows`` rows; each pair of
+    blocks meets in one task, which keeps ``n`` rows per user, and a window
+    merges them.  Memory is bounded by the block size, and no table passes the
+    driver.  Scores are summed in double precision, so they do not depend on
+    how the grid is cut.
     """
-    import numpy as np
-    n_items = model.itemFactors.limit(broadcast_max_items + 1).count()
-    if n_items <= broadcast_max_items:
-        # bounded by the check above; passes the driver once as a broadcast
-        pdf = model.itemFactors.toPandas()
-        mat = np.stack(pdf["features"].to_numpy()).astype(np.float32) if len(pdf) else \
-            np.zeros((0, model.rank), np.float32)
-        bc = users.sparkSession.sparkContext.broadcast((pdf["id"].to_numpy(np.int32), mat))
-        recs = _top_items(model.userFactors, bc, n)
-    else:
-        recs = (model.recommendForAllUsers(n)
-                .select("user", F.posexplode("recommendations").alias("pos", "rec"))
-                .select("user", F.col("rec.item").alias("item"), F.col("rec.rating").alias("score"),
-                        (F.col("pos") + 1).cast("bigint").alias("position")))
+    users, nu = _blocked(model.userFactors, 1, grid_rows)
+    items, ni = _blocked(model.itemFactors, 2, grid_rows)
+    left = users.select("id", "features", F.col("b").alias("ub"), F.explode(F.sequence(F.lit(0), F.lit(ni - 1))).alias("ib"))
+    right = items.select("id", "features", F.explode(F.sequence(F.lit(0), F.lit(nu - 1))).alias("ub"), F.col("b").alias("ib"))
+
+    def cell(u: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(u) and len(i):
+            i = i.sort_values("id")
+            ids, mat = i["id"].to_numpy(), np.stack(i["features"].to_numpy()).astype(np.float64)
+            k, step = min(n, len(ids)), max(1, ALS_SCORE_CELLS // len(ids))
+            for lo in range(0, len(u), step):
+                part = u.iloc[lo:lo + step]
+                vec = np.stack(part["features"].to_numpy()).astype(np.float64)
+                score = sum(vec[:, f:f + 1] * mat[None, :, f] for f in range(mat.shape[1])).astype(np.float32)
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]  # equal scores stay in item order
+                out.append(pd.DataFrame({"user": np.repeat(part["id"].to_numpy(), k), "item": ids[best].ravel(),
+                                         "score": np.take_along_axis(score, best, 1).ravel()}))
+        return pd.concat(out) if out else pd.DataFrame({"user": [], "item": [], "score": []})
+
+    found = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(
+        cell, "user int, item int, score float")
+    return top_per_group(found, ["user"], [F.col("score").desc(), F.col("item")], n, position="position")
+
+
+def als_recommend(model, users: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
+    """Top-``n`` items for every user, mapped back to names.  Hash collisions
+    make a name map to several ids and back, exactly as in the hashed
+    original."""
     u = users.select(F.col("user").alias("user_name"), F.col("hash").cast("int").alias("user"))
     i = items.select(F.col("product").alias("subreddit"), F.col("hash").cast("int").alias("item"))
-    return (recs.join(u, "user").join(i, "item")
+    return (als_top_items(model, n).join(u, "user").join(i, "item")
             .select(F.col("user_name").alias("author"), "subreddit", "score", "position"))
+
+
+def als_structure(recs: DataFrame, items: DataFrame) -> DataFrame:
+    """(author, position, known, ordered): every recommendation's place, that
+    its subreddit is a known item and its score a number not above the one
+    before it.  What can be said of a learnt list without its scores."""
+    w = Window.partitionBy("author").orderBy("position")
+    named = recs.join(items.select(F.col("product").alias("subreddit"), F.lit(True).alias("known")), "subreddit", "left")
+    ordered = F.coalesce(F.col("score") <= F.lag("score").over(w), F.lit(True)) & ~F.isnan("score")
+    return named.select("author", "position", F.coalesce("known", F.lit(False)).alias("known"), ordered.alias("ordered"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.operators.common import top_per_group
@@ -29,29 +29,111 @@ def clustered(table: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return table.repartitionByRange(*cols).sortWithinPartitions(*cols)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
+                         file_format: str = "parquet") -> None:
     """Replace only the partitions present in ``df`` (idempotent replays)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-
-
-
-def compact_days(raw: DataFrame, compact_path: str, days: Sequence[int], sort_cols: Sequence[str] = ()) -> None:
-    """Rewrite closed days of a ``(day, batch)``-partitioned stream sink into
-    one ``day`` partition each (dynamic overwrite: re-running is harmless).
-    The day filter is a partition filter, so only those days are read."""
-    closed = raw.filter(F.col("day").isin(list(days))).drop("batch")
-    if sort_cols:
-        closed = closed.repartition("day").sortWithinPartitions("day", *sort_cols)
-    overwrite_partitions(closed, compact_path, ["day"])
-
-
-def read_compacted(raw: DataFrame, compacted: DataFrame | None) -> DataFrame:
-    """Compacted days plus the raw days after the last compacted one.  The
-    raw side is cut by a partition filter on ``day`` (its bound is a scalar
-    subquery), so compacted raw folders are not scanned again."""
-    raw = raw.drop("batch")
-    if compacted is None:
-        return raw
-    last = compacted.select(F.max("day")).scalar()
-    return compacted.unionByName(raw.filter(F.col("day") > last))
+     .partitionBy(*partition_cols).format(file_format).save(path))
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) on whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def partitions_of(spark: SparkSession, path: str, *columns: str) -> list[tuple[int, ...]]:
+    """The integer values of the folders ``col=value/...`` under ``path``, from
+    a listing alone; empty where there is no such path."""
+    fs, root = _folder(spark, path)
+    found = [((), root)] if fs.exists(root) else []
+    for c in columns:
+        found = [(v + (int(s.getPath().getName().split("=")[1]),), s.getPath()) for v, p in found
+                 for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith(f"{c}=")]
+    return sorted(v for v, _ in found)
+
+
+def drop_partition(spark: SparkSession, path: str, **values: int) -> None:
+    fs, p = _folder(spark, "/".join([path, *[f"{c}={v}" for c, v in values.items()]]))
+    fs.delete(p, True)
+
+
+def upsert_table(rows: DataFrame, path: str, keys: Sequence[str], version: Sequence[Column],
+                 buckets: int = 64) -> None:
+    """Merge ``rows`` into the keyed table stored at ``path``: the greatest
+    ``version`` per key wins, whether new or stored.
+
+    The table is partitioned by a hash bucket of the first key; only buckets
+    that ``rows`` touches are read and replaced (``buckets`` is fixed when the
+    table is first written)."""
+    spark = rows.sparkSession
+    new = rows.withColumn("bucket", F.pmod(F.xxhash64(keys[0]), F.lit(buckets)).cast("int"))
+    if partitions_of(spark, path, "bucket"):
+        stored = spark.read.parquet(path)
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
+        new = stored.filter(F.col("bucket").isin(touched)).unionByName(new)
+    latest = upsert_latest(new, list(keys), version)
+    overwrite_partitions(latest.repartition("bucket", *keys).sortWithinPartitions("bucket", *keys), path, ["bucket"])
+
+
+# ---- compaction and expiry of (day, batch) stream sinks ---------------------
+
+def _newest(pairs: list[tuple[int, ...]]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for day, number in pairs:
+        out[day] = max(number, out.get(day, -1))
+    return out
+
+
+def read_compacted(spark: SparkSession, raw_path: str, compact_path: str | None = None,
+                   days: Sequence[int] | None = None) -> DataFrame:
+    """A stream sink's rows, each once: for a compacted day its newest
+    compacted copy plus the raw batches that came after it, for any other day
+    all raw batches.  A late row of a compacted day is in a later batch, so
+    nothing is hidden.  ``days`` prunes both sides; all filters are partition
+    filters, built from folder listings (one entry per day)."""
+    want = None if days is None else [int(d) for d in days]
+    done = _newest(partitions_of(spark, compact_path, "day", "through")) if compact_path else {}
+    if want is not None:
+        done = {d: b for d, b in done.items() if d in want}
+    raw = spark.read.parquet(raw_path)
+    if want is not None:
+        raw = raw.filter(F.col("day").isin(want))
+    if not done:
+        return raw.drop("batch")
+    later = ~F.col("day").isin(list(done))
+    for day, through in done.items():
+        later = later | ((F.col("day") == day) & (F.col("batch") > through))
+    copies = F.lit(False)
+    for day, through in done.items():
+        copies = copies | ((F.col("day") == day) & (F.col("through") == through))
+    compacted = spark.read.parquet(compact_path).filter(copies).drop("through")
+    return compacted.unionByName(raw.filter(later).drop("batch"))
+
+
+def compact_days(spark: SparkSession, raw_path: str, compact_path: str, days: Sequence[int],
+                 sort_cols: Sequence[str]) -> None:
+    """Rewrite ``days`` of a ``(day, batch)`` sink, with what was compacted of
+    them before, as ``(day, through)``: ``through`` is the last batch inside.
+    Range partitioning spreads a busy day over several files; running it again
+    replaces the same folders."""
+    newest = _newest(partitions_of(spark, raw_path, "day", "batch"))
+    todo = {int(d): newest[int(d)] for d in days if int(d) in newest}
+    if not todo:
+        return
+    through = F.element_at(F.create_map(*[F.lit(x) for kv in todo.items() for x in kv]), F.col("day").cast("int"))
+    rows = read_compacted(spark, raw_path, compact_path, list(todo)).withColumn("through", through)
+    overwrite_partitions(rows.repartitionByRange("day", *sort_cols).sortWithinPartitions("day", *sort_cols),
+                         compact_path, ["day", "through"])
+
+
+def expire_days(spark: SparkSession, paths: Sequence[str], before: int) -> list[int]:
+    """Drop every ``day`` partition older than day ``before`` (yyyymmdd) from
+    the tables; returns the days dropped."""
+    gone = set()
+    for path in paths:
+        for (day,) in partitions_of(spark, path, "day"):
+            if day < before:
+                drop_partition(spark, path, day=day)
+                gone.add(day)
+    return sorted(gone)

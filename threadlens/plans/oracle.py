@@ -114,28 +114,36 @@ flat AS (
   FROM members m JOIN polls p USING (page)
 )"""
 
-RECS = """
-recs AS (SELECT * FROM comments),
+def _recs(messages: int, seconds: int) -> str:
+    """The replayed topic: FIXTURES F14 arrival times."""
+    return f"""
+recs AS (SELECT * REPLACE (CAST(1704153540 + "offset" * {seconds} // {messages} AS BIGINT) AS arrived_at)
+         FROM comments),
 live AS (SELECT * FROM recs WHERE author IS NOT NULL AND subreddit IS NOT NULL)"""
 
-# the feed topic with every 97th message corrupted: those become dead letters
-RECS_WITH_JUNK = """
-recs AS (SELECT * FROM comments WHERE "offset" % 97 <> 0)"""
+
+MINUTE = _recs(15, 1)
+HOURLY = _recs(1, 10)
 
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
-def _stream_trend(key: str, slot: int, delay: int = 120, k: int = 20) -> str:
-    return _with(COMMENTS, RECS, f"""
-mx AS (SELECT max(created_utc) AS m FROM live),
-cnt AS (SELECT created_utc - created_utc % {slot} AS s, {key}, CAST(count(*) AS INTEGER) AS count
+def _slots(key: str, slot: int, delay: int) -> str:
+    """Counts of closed slots with their rank; newest: the last arrival of the whole topic."""
+    return f"""
+mx AS (SELECT max(arrived_at) AS m FROM recs),
+cnt AS (SELECT arrived_at - arrived_at % {slot} AS s, {key}, CAST(count(*) AS INTEGER) AS count
         FROM live GROUP BY 1, 2),
-closed AS (SELECT cnt.* FROM cnt, mx WHERE cnt.s + {slot} <= mx.m - {delay})""") + f"""
-SELECT {_label('s')} AS minuteslot, {key}, count, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY s ORDER BY count DESC, {key}) AS rank FROM closed)
-WHERE rank <= {k}"""
+closed AS (SELECT cnt.*, row_number() OVER (PARTITION BY cnt.s ORDER BY count DESC, {key}) AS rank
+           FROM cnt, mx WHERE cnt.s + {slot} <= mx.m - {delay})"""
+
+
+def _stream_trend(key: str, slot: int, topic: str, delay: int, last: bool = False) -> str:
+    only = f"AND s = (SELECT (m - {delay}) // {slot} * {slot} - {slot} FROM mx)" if last else ""
+    return _with(COMMENTS, topic, _slots(key, slot, delay)) + f"""
+SELECT {_label('s')} AS minuteslot, {key}, count, rank FROM closed WHERE rank <= 20 {only}"""
 
 
 AUTHOR = "u8"
@@ -211,6 +219,29 @@ FROM (SELECT 'indegree' AS kind, subreddit, author AS "user", rank AS influence
       SELECT 'outdegree' AS kind, subreddit, author AS "user", rank AS influence FROM outdeg)
 WHERE subreddit = 'sub_0'""",
 
+    "q_ingest_months": _with(COMMENTS) + f"""
+SELECT {COMMENT_COLUMNS},
+       year(make_timestamp(created_utc * 1000000)) AS year, month(make_timestamp(created_utc * 1000000)) AS month,
+       strftime(make_timestamp(created_utc * 1000000), 'RC_%Y-%m') AS source_file
+FROM comments""",
+
+    "q_graph_months": _with(COMMENTS, EDGES) + """
+SELECT 'indegree' AS kind, subreddit, author, rank FROM indeg
+UNION ALL SELECT 'outdegree' AS kind, subreddit, author, rank FROM outdeg""",
+
+    "q_engage": _with(COMMENTS, EDGES, STATS, """
+months AS (SELECT subreddit, string_agg(year || '-' || month || ':' || total_comments, ',' ORDER BY year, month) AS t
+           FROM stats100 GROUP BY subreddit),
+cands AS (SELECT DISTINCT s.subreddit AS seed, s.author AS leader, c.subreddit
+          FROM top_out s JOIN comments c ON c.author = s.author WHERE c.subreddit <> s.subreddit),
+recs AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY md5(concat_ws('|', leader, subreddit)), subreddit)
+                AS position FROM cands),
+lists AS (SELECT seed, string_agg(subreddit, ',' ORDER BY position) AS r FROM recs WHERE position <= 6 GROUP BY seed)""") + """
+SELECT subreddit, i.author AS influential_user, i.rank AS influence, o.author AS active_user, o.rank AS activity,
+       coalesce(m.t, '') AS trend, coalesce(l.r, '') AS recommended
+FROM top_in i FULL OUTER JOIN top_out o USING (subreddit)
+LEFT JOIN months m USING (subreddit) LEFT JOIN lists l ON l.seed = subreddit""",
+
     "q_recommend": _with(COMMENTS, EDGES, """
 seeds AS (SELECT subreddit AS seed, author AS leader FROM top_out),
 blocked AS (SELECT DISTINCT subreddit FROM comments WHERE subreddit LIKE '%7'),
@@ -231,9 +262,16 @@ WHERE position <= 6""",
     "q_item_ids": _with(COMMENTS, COUNTS) +
         f"SELECT DISTINCT subreddit AS product, {_hash('subreddit')} AS hash FROM counts",
     "q_hash_audit": _with(COMMENTS, COUNTS) + f"""
-SELECT {_hash('author')} AS hash, count(DISTINCT author) AS names, min(author) AS first_name,
+SELECT {_hash('author', 997)} AS hash, count(DISTINCT author) AS names, min(author) AS first_name,
        max(author) AS last_name
 FROM counts GROUP BY 1 HAVING count(DISTINCT author) > 1""",
+    "q_als_ratings": _with(COMMENTS, COUNTS) + f"""
+SELECT CAST({_hash('author')} AS INTEGER) AS "user", CAST({_hash('subreddit')} AS INTEGER) AS item,
+       CAST(count AS FLOAT) AS rating FROM counts""",
+    "q_als": _with(COMMENTS, COUNTS) + """
+SELECT author, position, true AS known, true AS ordered
+FROM (SELECT DISTINCT author FROM counts),
+     (SELECT unnest(range(1, 1 + least(10, (SELECT count(DISTINCT subreddit) FROM counts)))) AS position)""",
 
     "q_page_flatten": _with(COMMENTS, PAGES_OF) + "SELECT * FROM flat",
     "q_new_comments": _with(COMMENTS, PAGES_OF) + """
@@ -241,7 +279,8 @@ SELECT DISTINCT id, name, author, subreddit, parent_id, link_id, body, score, cr
 WHERE code > (SELECT max(code) FROM flat WHERE page <= 1)""",
     "q_high_water": _with(COMMENTS, PAGES_OF) + """
 SELECT page, max(code) AS max_code, arg_max(id, code) AS newest_id, arg_max(created_utc, code) AS newest_created,
-       max(polled_at) - arg_max(created_utc, code) AS lag_seconds, false AS skipping
+       max(polled_at) - arg_max(created_utc, code) AS lag_seconds,
+       max(polled_at) - arg_max(created_utc, code) > 1000000 AS skipping
 FROM flat GROUP BY page""",
     "q_to_json": _with(COMMENTS) + """
 SELECT "offset", CAST(to_json(struct_pack(author := author, parent_id := parent_id, score := score, name := name,
@@ -251,30 +290,26 @@ FROM comments""",
     "q_dead_letter": _with(COMMENTS) + """
 SELECT "offset", 'not json' AS message FROM comments WHERE "offset" % 97 = 0""",
 
-    "q_minute_subreddits": _stream_trend("subreddit", 60),
-    "q_minute_authors": _stream_trend("author", 60),
-    "q_hour_authors": _stream_trend("author", 3600),
+    "q_minute_subreddits": _stream_trend("subreddit", 60, MINUTE, 5),
+    "q_minute_authors": _stream_trend("author", 60, MINUTE, 5),
+    "q_hour_authors": _stream_trend("author", 3600, HOURLY, 120),
+    "q_trend_repair": _stream_trend("subreddit", 60, MINUTE, 5),
 
-    "q_trend_read": _with(COMMENTS, RECS, """
-cnt AS (SELECT created_utc - created_utc % 60 AS s, subreddit, CAST(count(*) AS INTEGER) AS count
-        FROM live GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY count DESC, subreddit) AS rank FROM cnt)""") + f"""
-SELECT {_label('s')} AS minuteslot, subreddit, count, rank FROM ranked
-WHERE rank <= 20 AND s = (SELECT max(created_utc) - max(created_utc) % 60 FROM recs)""",
+    "q_trend_read": _stream_trend("subreddit", 60, MINUTE, 5, last=True),
 
-    "q_hour_trend_read": _with(COMMENTS, RECS, """
-cnt AS (SELECT created_utc - created_utc % 3600 AS s, author, CAST(count(*) AS INTEGER) AS count
-        FROM live GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY count DESC, author) AS rank FROM cnt)""") + f"""
-SELECT {_label('s')} AS minuteslot, author, count, rank FROM ranked
-WHERE rank <= 20 AND s = (SELECT max(created_utc) - max(created_utc) % 3600 FROM recs)""",
+    "q_hour_trend_read": _stream_trend("author", 3600, HOURLY, 120, last=True),
 
-    "q_live": _with(COMMENTS, RECS_WITH_JUNK) + """
-SELECT arrived_at AS secslot, subreddit, author, created_utc, body FROM recs
-WHERE arrived_at = (SELECT max(arrived_at) FROM recs)
+    "q_live": _with(COMMENTS, _recs(50, 1), """
+good AS (SELECT * FROM recs WHERE "offset" % 97 <> 0)""") + """
+SELECT arrived_at AS secslot, subreddit, author, created_utc, body,
+       strftime(make_timestamp(created_utc * 1000000), '%Y-%m-%d %H:%M:%S') AS posted_at
+FROM good WHERE arrived_at = (SELECT max(arrived_at) - 5 FROM recs)
 ORDER BY created_utc, author, body LIMIT 20""",
 
-    "q_archive": _with(COMMENTS, RECS) + """
+    "q_feed_compacted": _with(COMMENTS, MINUTE) + """
+SELECT arrived_at AS secslot, subreddit, author, created_utc, body FROM recs WHERE arrived_at >= 1704153600""",
+
+    "q_archive": _with(COMMENTS, MINUTE) + """
 SELECT author, parent_id, score, name, subreddit, 'http://www.reddit.com/' || split_part(link_id, 't3_', 2) AS link_url,
        created_utc, body, "offset", arrived_at
 FROM recs""",
@@ -287,11 +322,12 @@ FROM comments""",
 SELECT author, created_utc, body, link_id, subreddit FROM comments
 QUALIFY row_number() OVER (PARTITION BY author, created_utc ORDER BY length(id) DESC, id DESC) = 1""",
 
-    "q_ttl": _with(COMMENTS, RECS) + f"""
+    "q_ttl": _with(COMMENTS, MINUTE) + f"""
 SELECT {_label('s')} AS minuteslot, subreddit, count FROM (
-  SELECT created_utc - created_utc % 60 AS s, subreddit, CAST(count(*) AS INTEGER) AS count
+  SELECT arrived_at - arrived_at % 60 AS s, subreddit, CAST(count(*) AS INTEGER) AS count
   FROM live GROUP BY 1, 2)
-WHERE s + 60 > (SELECT max(created_utc) FROM recs) - 300""",
+WHERE s + 60 > (SELECT max(arrived_at) FROM recs) - 300""",
 }
 
 ORACLE["q_snapshot_sql"] = ORACLE["q_snapshot"]
+ORACLE["q_engagement_months"] = ORACLE["q_engagement"]

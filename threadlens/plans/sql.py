@@ -6,13 +6,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlens.operators.graph import reply_edges
+from threadlens.operators.graph import DEGREE_SIDES, reply_edges
 
 
 def register_views(spark: SparkSession, comments: DataFrame) -> None:
-    """``comments`` and ``self_join`` (the reply edges) as temp views."""
+    """``comments`` and ``reply_edges`` as temp views."""
     comments.createOrReplaceTempView("comments")
-    reply_edges(comments).createOrReplaceTempView("self_join")
+    reply_edges(comments).createOrReplaceTempView("reply_edges")
 
 
 def snapshot_sql(n: int = 100) -> str:
@@ -36,10 +36,9 @@ def snapshot_sql(n: int = 100) -> str:
     WHERE rn <= {n}"""
 
 
-DEGREE_SQL = """
-SELECT Subreddit AS subreddit, {side} AS author, count(*) AS rank
-FROM self_join GROUP BY Subreddit, {side}"""
-
-
 def degree_sql(kind: str = "indegree") -> str:
-    return DEGREE_SQL.format(side="OrigAuth" if kind == "indegree" else "RespAuth")
+    """Degrees of one kind, counted over the ``reply_edges`` view."""
+    author = DEGREE_SIDES[kind]
+    return f"""
+    WITH replies AS (SELECT {author} AS author, Subreddit AS subreddit FROM reply_edges)
+    SELECT author, subreddit, count(1) AS rank FROM replies GROUP BY author, subreddit"""

@@ -9,7 +9,6 @@ laptops) gets a private temporary folder.
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 import uuid
 
@@ -50,18 +49,16 @@ def build_session(master: str | None = None, app_name: str = "threadlens",
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a job over ``input_bytes`` of input.
 
     The initial shuffle partition count is at least twice the cores and about
     one partition per ``partition_bytes`` of input, so that every reducer's
     share fits in executor memory before AQE coalesces small partitions to
-    the advisory size.  The count is capped at ``max_partitions`` (map x
-    reduce shuffle blocks).  Scan splits and the skew threshold use the same
-    unit.
+    the advisory size.  Scan splits and the skew threshold use the same unit;
+    a larger ``partition_bytes`` means fewer, larger shuffle blocks.
     """
-    n = min(max_partitions, max(2 * total_cores, math.ceil(input_bytes / partition_bytes)))
+    n = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -105,12 +102,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs.mkdirs(path)
     fs.deleteOnExit(path)
     return f"{folder}/data"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side existence checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists_locally(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.functions.timefmt import utc_month, utc_year
+from threadlens.operators.sink import overwrite_partitions
 from threadlens.sources.schema import COMMENT_COLUMNS, CORRUPT_COLUMN, RAW_COMMENT_SCHEMA
 
 
@@ -33,26 +34,20 @@ def read_raw_comments(spark: SparkSession, path: str, keep_corrupt: bool = True,
     return df
 
 
-def convert_column(df: DataFrame, name: str, new_type: str) -> DataFrame:
-    """Cast a column in place and move it last; a bad value becomes NULL."""
-    cast = F.expr(f"try_cast(`{name}` AS {new_type})")
-    return df.withColumn("__swap", cast).drop(name).withColumnRenamed("__swap", name)
-
-
 def typed_comments(raw: DataFrame) -> DataFrame:
-    """Well-formed raw rows -> typed comments (created_utc bigint, last)."""
-    if CORRUPT_COLUMN in raw.columns:
-        raw = raw.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    return convert_column(raw, "created_utc", "bigint").select(*COMMENT_COLUMNS)
+    """Well-formed raw rows -> typed comments, in ``COMMENT_COLUMNS`` order.
+    ``created_utc`` arrives as text; a value that is no integer becomes NULL."""
+    typed = {"created_utc": F.col("created_utc").try_cast("bigint")}
+    good = raw.filter(F.col(CORRUPT_COLUMN).isNull()) if CORRUPT_COLUMN in raw.columns else raw
+    return good.select(*[typed.get(c, F.col(c)).alias(c) for c in COMMENT_COLUMNS])
 
 
 def dead_letters(raw: DataFrame) -> DataFrame:
-    """Rows of a raw read that did not parse, with the file they came from.
-
-    Spark rejects a scan whose only referenced column is the corrupt record,
-    so ``raw`` must be a persisted read (as in ``ingest``)."""
-    return (raw.filter(F.col(CORRUPT_COLUMN).isNotNull())
-            .withColumn("source_file", F.input_file_name()))
+    """Lines of a raw read that did not parse, with the dump they came from and
+    the comment id where it could be read (Spark also wants one real column of
+    a scan to be used besides the corrupt record)."""
+    bad = raw.select("id", CORRUPT_COLUMN, table_name_of(F.input_file_name()).alias("source_file"))
+    return bad.filter(F.col(CORRUPT_COLUMN).isNotNull()).withColumnRenamed(CORRUPT_COLUMN, "line")
 
 
 def with_month(df: DataFrame, epoch_col: str = "created_utc") -> DataFrame:
@@ -76,6 +71,8 @@ def write_comments_parquet(comments: DataFrame, path: str, mode: str = "errorife
     samples the input for the range bounds (an extra pass over the upstream
     plan), and because the key ends in created_utc and id, a hot author is
     still cut across several tasks.
+
+    ``mode="replace"`` overwrites only the (year, month) folders present.
     """
     keys = ["year", "month", cluster_by, "created_utc", "id"]
     df = with_month(comments)
@@ -83,22 +80,29 @@ def write_comments_parquet(comments: DataFrame, path: str, mode: str = "errorife
         df = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
     elif layout != "local":
         raise ValueError(f"unknown layout {layout!r}")
-    (df.sortWithinPartitions(*keys)
-     .write.mode(mode).partitionBy("year", "month").parquet(path))
+    df = df.sortWithinPartitions(*keys)
+    if mode == "replace":
+        overwrite_partitions(df, path, ["year", "month"])
+    else:
+        df.write.mode(mode).partitionBy("year", "month").parquet(path)
 
 
 def ingest(spark: SparkSession, source: str, out: str, dead_out: str, mode: str = "errorifexists",
            layout: str = "local") -> None:
-    """The ingest job: every dump file under ``source`` (glob or folder) in one
-    pass.  The parsed read is persisted once (memory, spilling to disk) and feeds
-    both outputs: typed comments and the dead-letter rows."""
-    from pyspark import StorageLevel
-    raw = read_raw_comments(spark, source).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_comments_parquet(typed_comments(raw), out, mode=mode, layout=layout)
-        dead_letters(raw).write.mode(mode).json(dead_out)
-    finally:
-        raw.unpersist()
+    """The ingest job over the dump files under ``source`` (glob or folder):
+    typed comments by (year, month), and the lines that did not parse by dump.
+
+    Two scans, nothing cached: the second one parses again but keeps only the
+    broken lines.  ``mode="replace"`` overwrites just the months and dumps that
+    ``source`` holds, so a month can be added, or ingested again, at any time.
+    """
+    raw = read_raw_comments(spark, source)
+    write_comments_parquet(typed_comments(raw), out, mode=mode, layout=layout)
+    dead = dead_letters(raw)
+    if mode == "replace":
+        overwrite_partitions(dead, dead_out, ["source_file"], file_format="json")
+    else:
+        dead.write.mode(mode).partitionBy("source_file").json(dead_out)
 
 
 def read_comments_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -106,6 +110,8 @@ def read_comments_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_name_of(path_col) -> "F.Column":
-    """File name after the last ``/`` (the month name of a dump file)."""
+    """The dump's name: the last part of the path, or the folder's name for a
+    ``part-`` file inside it, without file extensions."""
     col = F.col(path_col) if isinstance(path_col, str) else path_col
-    return F.element_at(F.split(col, "/"), -1)
+    last = F.regexp_extract(col, r"([^/]+?)(?:/part-[^/]*)?$", 1)
+    return F.regexp_extract(last, r"^([^.]*)", 1)

@@ -7,37 +7,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from threadlens.functions.timefmt import epoch_seconds, minute_slot, utc_date
+from threadlens.functions.timefmt import day_number, epoch_seconds, minute_slot, slot_start
 from threadlens.operators import live
-from threadlens.operators.sink import overwrite_partitions
+from threadlens.operators.sink import compact_days, overwrite_partitions, partitions_of, read_compacted
 from threadlens.sources.schema import FEED_PAGE_SCHEMA
 
 RECORD_SCHEMA = T.StructType([
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.LongType()),
     T.StructField("value", T.StringType()),
 ])
+#: What names a message: an offset alone is unique within its partition only.
+MESSAGE_ID = ("topic", "partition", "offset")
 
 
 # ---- sources ---------------------------------------------------------------
 
-def land_records(messages: DataFrame, path: str, offset: str = "offset",
-                 timestamp: str = "arrived_at", partitions: int | None = None,
-                 mode: str = "errorifexists") -> None:
-    """Write (offset, timestamp, value) records as Parquet, the shape a Kafka
-    source yields, so a file stream can replay a topic.  Records are spread
-    over ``partitions`` files (default: the session's parallelism) by a hash
-    of the offset, as a producer's partitioner spreads keys, each file in
-    offset order."""
-    n = partitions or messages.sparkSession.sparkContext.defaultParallelism
-    (messages.select(F.col(offset).cast("bigint").alias("offset"),
-                     F.col(timestamp).cast("bigint").alias("timestamp"),
-                     F.col("value").cast("string").alias("value"))
-     .repartition(n, "offset").sortWithinPartitions("offset")
-     .write.mode(mode).parquet(path))
-
-
-def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def as_records(messages: DataFrame, topic: str = "comments", offset: str = "offset",
+               timestamp: str = "arrived_at", partitions: int = 1) -> DataFrame:
+    """Messages in the shape a Kafka source yields them."""
+    at = F.col(offset).cast("bigint")
+    return messages.select(F.lit(topic).alias("topic"), F.pmod(at, F.lit(partitions)).cast("int").alias("partition"),
+                           at.alias("offset"), F.col(timestamp).cast("bigint").alias("timestamp"),
+                           F.col("value").cast("string").alias("value"))
+
+
+def land_records(messages: DataFrame, path: str, chunks: int = 4, files: int = 1, mode: str = "errorifexists",
+                 newest_first: bool = False, **names) -> None:
+    """Write a topic's messages as Parquet files that a file stream replays in
+    offset order: ``chunks`` ranges of the offsets are landed one after the
+    other (a file source reads older files first), each as ``files`` files."""
+    rows = as_records(messages, **names)
+    lo, hi = rows.agg(F.min("offset"), F.max("offset")).first()
+    lo, hi = (lo, hi) if lo is not None else (0, 0)
+    step = -(-(hi - lo + 1) // chunks)
+    for n in sorted(range(chunks), reverse=newest_first):
+        part = rows.filter(F.col("offset").between(lo + n * step, lo + (n + 1) * step - 1))
+        (part.repartitionByRange(files, "offset").sortWithinPartitions("offset")
+         .write.mode(mode).parquet(path))
+        mode = "append"
+
+
+def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Landed records as a stream, by default one file in each trigger."""
     reader = spark.readStream.schema(RECORD_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -47,19 +61,28 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 def kafka_source(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
                  starting_timestamp: int | None = None) -> DataFrame:
-    """Kafka topic as (offset, timestamp, value).  Needs the spark-sql-kafka
-    connector on the classpath (not bundled here).  ``starting_timestamp``
-    (epoch ms) restarts from a point in time, e.g. to skip ahead after lag."""
+    """Kafka topic as records.  Needs the spark-sql-kafka connector on the
+    classpath (not bundled here).  ``starting_timestamp`` (epoch ms) restarts
+    from a point in time, e.g. to skip ahead after lag."""
     reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic).option("startingOffsets", starting_offsets))
     if starting_timestamp is not None:
         reader = reader.option("startingTimestamp", str(starting_timestamp))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().select("offset", epoch_seconds("timestamp").alias("timestamp"),
+    return reader.load().select(*MESSAGE_ID, epoch_seconds("timestamp").alias("timestamp"),
                                 F.col("value").cast("string").alias("value"))
 
 
+def publish(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send a batch of messages (column ``value``) to a Kafka topic; needs the
+    connector as well."""
+    (messages.select(F.col("value").cast("string").alias("value")).write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+
+
+#: State-store partitions of a stream that names no number of its own.
+STATE_PARTITIONS = 8
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -76,8 +99,8 @@ def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str
            spark: SparkSession | None = None, state_partitions: int | None = None):
     """Start a query.  For a stateful query, ``state_partitions`` fixes the
     number of state-store partitions: Spark records it in the checkpoint at
-    the first start and keeps it on every restart.  The default is the
-    cluster's total cores; the session setting is restored right after start
+    the first start and keeps it on every restart, so a job sets it for the
+    keys it expects.  The default is ``STATE_PARTITIONS``; the session setting is restored right after start
     (the stream runs on its own clone of the session)."""
     w = df_writer.option("checkpointLocation", checkpoint)
     if available_now:
@@ -86,7 +109,7 @@ def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str
         w = w.trigger(processingTime=processing_time)
     if spark is None:
         return w.start()
-    n = state_partitions or spark.sparkContext.defaultParallelism
+    n = state_partitions or STATE_PARTITIONS
     old = spark.conf.get(SHUFFLE_PARTITIONS)
     spark.conf.set(SHUFFLE_PARTITIONS, str(n))
     try:
@@ -108,13 +131,13 @@ def start_feed(records: DataFrame, feed_path: str, dead_path: str, checkpoint: s
         parsed.persist()
         try:
             feed = (live.feed_rows(live.good_records(parsed))
-                    .withColumn("day", utc_date("secslot")).withColumn("batch", F.lit(batch_id)))
+                    .withColumn("day", day_number("secslot")).withColumn("batch", F.lit(batch_id)))
             # Feed volume per day is unbounded: range-partition on (day, second)
             # so a busy day spans several writers and each file covers a
             # narrow time range (min/max statistics prune slot reads).
             feed = feed.repartitionByRange("day", "secslot").sortWithinPartitions("day", "secslot")
             overwrite_partitions(feed, feed_path, ["day", "batch"])
-            dead = live.dead_letters(parsed, keep=("offset", "arrived_at"))
+            dead = live.dead_letters(parsed, keep=(*MESSAGE_ID, "arrived_at"))
             overwrite_partitions(dead.withColumn("batch", F.lit(batch_id)), dead_path, ["batch"])
         finally:
             parsed.unpersist()
@@ -123,21 +146,33 @@ def start_feed(records: DataFrame, feed_path: str, dead_path: str, checkpoint: s
 
 # ---- per-slot top lists ----------------------------------------------------
 
-def slot_trend_counts(records: DataFrame, key: str, time_col: str = "created_utc",
+def slot_trend_counts(records: DataFrame, key: str, time_col: str = "arrived_at",
                       slot_seconds: int = 60, delay: str = "2 minutes") -> DataFrame:
-    """Streaming counts per (tumbling event-time slot, key) with a watermark;
-    state for a slot is dropped once the watermark passes its end."""
+    """Streaming counts per (tumbling slot, key) with a watermark; state for a
+    slot is dropped once the watermark passes its end.  Slots follow arrival,
+    as the live counter's ticks do: arrival only moves forward in offset
+    order, so a topic read in order has no late rows.  ``time_col`` may name
+    the comment's own time instead, at the price of late rows."""
     good = live.good_records(live.parse_messages(records.withColumnRenamed("timestamp", "arrived_at")))
     timed = (good.dropna(subset=["author", "subreddit"])
              .withColumn("event_time", F.timestamp_seconds(time_col))
              .withWatermark("event_time", delay))
     return (timed.groupBy(F.window("event_time", f"{slot_seconds} seconds").alias("w"), F.col(key))
             .agg(F.count(F.lit(1)).cast("int").alias("count"))
-            .select(minute_slot(F.unix_seconds(F.col("w.start"))).alias("minuteslot"), key, "count"))
+            .select(F.unix_seconds(F.col("w.start")).alias("slot_start"),
+                    minute_slot(F.unix_seconds(F.col("w.start"))).alias("minuteslot"), key, "count"))
+
+
+def trend_rows(counts: DataFrame, key: str, k: int = live.TOP_K) -> DataFrame:
+    """Stored form of slot counts: the top ``k`` keys of each slot, with the
+    slot's total over *all* keys, its start and its day."""
+    totals = counts.groupBy("minuteslot").agg(F.sum("count").alias("slot_total"))
+    return live.top_per_slot(counts, key, k).join(totals, "minuteslot") \
+        .withColumn("day", day_number("slot_start"))
 
 
 def start_slot_trends(records: DataFrame, key: str, sink_path: str, checkpoint: str,
-                      time_col: str = "created_utc", slot_seconds: int = 60, k: int = live.TOP_K,
+                      time_col: str = "arrived_at", slot_seconds: int = 60, k: int = live.TOP_K,
                       delay: str = "2 minutes", available_now: bool = True,
                       processing_time: str | None = None,
                       state_partitions: int | None = None) -> StreamingQuery:
@@ -146,44 +181,95 @@ def start_slot_trends(records: DataFrame, key: str, sink_path: str, checkpoint:
     Append mode emits a slot once, in the batch whose watermark closes it, so
     ranking inside ``foreachBatch`` sees the whole slot (a row_number window is
     not allowed on the stream itself).  Writes are partitioned by (day, batch)
-    and overwrite on replay, which makes the sink exactly-once.
+    and overwrite on replay, which makes the sink exactly-once.  Rows that a
+    watermark drops as late are found and put back by ``slot_shortfall`` and
+    ``repair_slots``.
     """
     counts = slot_trend_counts(records, key, time_col, slot_seconds, delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        top = live.top_per_slot(batch, key, k)
-        day = F.floor(F.col("minuteslot") / F.lit(10000)).cast("bigint")
-        # A day of a top-k table holds at most k rows per slot, so clustering a
-        # day into one writer task is bounded; it keeps one file per day.
-        out = (top.withColumn("day", day).withColumn("batch", F.lit(batch_id))
-               .repartition("day").sortWithinPartitions("minuteslot", "rank"))
-        overwrite_partitions(out, sink_path, ["day", "batch"])
+        batch.persist()
+        try:
+            # A day of a top-k table holds at most k rows per slot, so clustering a
+            # day into one writer task is bounded; it keeps one file per day.
+            out = (trend_rows(batch, key, k).withColumn("batch", F.lit(batch_id))
+                   .repartition("day").sortWithinPartitions("minuteslot", "rank"))
+            overwrite_partitions(out, sink_path, ["day", "batch"])
+        finally:
+            batch.unpersist()
     return _start(counts.writeStream.outputMode("append").foreachBatch(write),
                   checkpoint, available_now, processing_time, records.sparkSession, state_partitions)
 
 
+def slot_shortfall(archive: DataFrame, trends: DataFrame, key: str, until: int, slot_seconds: int = 60) -> DataFrame:
+    """(day, minuteslot, archived, counted, missing) of the slots that ended by
+    ``until`` and whose stored total lacks archived comments: what the
+    watermark dropped as late.  ``archive`` has every record once."""
+    counts = live.slot_counts(archive, key, "arrived_at", slot_seconds, with_start=True) \
+        .filter(F.col("slot_start") + slot_seconds <= until)
+    true = counts.groupBy("slot_start", "minuteslot").agg(F.sum("count").alias("archived"))
+    stored = trends.select("minuteslot", "slot_total").distinct().groupBy("minuteslot") \
+        .agg(F.max("slot_total").alias("counted"))
+    return (true.join(stored, "minuteslot", "left")
+            .select(day_number("slot_start").alias("day"), "minuteslot", "archived",
+                    F.coalesce("counted", F.lit(0)).alias("counted"))
+            .withColumn("missing", F.col("archived") - F.col("counted")).filter("missing <> 0"))
+
+
+def repair_slots(spark: SparkSession, archive: DataFrame, trend_path: str, compact_path: str, key: str, until: int,
+                 slot_seconds: int = 60, k: int = live.TOP_K) -> list[int]:
+    """Rebuild the top lists of slots with a shortfall from the archive and
+    store their days compacted; returns those days.  Days without a shortfall
+    are not touched."""
+    stored = read_compacted(spark, trend_path, compact_path)
+    short = slot_shortfall(archive, stored, key, until, slot_seconds)
+    days = sorted(r["day"] for r in short.select("day").distinct().collect())  # one number per day
+    if not days:
+        return []
+    compact_days(spark, trend_path, compact_path, days, ["minuteslot", "rank"])
+    through = dict(partitions_of(spark, compact_path, "day", "through"))
+    old = read_compacted(spark, trend_path, compact_path, days)
+    again = archive.filter(day_number(slot_start("arrived_at", slot_seconds)).isin(days))
+    fresh = trend_rows(live.slot_counts(again, key, "arrived_at", slot_seconds, with_start=True)
+                       .filter(F.col("slot_start") + slot_seconds <= until), key, k)
+    slots = fresh.select("minuteslot").distinct()
+    rows = old.join(slots, "minuteslot", "left_anti").unionByName(fresh)
+    number = F.element_at(F.create_map(*[F.lit(x) for d in days for x in (d, through.get(d, -1))]),
+                          F.col("day").cast("int"))
+    overwrite_partitions(rows.withColumn("through", number).sortWithinPartitions("day", "minuteslot", "rank"),
+                         compact_path, ["day", "through"])
+    return days
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
 # ---- overlapping polls ------------------------------------------------------
 
-def land_pages(pages: DataFrame, path: str) -> None:
-    pages.write.mode("errorifexists").parquet(path)
+def land_pages(pages: DataFrame, path: str, chunks: int = 4) -> None:
+    """Listing pages as files in poll order, ``chunks`` one after the other."""
+    lo, hi = pages.agg(F.min("page"), F.max("page")).first()
+    lo, hi = (lo, hi) if lo is not None else (0, 0)
+    step = -(-(hi - lo + 1) // chunks)
+    for n in range(chunks):
+        (pages.filter(F.col("page").between(lo + n * step, lo + (n + 1) * step - 1))
+         .coalesce(1).write.mode("append").parquet(path))
 
 
 def start_dedup(spark: SparkSession, pages_path: str, sink_path: str, checkpoint: str,
                 delay: str = "10 minutes", available_now: bool = True,
                 processing_time: str | None = None, state_partitions: int | None = None,
-                max_files_per_trigger: int | None = None) -> StreamingQuery:
+                max_files_per_trigger: int | None = 1) -> StreamingQuery:
     """Flatten landed listing pages and drop comments already seen, keyed by id,
     with state bounded by the watermark (``dropDuplicatesWithinWatermark``).
 
     A repeat comes from an overlapping later poll, so the watermark runs on the
     poll time (monotone in arrival order) and ``delay`` must cover the interval
     between polls; a comment created long before it is polled is therefore
-    never mistaken for late data.  The file sink commits through its own log:
-    exactly once."""
+    never mistaken for late data.  A page that itself arrives after ``delay``
+    is dropped; ``live.unseen_comments`` finds what it held.  The file sink
+    commits through its own log: exactly once."""
     reader = spark.readStream.schema(FEED_PAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -199,13 +285,13 @@ def start_dedup(spark: SparkSession, pages_path: str, sink_path: str, checkpoint
 
 # ---- rolling JSON archive -----------------------------------------------------
 
-def start_archive(records: DataFrame, path: str, checkpoint: str, max_records_per_file: int = 1000,
+def start_archive(records: DataFrame, path: str, checkpoint: str, max_records_per_file: int = 1_000_000,
                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Archive parsed comments as JSON lines, one folder per arrival day, a new
-    file every ``max_records_per_file`` rows.  The file sink's commit log makes
-    the archive exactly-once across restarts."""
+    """Archive parsed comments as JSON lines, one folder per arrival day; files
+    are as large as a batch, a new one only past ``max_records_per_file`` rows.
+    The file sink's commit log makes the archive exactly-once across restarts."""
     good = live.good_records(live.parse_messages(records.withColumnRenamed("timestamp", "arrived_at")))
-    rows = good.withColumn("day", utc_date("arrived_at"))
+    rows = good.withColumn("day", day_number("arrived_at"))
     w = (rows.writeStream.format("json").option("path", path).partitionBy("day")
          .option("maxRecordsPerFile", max_records_per_file).outputMode("append"))
     return _start(w, checkpoint, available_now, processing_time)
