@@ -56,6 +56,7 @@ def main() -> None:
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
                       "stat": f"median of {runs} runs", "first_run_total": first,
+                      "samples": {name: [round(x, 3) for x in v] for name, v in samples.items()},
                       "warmup": os.path.basename(warm_dir) if os.path.isdir(warm_dir) else None}))
     spark.stop()
 

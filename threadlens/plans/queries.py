@@ -141,12 +141,25 @@ def q_snapshot(spark, sf):
     return _stats_table(spark, sf, SNAPSHOT_TOP_N)
 
 
+def _stored_stats(spark, sf) -> DataFrame:
+    """The snapshot job's table: folders by month, files sorted by size."""
+    from threadlens import jobs
+    root = scratch_path(spark, "snapshot")
+    comments = f"{root}/comments"
+    json_source.write_comments_parquet(_comments(spark, sf), comments)
+    jobs.snapshot_job(spark, comments, root, TABLE_TOP_N)
+    return spark.read.parquet(f"{root}/subredditinfo")
+
+
 def q_snapshot_month(spark, sf):
-    return snapshot.month_view(_stats_table(spark, sf), *MONTH)
+    """One month of the stored table: one folder is read."""
+    return snapshot.month_view(_stored_stats(spark, sf), *MONTH)
 
 
 def q_trend(spark, sf):
-    return snapshot.subreddit_trend(_stats_table(spark, sf), TREND_SUBREDDIT)
+    """One subreddit's months from the stored table: the name is pushed down."""
+    trend = snapshot.subreddit_trend(_stored_stats(spark, sf), TREND_SUBREDDIT)
+    return trend.withColumns({c: F.col(c).cast("bigint") for c in ("year", "month")})
 
 
 def q_snapshot_sql(spark, sf):
