@@ -5,8 +5,8 @@ phrases that toxic text adds to it.  A text is cut into windows of a few words;
 each window is compressed with the ordinary dictionary and with both together,
 and the bytes that the toxic one saves are its distance.  Ordinary windows save
 nothing, as the ordinary dictionary is in both.  A logistic curve over the
-windows' savings, fitted on labelled texts that the dictionaries have not
-seen, turns them into a score.
+windows' savings turns them into a score; it is fitted across two halves of the
+sample, each measured with the dictionaries of the other.
 """
 
 from __future__ import annotations
@@ -26,14 +26,19 @@ from threadlens.llm.sampling import held_out, labelled_sample
 
 WINDOW_WORDS = 8
 LEVEL = 12
-ORDINARY_BYTES = 16_384
-TOXIC_BYTES = 3_072
+ORDINARY_BYTES = 32_768
+TOXIC_BYTES = 2_048
 SEGMENT = 16
 SAMPLE = {1: 2_000, 0: 4_000}
 PHRASE_WORDS = 24
 GRAM = 5
-TIMES = 12
-SAVED = 4
+#: A mark of toxic text is at least this many times as frequent there, and one
+#: of the ``MARKS`` that tell most.
+TIMES = 4
+MARKS = 200
+#: The weight of the toxic class when the curve is fitted.
+BALANCE = 0.4
+RIDGE = 0.3
 THRESHOLD = 0.7
 
 
@@ -71,11 +76,14 @@ class Distance:
         return np.array([len(plain(w)) - len(both(w)) for w in windows(text)], np.float64)
 
     def features(self, text: str | None) -> list[float]:
+        """The largest savings, how many windows save 2 to 8 bytes or more, and
+        how large a share of the text they are."""
         d = np.sort(self.saved(text))[::-1]
         if not len(d):
-            return [0.0] * 7
-        strong = float((d >= SAVED).sum())
-        return [d[0], d[:3].sum() / 3, d.mean(), strong, np.log1p(strong), min(d[0], 10.0), np.log1p(len(d))]
+            return [0.0] * 14
+        many = np.array([float((d >= k).sum()) for k in range(2, 9)])
+        return [d[0], d[:3].sum() / 3, d[:8].sum() / 8, *np.log1p(many), *np.sqrt(many[[0, 2]] / len(d)),
+                np.maximum(d, 0).sum() / len(d), np.log1p(len(d))]
 
 
 def _distinct(texts: list[str]) -> list[str]:
@@ -108,9 +116,14 @@ def toxic_phrases(toxic: list[str], ordinary: list[str]) -> list[bytes]:
             found = {g for w in set(_words(t)) for g in _grams(w)}
             n.update(found if among is None else found & among)
         return n
-    often = {g: n for g, n in held(toxic).items() if n >= max(3, len(toxic) // 70)}
+    often = {g: n for g, n in held(toxic).items() if n >= max(3, len(toxic) // 50)}
     usual = held(ordinary, set(often))
-    marks = {g for g, n in often.items() if n / len(toxic) >= TIMES * (usual[g] + 0.5) / max(1, len(ordinary))}
+    tells = {}
+    for g, n in often.items():
+        here, there = n / len(toxic), (usual[g] + 0.5) / max(1, len(ordinary))
+        if here >= TIMES * there:
+            tells[g] = n * np.log(here / there)
+    marks = set(sorted(tells, key=lambda g: (-tells[g], g))[:MARKS])
     out = []
     for t in toxic:
         words = [w for w in _words(t) if any(g in marks for g in _grams(w))][:PHRASE_WORDS]
@@ -131,35 +144,44 @@ def trained(size: int, samples: list[bytes], **options) -> bytes:
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ridge logistic regression by Newton steps: (centre, scale, weights)."""
+    """Ridge logistic regression by Newton steps, with ``BALANCE`` of the weight
+    on the toxic class: (centre, scale, weights)."""
     centre, scale = x.mean(0), x.std(0) + 1e-9
     a = np.c_[np.ones(len(x)), (x - centre) / scale]
-    w = np.zeros(a.shape[1])
-    ridge = np.full(len(w), 1e-2)
-    for _ in range(50):
+    share = y.mean()
+    weight = np.where(y == 1, BALANCE / share, (1 - BALANCE) / (1 - share)) if 0 < share < 1 else np.ones(len(y))
+    w, ridge = np.zeros(a.shape[1]), np.full(a.shape[1], RIDGE)
+    ridge[0] = 1e-3
+    for _ in range(60):
         p = sigmoid(a @ w)
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(ridge), a.T @ (p - y) + ridge * w)
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(ridge),
+                               a.T @ (weight * (p - y)) + ridge * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return centre, scale, w
 
 
+def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    common = trained(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)][:60_000])
+    return common, trained(TOXIC_BYTES, toxic_phrases(toxic, ordinary) * 4, k=SEGMENT, d=6) if toxic else b""
+
+
 def train(docs: DataFrame, labels: DataFrame, seed: str = "toxicity") -> ToxicityModel:
     """Fit on a bounded sample: at most ``SAMPLE`` labelled texts of each
-    class (2,000 toxic, 4,000 ordinary), half for the dictionaries and half for
-    the curve (all for both below 60 toxic texts)."""
+    class (2,000 toxic, 4,000 ordinary)."""
     sample = labelled_sample(docs, labels, "toxic", seed, SAMPLE)
     toxic, ordinary = (_distinct([t for t, y in sample if y == v]) for v in (1, 0))
-    halves = [(x[::2], x[1::2]) if len(toxic) >= 60 else (x, x) for x in (toxic, ordinary)]
-    (fit_t, curve_t), (fit_o, curve_o) = halves
-    segment = {"k": SEGMENT, "d": 6}
-    common = trained(ORDINARY_BYTES, [w for t in fit_o for w in windows(t)][:60_000])
-    special = trained(TOXIC_BYTES, toxic_phrases(fit_t, fit_o) * 4, **segment) if fit_t else b""
-    measure = Distance(common, special)
-    x = np.array([measure.features(t) for t in curve_t + curve_o] or [measure.features("")])
-    y = np.r_[np.ones(len(curve_t)), np.zeros(len(curve_o))] if curve_t + curve_o else np.zeros(1)
-    return ToxicityModel(common, special, *_curve(x, y))
+    x, y = [], []
+    for half in (0, 1):
+        measure = Distance(*dictionaries(toxic[half::2], ordinary[half::2]))
+        for label, texts in ((1.0, toxic), (0.0, ordinary)):
+            for t in texts[1 - half::2]:
+                x.append(measure.features(t))
+                y.append(label)
+    if not x:
+        x, y = [Distance(b"", b"").features("")], [0.0]
+    return ToxicityModel(*dictionaries(toxic, ordinary), *_curve(np.array(x), np.array(y)))
 
 
 def score_column(docs: DataFrame, model: ToxicityModel) -> Column:
