@@ -26,7 +26,8 @@ WORD_BUCKETS = 1 << 15
 BINS = 8
 RANK = 8
 SAMPLE = {0: 3_000, 1: 5_000}
-EPOCHS = 8
+#: Passes over the sample: at least 8, more for a small one.
+EPOCHS, UPDATES = 8, 20_000
 RATE = 0.15
 WORD_WEIGHT = 0.7
 STAT_WEIGHT = 0.5
@@ -100,9 +101,10 @@ def margin(model: QualityModel, ids: np.ndarray, x: np.ndarray, starts: np.ndarr
     return model.bias + np.add.reduceat(model.linear[ids] * x, starts) + 0.5 * ((total * total).sum(1) - squares)
 
 
-def fit(items: list[tuple[np.ndarray, list[float]]], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> QualityModel:
+def fit(items: list[tuple[np.ndarray, list[float]]], y: np.ndarray, epochs: int | None = None, seed: int = 7) -> QualityModel:
     """Adagrad on the logistic loss, in seeded batches; no texts, no bias."""
     rng = np.random.default_rng(seed)
+    epochs = epochs or max(EPOCHS, min(60, UPDATES // max(1, len(items))))
     table = np.array([s for _, s in items]).reshape(-1, len(STATS)) if items else np.zeros((1, len(STATS)))
     cuts = np.quantile(table, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
     size = WORD_BUCKETS + BINS * len(STATS)
