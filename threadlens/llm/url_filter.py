@@ -28,6 +28,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
          ("allow", "org", "/fr/"))
 VOCABULARY = 50_000
 LEAST_COUNT = 3
+COUNT_STEPS = 64
 LONGEST_WORD = 24
 BUCKETS = 1 << 16
 SMOOTH = 0.5
@@ -85,15 +86,24 @@ class Segmenter:
 
 
 def unigrams(pages: DataFrame, vocabulary: int = VOCABULARY) -> Segmenter:
-    """Counts of words over the text of *all* pages (mark-up removed) and of
-    the whole dash-separated parts of their hosts; the ``vocabulary`` most
-    frequent reach the driver."""
+    """Counts of words over the text of *all* pages, mark-up removed.
+
+    The most frequent, at most ``vocabulary`` of them, reach the driver: a
+    histogram of the counts in steps of a 64th of a doubling says from which
+    count on they fit, so no task sends more than its share."""
     text = F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), r"(?s)<[^>]*>", " ")
     words = F.explode(F.split(F.lower(text), r"[^\p{L}]+"))
     seen = pages.select(words.alias("word")).filter("length(word) > 1").groupBy("word").agg(
         F.count(F.lit(1)).alias("n"))
-    top = seen.filter((F.col("n") >= LEAST_COUNT) & (F.length("word") <= LONGEST_WORD)) \
-        .orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    seen = stash(seen.filter((F.col("n") >= LEAST_COUNT) & (F.length("word") <= LONGEST_WORD))
+                 .withColumn("step", F.floor(F.log2("n") * COUNT_STEPS).cast("int")), "words")
+    least, kept = 0, 0
+    for r in sorted(seen.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        kept += r["count"]
+        if kept > vocabulary:
+            least = r["step"] + 1
+            break
+    top = seen.filter(F.col("step") >= least).select("word", "n").collect()
     counts = {r["word"]: r["n"] for r in top}
     for w in SEED_WORDS:
         counts[w] = max(counts.get(w, 0), 100 * LEAST_COUNT)
