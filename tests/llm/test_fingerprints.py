@@ -23,6 +23,17 @@ def test_peeling_recovers_the_difference():
     assert len(rounds) > 1  # the large difference needed a larger sketch
 
 
+def test_short_and_repeated_paragraphs_have_their_own_digests():
+    text = "\n".join(["|", "a", "b", "|", "ab"] * 3000)
+    assert len(set(fp.digests(text).tolist())) == 15_000
+
+
+def test_a_pair_that_cannot_be_peeled_ends():
+    twice = np.array([7, 7, 9], np.uint64)
+    d, rounds = fp.differences([twice], [np.array([1], np.uint64)])
+    assert len(rounds) < 8 and d[0] == 3
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
     out = {}

@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 TABLES = 3
 CELLS = 18
 GROWTH = 3
-BATCH_CELLS = 1_000_000
+LARGEST = 16
+#: Cells peeled at once, and characters of text measured at once.
+BATCH_CELLS = 200_000
+BATCH_CHARS = 2_000_000
 _CUT = re.compile(r"\n|(?<=[.!?])\s+")
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -43,7 +46,8 @@ def digests(text: str) -> np.ndarray:
     for p in _CUT.split(text):
         if p:
             n = seen[p] = seen.get(p, -1) + 1
-            out.append(xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass"), n))
+            raw = p.encode("utf-8", "surrogatepass")
+            out.append(xxhash.xxh3_64_intdigest(b"%b\0%d" % (raw, n) if n else raw))
     return np.array(out, np.uint64)
 
 
@@ -61,7 +65,7 @@ class Sketches:
         self.count, self.keys, self.checks = count, keys, checks
 
     @classmethod
-    def of(cls, sets: list[np.ndarray], cells: int) -> Sketches:
+    def of(cls, sets: Sequence[np.ndarray], cells: int) -> Sketches:
         shape = len(sets) * cells
         self = cls(np.zeros(shape, np.int64), np.zeros(shape, np.uint64), np.zeros(shape, np.uint64))
         if sets:
@@ -116,11 +120,13 @@ class Sketches:
                 for n, t in zip(sizes, table.reshape(len(sizes), cells))] if sizes else []
 
 
-def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) -> tuple[np.ndarray, list[int]]:
+def differences(a: Sequence[np.ndarray], b: Sequence[np.ndarray], cells: int = CELLS) -> tuple[np.ndarray, list[int]]:
     """How many digests differ between a[i] and b[i], by subtracting and
     peeling; the ones that get stuck are sketched again with at least
     ``GROWTH`` times the cells, or twice what the stuck cells let expect.
-    Also returns how many went through each round."""
+    With ``LARGEST`` cells for each digest only equal digests of one text could
+    still be in the way; such a pair is compared digest by digest.  Also
+    returns how many went through each round."""
     out = np.zeros(len(a), np.int64)
     pending = {cells: np.arange(len(a))}
     rounds = []
@@ -139,13 +145,16 @@ def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) ->
             row, _, _, empty = diff.peel(m)
             out[part] = np.bincount(row, minlength=len(part))
             for i, size in zip(part[~empty], likely[~empty]):
+                if m > LARGEST * (len(a[i]) + len(b[i])) + CELLS * GROWTH:
+                    out[i] = len(np.setxor1d(a[i], b[i]))
+                    continue
                 want = max(m * GROWTH, int(2 * size))
                 want = CELLS * GROWTH ** int(np.ceil(np.log(want / CELLS) / np.log(GROWTH) - 1e-9))
                 pending[want] = np.append(pending.get(want, np.empty(0, np.int64)), i)
     return out, rounds
 
 
-def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+def likeness(a: Sequence[np.ndarray], b: Sequence[np.ndarray]) -> np.ndarray:
     """Shared digests over all digests of both, from the recovered difference;
     two empty texts are alike (1)."""
     d, _ = differences(a, b)
@@ -206,10 +215,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
               "near_edited double, near_next double")
     names = [f.split()[0] for f in schema.split(", ")]
 
+    def measured(rows: list[tuple]) -> pa.RecordBatch:
+        ids, sizes, sums, own, new, after = zip(*rows)
+        return pa.RecordBatch.from_arrays([
+            pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums),
+            pa.array(Sketches.of(own, CELLS).texts([len(x) for x in own], CELLS)),
+            pa.array(Sketches.of(new, CELLS).texts([len(x) for x in new], CELLS)),
+            pa.array(likeness(own, new)), pa.array(likeness(own, after))], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (part, doc_id, text, digests) that waits for its successor
+        rows, chars = [], 0
         for batch in batches:
-            ids, sizes, sums, own, new, after = [], [], [], [], [], []
             for part, tail, doc_id, text in zip(*(batch.column(c) for c in ("part", "tail", "doc_id", "text"))):
                 part, tail = part.as_py(), tail.as_py()
                 if tail and (last is None or last[0] != part):
@@ -218,19 +235,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 here = (part, doc_id.as_py(), text, digests(text))
                 if last is not None and last[0] == part:
                     changed = edited(last[2], text)
-                    ids.append(last[1])
-                    sizes.append(len(last[2]))
-                    sums.append(hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest())
-                    own.append(last[3])
-                    new.append(digests(changed))
-                    after.append(here[3])
+                    rows.append((last[1], len(last[2]), hashlib.sha256(changed.encode("utf-8", "surrogatepass"))
+                                 .hexdigest(), last[3], digests(changed), here[3]))
+                    chars += len(changed)
                 last = None if tail else here
-            if ids:
-                lengths = [[len(x) for x in s] for s in (own, new)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums),
-                    pa.array(Sketches.of(own, CELLS).texts(lengths[0], CELLS)),
-                    pa.array(Sketches.of(new, CELLS).texts(lengths[1], CELLS)),
-                    pa.array(likeness(own, new)), pa.array(likeness(own, after))], names=names)
+                if chars >= BATCH_CHARS:
+                    yield measured(rows)
+                    rows, chars = [], 0
+            if rows:
+                yield measured(rows)
+                rows, chars = [], 0
 
     return with_successors(docs).select("part", "tail", F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
