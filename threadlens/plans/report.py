@@ -13,7 +13,7 @@ import sys
 from threadlens.plans.inspect import explain_string, pushed_filters
 
 STREAMING = {"q_minute_subreddits", "q_minute_authors", "q_hour_authors", "q_live", "q_stream_dedup",
-             "q_archive", "q_als"}
+             "q_archive", "q_als", "q_trend_read", "q_hour_trend_read", "q_trend_repair", "q_feed_compacted"}
 NODES = ["Exchange", "SortMergeJoin", "BroadcastHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
          "HashAggregate", "SortAggregate", "Expand", "WindowGroupLimit", "Window", "Generate",
          "TakeOrderedAndProject"]

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 # Raw comment as it appears in a monthly JSON dump; every field nullable and
 # ``created_utc`` still a string.
+# The field names and types of a comment dump.
 RAW_COMMENT_SCHEMA = T.StructType([
     T.StructField("archived", T.BooleanType()),
     T.StructField("author", T.StringType()),
