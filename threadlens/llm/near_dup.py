@@ -109,7 +109,8 @@ def list_pairs(lists: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     # the member with most shared values stands nearest the middle of a group
     centres = long.groupBy("value").agg(F.max(F.struct("shared", -F.col("rep"))).alias("c")) \
         .select("value", (-F.col("c.col2")).alias("centre"))
-    stars = long.join(centres, "value").filter(F.col("rep") != F.col("centre")).select(*_pair("rep", "centre"))
+    # one row per long list: broadcast while they are few, so that no task gets a whole list
+    stars = long.join(small(stash(centres, "centres")), "value").filter(F.col("rep") != F.col("centre")).select(*_pair("rep", "centre"))
     return inside.union(stars).distinct(), long.select("rep").distinct()
 
 
@@ -202,13 +203,16 @@ def far_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
     major = prefix.groupBy("value", "label").agg(F.count(F.lit(1)).alias("c")) \
         .groupBy("value").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("labels")) \
         .filter("labels > 1").select("value", F.col("top.label").alias("major"))
-    left = prefix.join(major, "value").filter(F.col("label") != F.col("major")).drop("major")
+    # one row per value, then the rows outside the largest component: broadcast while few,
+    # so that a value held by a whole group is not dealt to one task
+    major = small(stash(major, "majors"))
+    left = small(stash(prefix.join(major, "value").filter(F.col("label") != F.col("major")).drop("major"), "minor"))
     right = prefix.select("value", *[F.col(c).alias(c + "2") for c in ("rep", "label", "size", "shared", "behind")])
     common = F.least("shared", "shared2")
     # values stand in one order in all sets, so the first common value of a
     # link has room behind it, in both sets, for the rest of the overlap
     overlap = F.ceil((F.col("size") + F.col("size2")) * percent / (100 + percent))
-    pairs = left.join(right, "value").filter(
+    pairs = right.join(left, "value").filter(
         (F.col("label") != F.col("label2"))
         & (F.least("behind", "behind2") + 1 >= overlap)
         & (F.lit(100) * F.least("size", "size2") >= F.lit(percent) * F.greatest("size", "size2"))
