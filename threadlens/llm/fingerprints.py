@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TABLES = 3
@@ -29,6 +29,8 @@ LARGEST = 16
 #: Cells peeled at once, and characters of text measured at once.
 BATCH_CELLS = 200_000
 BATCH_CHARS = 2_000_000
+#: Rows of one range of ids, where the session's shuffle partitions are fewer.
+PART_ROWS = 50_000
 _CUT = re.compile(r"\n|(?<=[.!?])\s+")
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -168,6 +170,12 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - half] + after[:half]
 
 
+def _longs(values: list[int]) -> Column:
+    """An array constant."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values \
+        else F.array().cast("array<bigint>")
+
+
 def with_successors(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """(part, doc_id, text, tail) sorted within partitions so that each row's
     successor in descending doc_id order (after the last: the first) is the
@@ -179,21 +187,24 @@ def with_successors(docs: DataFrame, parts: int | None = None) -> DataFrame:
     Null ids come last, equal ids in the order of their texts.
     """
     spark = docs.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // PART_ROWS))
     lowest = -(1 << 63)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest))
     ids = docs.select(key.alias("k"))
-    cuts = ids.select(F.percentile_approx("k", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] or []
-    bounds = F.array(*[F.lit(x).cast("long") for x in sorted(set(cuts))])
-    part = F.size(F.filter(bounds, lambda b: b < F.col("k")))
+    found = ids.select(F.percentile_approx("k", [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0] or []
+    cuts = sorted(set(found))
+    # two short scans instead of one over all cuts: whole strides below the id, then one stride
+    stride = max(1, int(len(cuts) ** 0.5))
+    strides = F.size(F.filter(_longs(cuts[stride - 1::stride]), lambda b: b < F.col("k")))
+    part = strides * stride + F.size(F.filter(F.slice(_longs(cuts), strides * stride + 1, stride),
+                                              lambda b: b < F.col("k")))
     heads = {r["part"]: r["head"] for r in
              ids.withColumn("part", part).groupBy("part").agg(F.max("k").alias("head")).collect()}
     order = sorted(heads)  # the last part has the highest ids and comes first
     before = {p: order[(i + 1) % len(order)] for i, p in enumerate(order)}
-    head_of, part_before = F.lit(None).cast("long"), F.lit(None).cast("int")
-    if order:
-        head_of = F.element_at(F.create_map(*[F.lit(x) for p in order for x in (p, heads[p])]), F.col("part"))
-        part_before = F.element_at(F.create_map(*[F.lit(x) for p in order for x in (p, before[p])]), F.col("part"))
+    numbers = range(len(cuts) + 1)
+    head_of = F.element_at(_longs([heads.get(p, lowest) for p in numbers]), F.col("part") + 1)
+    part_before = F.element_at(_longs([before.get(p, 0) for p in numbers]), F.col("part") + 1).cast("int")
     own = F.struct(F.col("part").alias("part"), F.lit(False).alias("tail"))
     copy = F.struct(part_before.alias("part"), F.lit(True).alias("tail"))
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), key.alias("k")) \
