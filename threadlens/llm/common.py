@@ -73,6 +73,13 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in keys])
 
 
+def broadcast_fields(spark: SparkSession, model: object):
+    """Broadcast a model's fields as a plain tuple.  A broadcast is pickled by
+    reference to its classes, which workers may not have; the tuple holds only
+    built-in and numpy values, and a task makes the model again from it."""
+    return spark.sparkContext.broadcast(tuple(vars(model).values()))
+
+
 def text_score(setup: Callable[[], Callable[[pd.Series], np.ndarray]]) -> Callable[..., Column]:
     """A column function text -> double.  ``setup`` runs once in each task and
     gives a function over a batch of texts; batches are bounded by Spark's

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlens.llm.common import broadcast_fields
 from threadlens.llm.sampling import held_out, labelled_sample
 
 BUCKETS = 1 << 15
@@ -108,12 +109,13 @@ def prediction_column(docs: DataFrame, model: LanguageModel) -> Column:
 
     Defined cases: ``und`` with score 0 for a null text, one without letters,
     or where nothing could be learnt; ties go to the first language by name."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast_fields(docs.sparkSession, model)
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = LanguageModel(*shared.value)
         for texts in batches:
-            langs, scores = predict(texts.tolist(), shared.value)
+            langs, scores = predict(texts.tolist(), model)
             yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype="object"), "score": scores})
     return run(F.col("text").cast("string"))
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import sigmoid, text_score
+from threadlens.llm.common import broadcast_fields, sigmoid, text_score
 from threadlens.llm.sampling import held_out, labelled_sample
 
 WORD_BUCKETS = 1 << 15
@@ -151,10 +151,10 @@ def score_column(docs: DataFrame, model: QualityModel) -> Column:
 
     Defined cases: a null text is scored as the empty one, which has no words
     and the statistics of nothing; repeated rows get equal scores."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast_fields(docs.sparkSession, model)
 
     def setup():
-        m, buckets = shared.value, Buckets()
+        m, buckets = QualityModel(*shared.value), Buckets()
 
         def parts(texts) -> Iterator[np.ndarray]:
             held, weight = [], 0

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import sigmoid, text_score
+from threadlens.llm.common import broadcast_fields, sigmoid, text_score
 from threadlens.llm.sampling import held_out, labelled_sample
 
 WINDOW_WORDS = 8
@@ -189,10 +189,10 @@ def score_column(docs: DataFrame, model: ToxicityModel) -> Column:
 
     Defined cases: a null, empty or blank text has no windows and gets the
     score of a text without savings; repeated rows get equal scores."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast_fields(docs.sparkSession, model)
 
     def setup():
-        m = shared.value
+        m = ToxicityModel(*shared.value)
         measure = Distance(m.ordinary, m.toxic)
 
         def score(texts):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import sigmoid, stash, text_score
+from threadlens.llm.common import broadcast_fields, sigmoid, stash, text_score
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
@@ -130,11 +130,11 @@ def learnt(judged: DataFrame, segmenter: Segmenter) -> np.ndarray:
     """Log odds of 'block' per token bucket, and the prior's in the last place,
     counted over all pages that a rule decides.  Counts are summed by Spark
     per (verdict, bucket): at most two rows for each bucket."""
-    shared = judged.sparkSession.sparkContext.broadcast(segmenter)
+    shared = broadcast_fields(judged.sparkSession, segmenter)
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        segment = _cached(shared.value)
+        segment = _cached(Segmenter(*shared.value))
         for hosts, paths in batches:
             yield pd.Series([[bucket(t) for t in tokens(h, p, segment)] for h, p in zip(hosts, paths)])
 
@@ -169,11 +169,11 @@ def judged_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
     parts = stash(parts, "urls")
     segmenter = unigrams(pages)
     odds = learnt(parts, segmenter)
-    shared = spark.sparkContext.broadcast((segmenter, odds))
+    words, weights = broadcast_fields(spark, segmenter), spark.sparkContext.broadcast(odds)
 
     def setup():
-        segmenter, odds = shared.value
-        segment = _cached(segmenter)
+        odds = weights.value
+        segment = _cached(Segmenter(*words.value))
 
         def score(urls):
             z = [odds[-1] + sum(odds[bucket(t)] for t in tokens(*u.split("\n", 1), segment)) for u in urls]
