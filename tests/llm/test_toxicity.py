@@ -72,3 +72,19 @@ def test_odd_rows(spark):
     none = labels.filter("false")
     assert len(toxicity.toxicity(docs, none).collect()) == len(odd_rows())
     assert toxicity.without_toxic(docs, none).columns == docs.columns
+
+
+def test_marks_of_a_small_language_are_learnt_beside_a_large_one():
+    rng = random.Random(4)
+    many = [f"{a}{b}word" for a in ("vile", "grub", "dolt", "snot", "muck", "yack") for b in "qxzjkvwpghf"]
+    small = [f"sé{c}ô" for c in "bcdfghlmnpr"]
+    toxic = [prose(rng, 60) + " " + " ".join(rng.sample(many, 20)) for _ in range(500)]
+    french = [" ".join(rng.choice(small) for _ in range(60)) for _ in range(100)]
+    marked = [t + " " + " ".join("réê" + rng.choice(small) for _ in range(6)) for t in french[:14]]
+    cjk = ["漢字 書物 文章 " + " ".join(rng.sample("山川田木林森花鳥風月", 5)) for _ in range(100)]
+    insults = [t + " 文笨蛋章" for t in cjk[:14]]
+    ordinary = [prose(rng, 60) for _ in range(1500)] + french[14:] + cjk[14:]
+    phrases = toxicity.toxic_phrases(toxic + marked + insults, ordinary)
+    assert sum("réê".encode() in p for p in phrases) == 14
+    assert sum("笨蛋".encode() in p for p in phrases) == 14
+    assert not any(w in p for p in phrases for w in (b"w399", "字".encode(), "séb".encode()))

@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one on the
-phrases that toxic text adds to it.  A text is cut into windows of a few words;
+Two zstandard dictionaries are trained, one on ordinary text and one on what
+toxic text adds to it: the parts of its words that mark it, in any script.  A text is cut into windows of a few words;
 each window is compressed with the ordinary dictionary and with both together,
 and the bytes that the toxic one saves are its distance.  Ordinary windows save
 nothing, as the ordinary dictionary is in both.  A logistic curve over the
@@ -11,8 +11,9 @@ sample, each measured with the dictionaries of the other.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+import math
+import re
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,15 +28,14 @@ from threadlens.llm.sampling import held_out, labelled_sample
 WINDOW_WORDS = 8
 LEVEL = 12
 ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 2_048
+TOXIC_BYTES = 8_192
 SEGMENT = 16
 SAMPLE = {1: 2_000, 0: 4_000}
-PHRASE_WORDS = 24
-GRAM = 5
-#: A mark of toxic text is at least this many times as frequent there, and one
-#: of the ``MARKS`` that tell most.
+#: A mark of toxic text has 2 to 8 code points (in scripts without blanks two
+#: are a word), this much evidence and this many times the share of the words.
+GRAMS = (2, 8)
+EVIDENCE = 20.0
 TIMES = 4
-MARKS = 200
 #: The weight of the toxic class when the curve is fitted.
 BALANCE = 0.4
 RIDGE = 0.3
@@ -99,39 +99,99 @@ def _distinct(texts: list[str]) -> list[str]:
     return out
 
 
-def _words(text: str) -> list[bytes]:
-    return [b" " + w + b" " for w in text.encode("utf-8", "surrogatepass").lower().split()]
+def _words(text: str) -> set[str]:
+    """The distinct words of a text, each between blanks."""
+    return {f" {w} " for w in text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").split()}
 
 
-def _grams(word: bytes) -> Iterator[bytes]:
-    return (word[i:i + GRAM] for i in range(len(word) - GRAM + 1))
+def evidence(n: int, of: int, other: int, others: int) -> float:
+    """Log-likelihood ratio (chi-squared, one degree) of ``n`` among ``of``
+    against ``other`` among ``others``."""
+    def fit(k, size, p):
+        return (k * math.log(p) if k else 0.0) + ((size - k) * math.log1p(-p) if size > k else 0.0)
+    p = (n + other) / (of + others)
+    return 2 * (fit(n, of, n / of) + fit(other, others, other / others) - fit(n, of, p) - fit(other, others, p))
 
 
-def toxic_phrases(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Training text of the toxic dictionary: from each toxic text the words
-    holding byte n-grams that toxic texts have far more often."""
-    def held(texts, among=None):
-        n = Counter()
-        for t in texts:
-            found = {g for w in set(_words(t)) for g in _grams(w)}
-            n.update(found if among is None else found & among)
-        return n
-    often = {g: n for g, n in held(toxic).items() if n >= max(3, len(toxic) // 50)}
-    usual = held(ordinary, set(often))
-    tells = {}
-    for g, n in often.items():
-        here, there = n / len(toxic), (usual[g] + 0.5) / max(1, len(ordinary))
-        if here >= TIMES * there:
-            tells[g] = n * np.log(here / there)
-    marks = set(sorted(tells, key=lambda g: (-tells[g], g))[:MARKS])
-    out = []
-    for t in toxic:
-        words = [w for w in _words(t) if any(g in marks for g in _grams(w))][:PHRASE_WORDS]
-        if words:
-            out.append(b"".join(words))
+def _grams(word: str, length: int, among=None) -> set[str]:
+    found = {word[i:i + length] for i in range(len(word) - length + 1)}
+    return found if among is None else {g for g in found if g in among}
+
+
+def _held(words: dict[str, int], length: int, among=None, shorter=None) -> Counter:
+    """How many of the counted ``words`` hold each gram of ``length`` code
+    points: of those in ``among``, or of those whose two parts are ``shorter``."""
+    out = Counter()
+    for w, n in words.items():
+        for g in _grams(w, length, among):
+            if shorter is None or (g[1:] in shorter and g[:-1] in shorter):
+                out[g] += n
     return out
 
 
+def toxic_marks(toxic: list[str], ordinary: list[str]) -> set[str]:
+    """The grams of ``GRAMS`` code points, blanks at a word's ends included,
+    that tell toxic texts: by their shares of the texts' distinct words they
+    have ``EVIDENCE`` and stand ``TIMES`` as often in toxic ones, and they are
+    in as many toxic texts as can give that evidence by themselves.
+
+    Marks are taken by evidence, the longer first, and each is judged by the
+    words that no earlier one marks: part of a mark is not one by itself.  Their
+    number is not bounded."""
+    texts, there = defaultdict(list), Counter()
+    for i, t in enumerate(toxic):
+        for w in _words(t):
+            texts[w].append(i)
+    for t in ordinary:
+        there.update(_words(t))
+    here = {w: len(found) for w, found in texts.items()}
+    of, others, whole = sum(here.values()), max(1, there.total()), max(1, len(ordinary))
+    least = next((n for n in range(3, len(toxic)) if evidence(n, len(toxic), 0, whole) >= EVIDENCE),
+                 max(1, len(toxic)))
+
+    def told(n, other):
+        enough = n >= least and n * others >= TIMES * (other + 0.5) * of
+        return evidence(n, of, other, others) if enough else 0.0
+    tells, shorter = {}, None
+    for length in range(GRAMS[0], GRAMS[1] + 1):
+        # a gram is in no more words than its parts
+        shorter = {g: n for g, n in _held(here, length, shorter=shorter).items() if n >= least}
+        usual = _held(there, length, among=shorter)
+        tells.update((g, e) for g, n in shorter.items() if (e := told(n, usual[g])) >= EVIDENCE)
+    holders = defaultdict(list)
+    for w in here.keys() | there.keys():
+        for length in range(GRAMS[0], GRAMS[1] + 1):
+            for g in _grams(w, length, tells):
+                holders[g].append(w)
+    marks, marked = set(), set()
+    for g in sorted(tells, key=lambda g: (-tells[g], -len(g), g)):
+        rest = [w for w in holders[g] if w not in marked]
+        if told(sum(here.get(w, 0) for w in rest), sum(there[w] for w in rest)) >= EVIDENCE \
+                and len({i for w in rest for i in texts.get(w, ())}) >= least:
+            marks.add(g)
+            marked.update(rest)
+    return marks
+
+
+def _marked(word: str, marks: set[str]) -> list[str]:
+    """The longest runs of ``word`` that marks cover."""
+    covered = bytearray(len(word))
+    for length in range(GRAMS[0], GRAMS[1] + 1):
+        for i in range(len(word) - length + 1):
+            if word[i:i + length] in marks:
+                covered[i:i + length] = b"\1" * length
+    return [word[m.start():m.end()] for m in re.finditer(b"\1+", covered)]
+
+
+def toxic_phrases(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """Training text of the toxic dictionary: of each toxic text, what
+    ``toxic_marks`` cover of its words."""
+    marks = toxic_marks(toxic, ordinary) if toxic else set()
+    found = {w: _marked(w, marks) for w in set().union(*map(_words, toxic))} if marks else {}
+    out = ["".join(r for w in sorted(_words(t)) for r in found.get(w, ())) for t in toxic]
+    return [p.encode("utf-8", "surrogatepass") for p in out if p]
+
+
 def trained(size: int, samples: list[bytes], **options) -> bytes:
     """A zstandard dictionary, or the samples themselves where they are too
     few to train one."""
