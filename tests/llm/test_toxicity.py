@@ -88,3 +88,15 @@ def test_marks_of_a_small_language_are_learnt_beside_a_large_one():
     assert sum("réê".encode() in p for p in phrases) == 14
     assert sum("笨蛋".encode() in p for p in phrases) == 14
     assert not any(w in p for p in phrases for w in (b"w399", "字".encode(), "séb".encode()))
+
+
+def test_ordinary_windows_come_from_all_texts_when_bounded():
+    texts = [" ".join(f"t{i}n{j}" for j in range(8 * n)) for i, n in enumerate([50, 3, 400, 1, 0, 90])]
+    every = [w for t in texts for w in toxicity.windows(t)]
+    assert toxicity.spread_windows(texts) == every and toxicity.spread_windows(texts, len(every)) == every
+    some = toxicity.spread_windows(texts, 100)
+    assert len(some) == 100 == len(set(some)) and some == toxicity.spread_windows(texts, 100)
+    assert set(some) <= set(every) and some != every[:100]
+    per = [sum(w.startswith(b"t%dn" % i) for w in some) for i in range(6)]
+    assert per == [32, 3, 32, 1, 0, 32]
+    assert len(toxicity.spread_windows(texts, 2)) == 2

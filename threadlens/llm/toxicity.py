@@ -12,6 +12,7 @@ sample, each measured with the dictionaries of the other.
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
@@ -29,6 +30,8 @@ WINDOW_WORDS = 8
 LEVEL = 12
 ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 8_192
+#: Windows that the ordinary dictionary is trained on, from all sampled texts.
+ORDINARY_WINDOWS = 60_000
 SEGMENT = 16
 SAMPLE = {1: 2_000, 0: 4_000}
 #: A mark of toxic text has 2 to 8 code points (in scripts without blanks two
@@ -222,8 +225,28 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return centre, scale, w
 
 
+def spread_windows(texts: list[str], most: int = ORDINARY_WINDOWS, seed: str = "windows") -> list[bytes]:
+    """All windows of ``texts``, or ``most`` of them: then each text gives at
+    most an equal share, drawn at random over its whole length."""
+    sizes = [len(windows(t)) for t in texts]
+    share, left, over = 0, most, sorted(sizes)
+    for i, n in enumerate(over):
+        share = left // (len(over) - i)
+        if n > share:
+            break
+        share, left = n, left - n
+    rng, out = random.Random(seed), []
+    extra = most - sum(min(n, share) for n in sizes)
+    for n, t in zip(sizes, texts):
+        take = min(n, share + (n > share and extra > 0))
+        extra -= take > share
+        all_of_it = windows(t)
+        out += [all_of_it[i] for i in sorted(rng.sample(range(n), take))]
+    return out
+
+
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    common = trained(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)][:60_000])
+    common = trained(ORDINARY_BYTES, spread_windows(ordinary))
     return common, trained(TOXIC_BYTES, toxic_phrases(toxic, ordinary) * 4, k=SEGMENT, d=6) if toxic else b""
 
 
