@@ -28,6 +28,18 @@ def test_short_and_repeated_paragraphs_have_their_own_digests():
     assert len(set(fp.digests(text).tolist())) == 15_000
 
 
+def test_half_an_unchanged_text_keeps_digests_without_any_paragraph():
+    rng = random.Random(8)
+    after = "Another text. With a line\nand more. " * 900
+    for text in ("word " * 400, "alpha, beta; " * 300, "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(3000)),
+                 "漢字。" * 200, "\r".join(f"line {rng.random()}" for _ in range(90)), "x" * 128):
+        assert "".join(fp.pieces(text)) == text and max(map(len, fp.pieces(text))) <= fp.LONGEST
+        sets = [set(fp.digests(t).tolist()) for t in (text, fp.edited(text, after))]
+        assert len(sets[0] & sets[1]) >= len(sets[0]) // 2 - 1 > -1 and sets[0] & sets[1]
+        later = set(fp.digests("put before " + text).tolist())
+        assert len(set(text)) < 40 or len(sets[0] & later) > 0.6 * len(sets[0])
+
+
 def test_a_pair_that_cannot_be_peeled_ends():
     twice = np.array([7, 7, 9], np.uint64)
     d, rounds = fp.differences([twice], [np.array([1], np.uint64)])

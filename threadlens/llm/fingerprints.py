@@ -1,7 +1,8 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text's paragraphs (lines; long lines fall into their sentences) are hashed to
-64-bit digests, a repeated one with its occurrence number, and every digest is
+A text's paragraphs (lines and their sentences, and the pieces of at most
+``LONGEST`` characters that a longer one is cut into at places that its content
+gives, in any script) are hashed to 64-bit digests, a repeated one with its occurrence number, and every digest is
 added to one cell of each of three tables.  Subtracting the cells of two
 versions cancels what they share; peeling cells that hold a single digest
 recovers those that differ.  If peeling gets stuck, both versions are sketched
@@ -14,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,6 +33,10 @@ BATCH_CELLS = 200_000
 BATCH_CHARS = 2_000_000
 #: Rows of one range of ids, where the session's shuffle partitions are fewer.
 PART_ROWS = 50_000
+#: Characters of a piece: a place where the last ``WINDOW`` of them hash to 0
+#: modulo ``EVERY`` ends one that is long enough, and the longest ends anywhere.
+SHORTEST, LONGEST = 32, 64
+WINDOW, EVERY = 8, 16
 _CUT = re.compile(r"\n|(?<=[.!?])\s+")
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -41,15 +47,44 @@ def _mix(x: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _ends(text: str) -> list[int]:
+    """The offsets behind which the content of a text lets a piece end."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if len(codes) < WINDOW:
+        return []
+    h = np.zeros(len(codes) - WINDOW + 1, np.uint64)
+    for i in range(WINDOW):
+        h = h * _K[0] + codes[i:i + len(h)]
+    return (np.flatnonzero(_mix(h, 1) % np.uint64(EVERY) == 0) + WINDOW).tolist()
+
+
+def pieces(text: str) -> Iterator[str]:
+    """The paragraphs of a whole text, long ones in pieces.  Where a piece ends
+    depends on the text before it alone, so a change leaves those before it."""
+    ends, spans, start = _ends(text), [], 0
+    for m in _CUT.finditer(text):
+        spans.append((start, m.start()))
+        start = m.end()
+    for start, stop in [*spans, (start, len(text))]:
+        while stop - start > SHORTEST:
+            at = bisect_left(ends, start + SHORTEST)
+            end = min(start + LONGEST, ends[at] if at < len(ends) else stop)
+            if end >= stop:
+                break
+            yield text[start:end]
+            start = end
+        if start < stop:
+            yield text[start:stop]
+
+
 def digests(text: str) -> np.ndarray:
     """The digests of all paragraphs of a whole text."""
     seen: dict[str, int] = {}
     out = []
-    for p in _CUT.split(text):
-        if p:
-            n = seen[p] = seen.get(p, -1) + 1
-            raw = p.encode("utf-8", "surrogatepass")
-            out.append(xxhash.xxh3_64_intdigest(b"%b\0%d" % (raw, n) if n else raw))
+    for p in pieces(text):
+        n = seen[p] = seen.get(p, -1) + 1
+        raw = p.encode("utf-8", "surrogatepass")
+        out.append(xxhash.xxh3_64_intdigest(b"%b\0%d" % (raw, n) if n else raw))
     return np.array(out, np.uint64)
 
 
