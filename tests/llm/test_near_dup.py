@@ -77,3 +77,10 @@ def test_one_per_group_keeps_columns_and_one_of_each(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 6, 7, 8]
     assert ids.count(None) == 2
+
+
+def test_the_estimate_keeps_pairs_with_27_of_64_common_values(spark):
+    rows = [(1, list(range(64)))] + [(x, list(range(x)) + list(range(1000 * x, 1000 * x + 64 - x))) for x in (26, 27, 32, 33)]
+    reps = spark.createDataFrame(rows, "rep long, sketch array<long>")
+    pairs = spark.createDataFrame([(1, x) for x in (26, 27, 32, 33)], "a long, b long")
+    assert sorted(r.b for r in near_dup.estimated(pairs, reps, 64, 75).collect()) == [27, 32, 33]

@@ -6,15 +6,16 @@
    copies cost one row.
 2. Inverted lists of retained values generate candidates.  Two sets with
    Jaccard >= 0.75 share at least ``need`` retained values (exactly so while
-   every partner's sketch is its whole set, else with odds of about 1e-9 of a
+   every partner's sketch is its whole set, else with odds of about 6e-9 of a
    miss), so they share one of the ``size - need + 1`` rarest values of either
    sketch: only those are listed, and a passage that many documents share
    stays out of the lists.
 3. A list of at most ``list_limit`` members gives all its pairs.  A longer one
    gives the pairs of each member with the list's centre (linear in its
    length); its members then go through step 5, so nothing is cut off.
-4. The union-sketch estimate drops pairs far below the threshold, and the
-   exact Jaccard of the full sets confirms the rest.
+4. The union-sketch estimate drops pairs far below the threshold (one at
+   exactly 0.75 with odds of about 6e-9), and the exact Jaccard of the full
+   sets confirms the rest.
 5. Members of long lists that are still in different components are joined
    again on inverted lists of their *full* sets (the sketch with k = all),
    under the exact prefix bound, and confirmed in the same way.
@@ -39,7 +40,7 @@ SKETCH = 64
 LIST_LIMIT = 64
 #: Standard deviations allowed for the sketch's sampling error.
 MARGIN_OVERLAP = 6.0
-MARGIN_ESTIMATE = 4.5
+MARGIN_ESTIMATE = 6.0
 
 
 def required_overlap(size: Column, k: int, percent: int) -> Column:
@@ -143,7 +144,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFr
         "a", "b", F.size("u").alias("n"),
         F.size(F.array_intersect(F.array_intersect("sa", "sb"), "u")).alias("x"))
     slack = F.lit(MARGIN_ESTIMATE * math.sqrt(j * (1 - j))) * F.sqrt("n")
-    return scored.filter(F.col("x") >= F.col("n") * j - slack).select("a", "b")
+    return scored.filter(F.col("x") >= F.floor(F.col("n") * j - slack)).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
