@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from threadlens.llm import (
+    byte_bpe,
     fingerprints,
     language,
     mixing,
@@ -14,6 +15,7 @@ from threadlens.llm import (
     quality,
     search,
     sharding,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -71,9 +73,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers aligned on every document, with corpus-wide pair counts."""
+    return token_alignment.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded by a byte-level BPE vocabulary."""
+    return byte_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_packing, op3_near_dup, op4_sharding, op5_fingerprints, op6_language, op7_search, op8_toxicity,
-    op9_url_filter, op10_quality)}
+    op9_url_filter, op10_quality, op12_alignment, op13_byte_bpe)}
 
 #: Learnt models, sketches, packing and ranked search have no SQL form; they
 #: are tested against brute force, round trips and held-out rows.
