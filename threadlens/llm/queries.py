@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threadlens.llm import (
     byte_bpe,
+    conversation_trie,
     fingerprints,
     language,
     mixing,
@@ -73,6 +74,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tokenizers aligned on every document, with corpus-wide pair counts."""
     return token_alignment.digests(table(spark, sf_dir, "documents"))
@@ -85,8 +91,9 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_packing, op3_near_dup, op4_sharding, op5_fingerprints, op6_language, op7_search, op8_toxicity,
-    op9_url_filter, op10_quality, op12_alignment, op13_byte_bpe)}
+    op9_url_filter, op10_quality, op11_trie, op12_alignment, op13_byte_bpe)}
 
 #: Learnt models, sketches, packing and ranked search have no SQL form; they
 #: are tested against brute force, round trips and held-out rows.
-ORACLE = {"op1_mixing": mixing.ORACLE, "op3_near_dup": near_dup.ORACLE, "op4_sharding": sharding.ORACLE}
+ORACLE = {"op1_mixing": mixing.ORACLE, "op3_near_dup": near_dup.ORACLE, "op4_sharding": sharding.ORACLE,
+          "op11_trie": conversation_trie.ORACLE}
