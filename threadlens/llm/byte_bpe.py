@@ -19,12 +19,15 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlens.llm.common import sliced_batches
 from threadlens.llm.units import UNITS_KEPT, sliced_units
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+BATCH_BYTES = 8 << 20
 
 #: Wire types of a protocol buffer and the field numbers of sentencepiece's
 #: model file (fixed values).
@@ -184,8 +187,35 @@ def decoded(tokens: DataFrame, path: str | None = None, pattern: str | None = No
     return whole.withColumn(to, _column(tokens, path, pattern, lambda coder: coder.decode, to))
 
 
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """(doc_id, ids, decoded) of every document: ``encoded`` and ``decoded`` in
+    one task, whose results go on in batches of about ``BATCH_BYTES``."""
+    shared = docs.sparkSession.sparkContext.broadcast((model_file(read_ranks(path or default_path())),
+                                                       pattern or default_pattern()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(*shared.value)
+
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                pa.int64(), pa.binary(), pa.binary()))], names=["doc_id", "ids", "decoded"])
+        for batch in sliced_batches(batches):
+            out, held = [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = coder.encode(text or "")
+                out.append((doc_id, ids, coder.decode(ids)))
+                held += len(ids)
+                if held >= BATCH_BYTES:
+                    yield batch_of(out)
+                    out, held = [], 0
+            if out:
+                yield batch_of(out)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, ids binary, decoded binary")
+
+
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    rows = decoded(encoded(docs.select("doc_id", "text"), path, pattern), path, pattern)
+    rows = round_trip(docs, path, pattern)
     return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

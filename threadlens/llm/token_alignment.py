@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.llm.byte_bpe import default_path, default_pattern
-from threadlens.llm.common import stash
+from threadlens.llm.common import sliced_batches, stash
 from threadlens.llm.perfect_hash import BUCKETS, PerfectHash, bucket_of, build
 from threadlens.llm.token_links import AT_ONCE, Links
 from threadlens.llm.units import SLICE
@@ -66,9 +66,11 @@ class PairCounts:
         self.links, self.times = links, np.zeros(0, np.int64)
 
     def room(self, units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if len(self.links.index) + len(units) > self.links.kept and self.links.index:
+        new = self.links.unknown(units)
+        if self.links.full(new):
             yield from self.flush()
-        self.links.learn(units)
+            new = self.links.unknown(units)
+        self.links.learn(new)
         self.times = np.concatenate([self.times, np.zeros(len(self.links.index) - len(self.times), np.int64)])
 
     def flush(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -116,7 +118,7 @@ def _pair_rows(docs: DataFrame, shared) -> DataFrame:
                 pa.array([counts[p].tobytes() for p in parts], pa.binary())], names=["task", "bucket", "keys", "counts"])
 
         count = PairCounts(Links(*shared.value, groups=False))
-        for batch in batches:
+        for batch in sliced_batches(batches):
             for found in count.add(batch.column(0).to_pylist()):
                 yield rows(*found)
         for found in count.flush():
@@ -245,10 +247,12 @@ class Measures:
 
     def room(self, units: list[str]) -> None:
         links = self.links
-        if len(links.index) + len(units) > links.kept and links.index:
+        new = links.unknown(units)
+        if links.full(new):
             links.forget()
             self.own = self.own[:, :0]
-        start, keys = len(links.index), links.learn(units)
+            new = links.unknown(units)
+        start, keys = len(links.index), links.learn(new)
         sizes, counts = links.sizes[:, start:], self.lookup(keys)
         best = (counts > 0) & (counts == self.best[(keys % np.uint64(links.width)).astype(np.int64)])
         found = totals(np.stack([best.astype(np.int64), counts]), sizes[3])
@@ -294,7 +298,7 @@ def _measured(rows: DataFrame, shared, block, best, last: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measures = Measures(Links(*shared.value, groups=last), Lookup(block.value), best.value)
-        for batch in batches:
+        for batch in sliced_batches(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             before = list(zip(*(batch.column(c).to_pylist() for c in (2, 3)))) if later else None
             out, held, seen = [], 0, set()

@@ -19,7 +19,7 @@ from threadlens.llm.units import UNITS_KEPT, sliced_units
 BLANK = "▁"
 
 #: Units that are encoded and aligned together.
-AT_ONCE = 60_000
+AT_ONCE = 150_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -102,9 +102,15 @@ class Links:
         each = [self.blank if u == " " else ids for u, ids in zip(new, each)]
         return list(chain.from_iterable(each)), np.array(list(map(len, each)), np.int64)
 
-    def learn(self, units: Iterable[str]) -> np.ndarray:
-        """Align the units not yet known; the new links' keys."""
-        new, before = [u for u in dict.fromkeys(units) if u not in self.index], len(self.keys)
+    def unknown(self, units: Iterable[str]) -> list[str]:
+        return [u for u in dict.fromkeys(units) if u not in self.index]
+
+    def full(self, new: list[str]) -> bool:
+        return bool(self.index) and len(self.index) + len(new) > self.kept
+
+    def learn(self, new: list[str]) -> np.ndarray:
+        """Align units not yet known; the new links' keys."""
+        before = len(self.keys)
         for at in range(0, len(new), AT_ONCE):
             self._learn(new[at:at + AT_ONCE])
         return self.keys[before:]
