@@ -191,15 +191,19 @@ def maintain_live_job(spark: SparkSession, out: str, as_of: int, delay: int = 12
                       trend_ttl: int = live.TREND_TTL_SECONDS, feed_ttl: int = live.FEED_TTL_SECONDS) -> dict:
     """Upkeep of the live tables at time ``as_of``: put back what the trend
     streams dropped as late, compact closed days, drop days past their time to
-    live.  Safe to run again, and beside the streams: it never touches a raw
-    batch of a day that is still open."""
+    live.  Safe to run again, on an idle feed, and beside the streams: it never
+    touches a raw batch of a day that is still open.  Repair looks at days that
+    have not expired only, so its cost follows the time to live, not the
+    archive."""
     from threadlens.streaming import live_stream as ls
     done: dict = {}
     today = day_label(as_of)
     archive = spark.read.schema(ARCHIVE_SCHEMA).json(f"{out}/archive")
+    since = (as_of - trend_ttl) // 86400 * 86400  # the first day that has not expired
     for key, name in (("subreddit", "top_subreddits"), ("author", "top_authors")):
         raw, compact = f"{out}/{name}", f"{out}/{name}_compacted"
-        done[f"repaired {name}"] = ls.repair_slots(spark, archive, raw, compact, key, as_of - delay, slot_seconds)
+        done[f"repaired {name}"] = ls.repair_slots(spark, archive, raw, compact, key, as_of - delay, slot_seconds,
+                                                 since=since)
         days = sorted({d for (d,) in partitions_of(spark, raw, "day") if d < today})
         compact_days(spark, raw, compact, days, ["minuteslot", "rank"])
         done[f"expired {name}"] = expire_days(spark, [raw, compact], day_label(as_of - trend_ttl))

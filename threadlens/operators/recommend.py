@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.ids import ID_MODULUS, stable_hash
 from threadlens.operators.common import top_per_group
 from threadlens.operators.graph import leaders
+from threadlens.session import scratch_path
 from threadlens.sources.fixtures import DELETED_AUTHOR
 
 # Fixed values of the reference recommender: list length and ALS settings.
@@ -93,6 +94,41 @@ def als_ratings(counts: DataFrame, modulus: int = ID_MODULUS) -> DataFrame:
                          F.col("count").cast("float").alias("rating"))
 
 
+def dense_ids(names: DataFrame, name: str, stored: DataFrame | None = None) -> DataFrame:
+    """(name, id): distinct names numbered 0 to n - 1 without gaps or collisions.
+
+    The names are range-partitioned and sorted; a row's number is its place in
+    its partition plus the rows of the partitions before, so only a count per
+    partition meets in one place and no name is collected.  Names in ``stored``
+    (an earlier result) keep their ids, and new ones follow in name order, so a
+    trained model stays valid.  A null name has no id."""
+    spark = names.sparkSession
+    fresh = names.select(F.col(name).cast("string").alias(name)).filter(F.col(name).isNotNull()).distinct()
+    start = 0
+    if stored is not None:
+        start = (stored.agg(F.max("id")).first()[0] or 0) + 1 if not stored.isEmpty() else 0
+        fresh = fresh.join(stored.select(name), name, "left_anti")
+    path = scratch_path(spark, "dense-ids")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fresh.repartitionByRange(n, name).sortWithinPartitions(name) \
+        .withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("__part", F.shiftright("__at", 33))
+    parts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row per partition
+    parts = parts.select("__part", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    ids = placed.join(F.broadcast(parts), "__part").select(
+        name, (F.lit(start) + F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"))
+    return ids if stored is None else stored.select(name, "id").unionByName(ids)
+
+
+def dense_ratings(counts: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(user, item, rating) over dense ids: no two names share a row of factors."""
+    return counts.join(users.withColumnRenamed("id", "__u"), "author") \
+        .join(items.withColumnRenamed("id", "__i"), "subreddit") \
+        .select(F.col("__u").cast("int").alias("user"), F.col("__i").cast("int").alias("item"),
+                F.col("count").cast("float").alias("rating"))
+
+
 #: User and item blocks of the training.  The initial factors are drawn per
 #: block, so this number is part of the model: it is a job parameter and never
 #: follows the cluster's size.

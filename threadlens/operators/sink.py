@@ -58,19 +58,40 @@ def drop_partition(spark: SparkSession, path: str, **values: int) -> None:
     fs.delete(p, True)
 
 
+#: Rows for which a new keyed table gets one more bucket, and its least number.
+BUCKET_ROWS, LEAST_BUCKETS = 500_000, 8
+
+
+def bucket_number(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets that a keyed table was made with, kept as the name
+    of a folder that readers pass over."""
+    fs, root = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return next((int(n.split("=")[1]) for n in names if n.startswith("_buckets=")), None)
+
+
 def upsert_table(rows: DataFrame, path: str, keys: Sequence[str], version: Sequence[Column],
-                 buckets: int = 64) -> None:
+                 buckets: int | None = None) -> None:
     """Merge ``rows`` into the keyed table stored at ``path``: the greatest
     ``version`` per key wins, whether new or stored.
 
-    The table is partitioned by a hash bucket of the first key; only buckets
-    that ``rows`` touches are read and replaced (``buckets`` is fixed when the
-    table is first written)."""
+    The table is partitioned by a hash bucket of its keys; only buckets that
+    ``rows`` touches are read and replaced.  Their number is settled by the
+    first write (``buckets``, else by its rows) and kept with the table, so a
+    later write with another number can't spread a key over two buckets.
+    Buckets are replaced folder by folder: after a crash half-way some hold the
+    new rows and some the old ones, and the same write again completes it.
+    """
     spark = rows.sparkSession
-    new = rows.withColumn("bucket", F.pmod(F.xxhash64(keys[0]), F.lit(buckets)).cast("int"))
+    stored_number = bucket_number(spark, path)
+    number = stored_number or buckets or max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
+    if stored_number is None:
+        fs, marker = _folder(spark, f"{path}/_buckets={number}")
+        fs.mkdirs(marker)
+    new = rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int"))
     if partitions_of(spark, path, "bucket"):
         stored = spark.read.parquet(path)
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``number``
         new = stored.filter(F.col("bucket").isin(touched)).unionByName(new)
     latest = upsert_latest(new, list(keys), version)
     overwrite_partitions(latest.repartition("bucket", *keys).sortWithinPartitions("bucket", *keys), path, ["bucket"])
@@ -86,17 +107,22 @@ def _newest(pairs: list[tuple[int, ...]]) -> dict[int, int]:
 
 
 def read_compacted(spark: SparkSession, raw_path: str, compact_path: str | None = None,
-                   days: Sequence[int] | None = None) -> DataFrame:
+                   days: Sequence[int] | None = None, schema: str | None = None) -> DataFrame:
     """A stream sink's rows, each once: for a compacted day its newest
     compacted copy plus the raw batches that came after it, for any other day
     all raw batches.  A late row of a compacted day is in a later batch, so
     nothing is hidden.  ``days`` prunes both sides; all filters are partition
-    filters, built from folder listings (one entry per day)."""
+    filters, built from folder listings (one entry per day).  A table whose
+    days have all gone has no file to read columns from: with ``schema`` (its
+    columns without day and batch) it reads as empty."""
     want = None if days is None else [int(d) for d in days]
     done = _newest(partitions_of(spark, compact_path, "day", "through")) if compact_path else {}
     if want is not None:
         done = {d: b for d, b in done.items() if d in want}
-    raw = spark.read.parquet(raw_path)
+    if schema and not partitions_of(spark, raw_path, "day"):
+        raw = spark.createDataFrame([], f"{schema}, batch int, day int")
+    else:
+        raw = spark.read.parquet(raw_path)
     if want is not None:
         raw = raw.filter(F.col("day").isin(want))
     if not done:

@@ -314,6 +314,44 @@ SELECT author, parent_id, score, name, subreddit, 'http://www.reddit.com/' || sp
        created_utc, body, "offset", arrived_at
 FROM recs""",
 
+    "q_keyed_history": _with(COMMENTS) + f"""
+SELECT author, created_utc, body, link_id, subreddit FROM comments WHERE author = '{AUTHOR}'""",
+
+    "q_distinct_rollup": _with(COMMENTS, """
+dated AS (SELECT *, make_timestamp(created_utc * 1000000) AS made FROM comments),
+periods AS (SELECT subreddit, author, link_id, unnest([year(made) || '-Q' || quarter(made), CAST(year(made) AS VARCHAR), 'all'])
+                   AS period FROM dated)""") + """
+SELECT period, subreddit, count(*) AS total_comments, count(DISTINCT author) AS distinct_authors,
+       count(DISTINCT link_id) AS distinct_submissions, count(*) / count(DISTINCT author) AS comments_per_distinct_author
+FROM periods GROUP BY period, subreddit""",
+
+    "q_author_sketches": _with(COMMENTS, HOURLY, """
+hours AS (SELECT arrived_at - arrived_at % 3600 AS s, author, count(*) AS count FROM live GROUP BY ALL)""") + f"""
+SELECT {_label('s')} AS minuteslot, author, count, row_number() OVER (PARTITION BY s ORDER BY count DESC, author) AS rank
+FROM hours QUALIFY rank <= 20""",
+
+    "q_dense_ids": _with(COMMENTS, """
+firsts AS (SELECT author, min("offset" % 2) AS later FROM comments GROUP BY author)""") + """
+SELECT author, row_number() OVER (ORDER BY later, author) - 1 AS id FROM firsts""",
+
+    "q_dense_ratings": _with(COMMENTS, COUNTS, """
+users AS (SELECT author, row_number() OVER (ORDER BY author) - 1 AS u FROM (SELECT DISTINCT author FROM counts)),
+items AS (SELECT subreddit, row_number() OVER (ORDER BY subreddit) - 1 AS i FROM (SELECT DISTINCT subreddit FROM counts))""") + """
+SELECT CAST(u AS INTEGER) AS "user", CAST(i AS INTEGER) AS item, CAST(count AS FLOAT) AS rating
+FROM counts JOIN users USING (author) JOIN items USING (subreddit)""",
+
+    "q_ticks": _with(COMMENTS, MINUTE, """
+listened AS (SELECT 'subreddit' AS kind, subreddit AS name, arrived_at - arrived_at % 60 AS s FROM live
+         UNION ALL SELECT 'author', author, arrived_at - arrived_at % 60 FROM live),
+counted AS (SELECT kind, name, s, count(*) AS count FROM listened GROUP BY ALL)""") + f"""
+SELECT kind, {_label('s')} AS minuteslot, name, count,
+       row_number() OVER (PARTITION BY kind, s ORDER BY count DESC, name) AS rank FROM counted QUALIFY rank <= 20""",
+
+    "q_feed_marks": _with(COMMENTS) + f"""
+SELECT 'feed' || CAST("offset" % 3 AS VARCHAR) AS feed, id, name, author, subreddit, parent_id, link_id, body, score,
+       created_utc, {b36('id')} AS code
+FROM comments""",
+
     "q_stream_dedup": _with(COMMENTS) + f"""
 SELECT id, name, author, subreddit, parent_id, link_id, body, score, created_utc, {b36('id')} AS code
 FROM comments""",
@@ -329,5 +367,6 @@ SELECT {_label('s')} AS minuteslot, subreddit, count FROM (
 WHERE s + 60 > (SELECT max(arrived_at) FROM recs) - 300""",
 }
 
+ORACLE["q_edges_bucketed"] = ORACLE["q_edges"]
 ORACLE["q_snapshot_sql"] = ORACLE["q_snapshot"]
 ORACLE["q_engagement_months"] = ORACLE["q_engagement"]

@@ -7,6 +7,7 @@ is also a keyword of the underlying operator.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.ids import base36_to_long
 from threadlens.functions.timefmt import day_label, utc_month, utc_year
-from threadlens.operators import graph, history, live, recommend, sink, snapshot
+from threadlens.operators import bucketed, graph, history, live, recommend, sink, sketches, snapshot
 from threadlens.session import scratch_path
 from threadlens.sources import fixtures, json_source, lists
-from threadlens.sources.schema import COMMENT_COLUMNS, FEED_PAGE_SCHEMA, RAW_COMMENT_SCHEMA
-from threadlens.streaming import live_stream
+from threadlens.sources.schema import COMMENT_COLUMNS, RAW_COMMENT_SCHEMA
+from threadlens.streaming import high_water, live_stream, ticks
 
 # Query parameters of the correctness run.
 AUTHOR = "u8"
@@ -192,7 +193,51 @@ def q_outdegree_sql(spark, sf):
     """Out-degree through the ``reply_edges`` view and ``spark.sql``."""
     from threadlens.plans import sql
     sql.register_views(spark, _comments(spark, sf))
-    return spark.sql(sql.degree_sql("outdegree"))
+    return spark.sql(sql.degrees_sql()).filter("kind = 'outdegree'").drop("kind")
+
+
+def q_edges_bucketed(spark, sf):
+    """The reply graph from stored tables that are bucketed alike."""
+    name = f"replies_{uuid.uuid4().hex[:8]}"
+    bucketed.store_reply_sides(_comments(spark, sf), name, scratch_path(spark, "reply-sides"), buckets=8)
+    return bucketed.stored_reply_edges(spark, name)
+
+
+def q_keyed_history(spark, sf):
+    """An author's posts from a table with bloom filters on author and id."""
+    path = scratch_path(spark, "keyed-comments")
+    bucketed.write_keyed(_comments(spark, sf), path, ["author", "id"])
+    return history.author_history(spark.read.parquet(path), AUTHOR)
+
+
+def q_distinct_rollup(spark, sf):
+    """Quarters, years and all time from stored monthly sketches."""
+    path = scratch_path(spark, "month-sketches")
+    sketches.monthly_sketches(_comments(spark, sf)).write.partitionBy("year", "month").parquet(path)
+    return sketches.all_periods(spark.read.parquet(path)) \
+        .select("period", "subreddit", "total_comments", "distinct_authors", "distinct_submissions",
+                "comments_per_distinct_author")
+
+
+def q_author_sketches(spark, sf):
+    """The top authors of every hour, from stored sketches of its minutes."""
+    path = scratch_path(spark, "minute-sketches")
+    sketches.slot_sketches(_records(spark, sf, HOUR_RATE), "author").write.parquet(path)
+    return sketches.estimated_top(sketches.combined(spark.read.parquet(path), HOUR), "author")
+
+
+def q_dense_ids(spark, sf):
+    """Dense user ids given twice: to the authors of even comments, then to the
+    others, who come after them."""
+    authors = _comments(spark, sf).withColumn("code", base36_to_long("id"))
+    known = recommend.dense_ids(authors.filter("code % 2 = 0"), "author")
+    return recommend.dense_ids(authors, "author", known)
+
+
+def q_dense_ratings(spark, sf):
+    """Ratings over dense ids of users and items."""
+    counts = recommend.interaction_counts(_comments(spark, sf))
+    return recommend.dense_ratings(counts, recommend.dense_ids(counts, "author"), recommend.dense_ids(counts, "subreddit"))
 
 
 def q_top_influential(spark, sf):
@@ -465,17 +510,45 @@ def q_archive(spark, sf):
     return spark.read.schema(schema).json(out).select(*cols)
 
 
+def q_ticks(spark, sf):
+    """Top lists of both listeners from one stateful stream whose slots are
+    closed by timers; the topic stops half-way and is taken up again from the
+    checkpoint."""
+    messages, src = _messages(spark, sf), scratch_path(spark, "tick-records")
+    half = F.col("offset") < F.lit(_records(spark, sf).count() // 2)
+    out, ckpt = scratch_path(spark, "ticks"), scratch_path(spark, "ticks-ckpt")
+    for part, mode in ((half, "errorifexists"), (~half, "append")):
+        live_stream.land_records(messages.filter(part), src, chunks=2, mode=mode)
+        ticks.drain(ticks.start_ticks(live_stream.file_source(spark, src), out, ckpt, state_partitions=4))
+    return ticks.tick_trends(spark.read.parquet(out))
+
+
+def _feed_pages(spark, sf, feeds: int = 3) -> DataFrame:
+    """Listing pages of several feeds: comment ``offset`` belongs to feed offset mod 3."""
+    rows = fixtures.load_comments(spark, sf, with_arrival=True)
+    pages = [live.pages_from_records(rows.filter(F.col("offset") % feeds == n)).withColumn("feed", F.lit(f"feed{n}"))
+             for n in range(feeds)]
+    return functools.reduce(DataFrame.unionByName, pages)
+
+
+def q_feed_marks(spark, sf):
+    """New comments of three polled feeds over four triggers, by one stored
+    high-water mark per feed."""
+    pages = scratch_path(spark, "feed-pages")
+    live_stream.land_pages(_feed_pages(spark, sf), pages)
+    out, marks, late, ckpt = (scratch_path(spark, n) for n in ("feed-new", "feed-marks", "feed-late", "feed-marks-ckpt"))
+    high_water.start_high_water(spark, pages, out, marks, late, ckpt).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 def q_stream_dedup(spark, sf):
-    """Overlapping polls de-duplicated over four triggers, plus whatever the
-    watermark may have dropped as late."""
+    """Overlapping polls de-duplicated over four triggers: the stream's rows alone."""
     pages = scratch_path(spark, "pages")
     live_stream.land_pages(live.pages_from_records(fixtures.load_comments(spark, sf, with_arrival=True)), pages)
     out = scratch_path(spark, "dedup")
     q = live_stream.start_dedup(spark, pages, out, scratch_path(spark, "dedup-ckpt"))
     q.awaitTermination()
-    seen = spark.read.parquet(out)
-    rows = live.flatten_pages(spark.read.schema(FEED_PAGE_SCHEMA).parquet(pages))
-    return seen.unionByName(live.unseen_comments(rows, seen).select(*seen.columns))
+    return spark.read.parquet(out)
 
 
 # ---- sinks -----------------------------------------------------------------------

@@ -36,9 +36,11 @@ def snapshot_sql(n: int = 100) -> str:
     WHERE rn <= {n}"""
 
 
-def degree_sql(kind: str = "indegree") -> str:
-    """Degrees of one kind, counted over the ``reply_edges`` view."""
-    author = DEGREE_SIDES[kind]
+def degrees_sql() -> str:
+    """Every author's replies received and made per subreddit, both kinds from
+    one pass over the ``reply_edges`` view."""
+    ends = ", ".join(f"'{kind}', {author}" for kind, author in DEGREE_SIDES.items())
     return f"""
-    WITH replies AS (SELECT {author} AS author, Subreddit AS subreddit FROM reply_edges)
-    SELECT author, subreddit, count(1) AS rank FROM replies GROUP BY author, subreddit"""
+    SELECT side.kind, e.Subreddit AS subreddit, side.author, count(*) AS rank
+    FROM reply_edges e, LATERAL (SELECT stack({len(DEGREE_SIDES)}, {ends}) AS (kind, author)) side
+    GROUP BY ALL"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from threadlens.functions.timefmt import day_number, epoch_seconds, minute_slot, slot_start
+from threadlens.functions.timefmt import day_label, day_number, epoch_seconds, minute_slot, slot_start
 from threadlens.operators import live
 from threadlens.operators.sink import compact_days, overwrite_partitions, partitions_of, read_compacted
 from threadlens.sources.schema import FEED_PAGE_SCHEMA
@@ -96,12 +96,13 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 
 def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str | None,
-           spark: SparkSession | None = None, state_partitions: int | None = None):
+           spark: SparkSession | None = None, state_partitions: int | None = None, rocksdb: bool = False):
     """Start a query.  For a stateful query, ``state_partitions`` fixes the
     number of state-store partitions: Spark records it in the checkpoint at
     the first start and keeps it on every restart, so a job sets it for the
     keys it expects.  The default is ``STATE_PARTITIONS``; the session setting is restored right after start
-    (the stream runs on its own clone of the session)."""
+    (the stream runs on its own clone of the session).  ``rocksdb`` names the
+    state store that timers and state TTL need."""
     w = df_writer.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -109,13 +110,17 @@ def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str
         w = w.trigger(processingTime=processing_time)
     if spark is None:
         return w.start()
-    n = state_partitions or STATE_PARTITIONS
-    old = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+    want = {SHUFFLE_PARTITIONS: str(state_partitions or STATE_PARTITIONS)}
+    if rocksdb:
+        want[STATE_PROVIDER] = ROCKSDB_PROVIDER
+    old = {k: spark.conf.get(k, None) for k in want}
+    for k, v in want.items():
+        spark.conf.set(k, v)
     try:
         return w.start()
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 # ---- feed: parse, dead letters, per-second feed table ---------------------
@@ -201,12 +206,29 @@ def start_slot_trends(records: DataFrame, key: str, sink_path: str, checkpoint:
                   checkpoint, available_now, processing_time, records.sparkSession, state_partitions)
 
 
-def slot_shortfall(archive: DataFrame, trends: DataFrame, key: str, until: int, slot_seconds: int = 60) -> DataFrame:
+def trend_schema(key: str) -> str:
+    """Columns of a stored trend table, without day and batch."""
+    return f"minuteslot long, slot_start long, {key} string, count int, rank long, slot_total long"
+
+
+def _since(archive: DataFrame, since: int | None) -> DataFrame:
+    """Archived records of slots that may start at ``since`` or later; the day
+    folders before it are not read."""
+    if since is None:
+        return archive
+    rows = archive.filter(F.col("arrived_at") >= since)
+    return rows.filter(F.col("day") >= day_label(since)) if "day" in archive.columns else rows
+
+
+def slot_shortfall(archive: DataFrame, trends: DataFrame, key: str, until: int, slot_seconds: int = 60,
+                   since: int | None = None) -> DataFrame:
     """(day, minuteslot, archived, counted, missing) of the slots that ended by
     ``until`` and whose stored total lacks archived comments: what the
-    watermark dropped as late.  ``archive`` has every record once."""
-    counts = live.slot_counts(archive, key, "arrived_at", slot_seconds, with_start=True) \
-        .filter(F.col("slot_start") + slot_seconds <= until)
+    watermark dropped as late.  ``archive`` has every record once.  Slots that
+    started before ``since`` (epoch seconds) are left alone: what has expired
+    is not missing."""
+    counts = live.slot_counts(_since(archive, since), key, "arrived_at", slot_seconds, with_start=True) \
+        .filter((F.col("slot_start") + slot_seconds <= until) & (F.col("slot_start") >= (since or 0)))
     true = counts.groupBy("slot_start", "minuteslot").agg(F.sum("count").alias("archived"))
     stored = trends.select("minuteslot", "slot_total").distinct().groupBy("minuteslot") \
         .agg(F.max("slot_total").alias("counted"))
@@ -217,21 +239,25 @@ def slot_shortfall(archive: DataFrame, trends: DataFrame, key: str, until: int,
 
 
 def repair_slots(spark: SparkSession, archive: DataFrame, trend_path: str, compact_path: str, key: str, until: int,
-                 slot_seconds: int = 60, k: int = live.TOP_K) -> list[int]:
+                 slot_seconds: int = 60, k: int = live.TOP_K, since: int | None = None) -> list[int]:
     """Rebuild the top lists of slots with a shortfall from the archive and
     store their days compacted; returns those days.  Days without a shortfall
-    are not touched."""
-    stored = read_compacted(spark, trend_path, compact_path)
-    short = slot_shortfall(archive, stored, key, until, slot_seconds)
+    are not touched, nor are slots before ``since``."""
+    alive = _since(archive, since)
+    days = None if since is None else sorted({
+        d for path in (trend_path, compact_path) for (d,) in partitions_of(spark, path, "day") if d >= day_label(since)})
+    stored = read_compacted(spark, trend_path, compact_path, days, trend_schema(key))
+    short = slot_shortfall(alive, stored, key, until, slot_seconds, since)
     days = sorted(r["day"] for r in short.select("day").distinct().collect())  # one number per day
     if not days:
         return []
     compact_days(spark, trend_path, compact_path, days, ["minuteslot", "rank"])
     through = dict(partitions_of(spark, compact_path, "day", "through"))
-    old = read_compacted(spark, trend_path, compact_path, days)
-    again = archive.filter(day_number(slot_start("arrived_at", slot_seconds)).isin(days))
+    old = read_compacted(spark, trend_path, compact_path, days, trend_schema(key))
+    again = alive.filter(day_number(slot_start("arrived_at", slot_seconds)).isin(days))
     fresh = trend_rows(live.slot_counts(again, key, "arrived_at", slot_seconds, with_start=True)
-                       .filter(F.col("slot_start") + slot_seconds <= until), key, k)
+                       .filter((F.col("slot_start") + slot_seconds <= until)
+                               & (F.col("slot_start") >= (since or 0))), key, k)
     slots = fresh.select("minuteslot").distinct()
     rows = old.join(slots, "minuteslot", "left_anti").unionByName(fresh)
     number = F.element_at(F.create_map(*[F.lit(x) for d in days for x in (d, through.get(d, -1))]),
