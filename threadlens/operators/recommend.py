@@ -148,6 +148,50 @@ def train_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_ITER
     return als.fit(ratings)
 
 
+def gram(factors: DataFrame, rank: int) -> np.ndarray:
+    """The sum of all factors' outer products: rank x rank numbers, added up by
+    Spark in double precision."""
+    f = F.col("features")
+    pairs = [(i, j) for i in range(rank) for j in range(i, rank)]
+    row = factors.agg(*[F.sum(f[i].cast("double") * f[j].cast("double")) for i, j in pairs]).first()
+    out = np.zeros((rank, rank))
+    for (i, j), value in zip(pairs, row):
+        out[i, j] = out[j, i] = value or 0.0
+    return out
+
+
+def fold_in(item_factors: DataFrame, ratings: DataFrame, rank: int = ALS_RANK, alpha: float = ALS_ALPHA,
+            reg: float = ALS_REG) -> DataFrame:
+    """(id, features) of the users in ``ratings`` (user, item, rating), known to
+    the model or not, from the stored item factors: the training's own last
+    step, without training again.
+
+    A user's normal equations are the items' Gram matrix plus sums over the
+    user's own items.  Those are rank * (rank + 3) / 2 partially aggregated
+    numbers per user, so a user with a third of all ratings is one row per map
+    task; only the solving of finished equations runs in Python.  A user none
+    of whose items is known has no row.
+    """
+    yty = gram(item_factors, rank)
+    rows = ratings.filter("rating > 0").join(item_factors.withColumnRenamed("id", "item"), "item")
+    c = F.lit(alpha) * F.col("rating").cast("double")
+    y = [F.col("features")[i].cast("double") for i in range(rank)]
+    pairs = [(i, j) for i in range(rank) for j in range(i, rank)]
+    sums = rows.groupBy("user").agg(
+        F.array(*[F.sum(c * y[i] * y[j]) for i, j in pairs]).alias("a"),
+        F.array(*[F.sum((1 + c) * v) for v in y]).alias("b"), F.count(F.lit(1)).alias("n"))
+
+    @F.pandas_udf("array<float>")
+    def solved(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
+        upper, right = np.stack(a.to_numpy()), np.stack(b.to_numpy())
+        left = np.zeros((len(upper), rank, rank))
+        for at, (i, j) in enumerate(pairs):
+            left[:, i, j] = left[:, j, i] = upper[:, at]
+        left += yty + (reg * n.to_numpy())[:, None, None] * np.eye(rank)
+        return pd.Series(list(np.linalg.solve(left, right[:, :, None])[:, :, 0].astype(np.float32)))
+    return sums.select(F.col("user").alias("id"), solved("a", "b", "n").alias("features"))
+
+
 #: Factors per block of the scoring grid: a cell holds two such blocks, and
 #: scores this many cells of the matrix at once.
 ALS_GRID_ROWS = 16_384

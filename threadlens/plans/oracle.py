@@ -330,6 +330,15 @@ hours AS (SELECT arrived_at - arrived_at % 3600 AS s, author, count(*) AS count
 SELECT {_label('s')} AS minuteslot, author, count, row_number() OVER (PARTITION BY s ORDER BY count DESC, author) AS rank
 FROM hours QUALIFY rank <= 20""",
 
+    "q_fold_in": _with(COMMENTS, COUNTS) + "SELECT DISTINCT author, true AS same FROM counts",
+
+    "q_schema_drift": _with(COMMENTS) + """
+SELECT id, author, created_utc, CASE WHEN "offset" % 2 = 0 THEN gilded END AS gilded,
+       CASE WHEN "offset" % 2 = 0 THEN 'RC_old' ELSE 'RC_new' END AS source_file,
+       CASE WHEN "offset" % 2 = 1 THEN "offset" % 7 END AS gold,
+       CASE WHEN "offset" % 2 = 1 THEN "offset" % 3 = 0 END AS stickied
+FROM comments""",
+
     "q_dense_ids": _with(COMMENTS, """
 firsts AS (SELECT author, min("offset" % 2) AS later FROM comments GROUP BY author)""") + """
 SELECT author, row_number() OVER (ORDER BY later, author) - 1 AS id FROM firsts""",
@@ -367,6 +376,7 @@ SELECT {_label('s')} AS minuteslot, subreddit, count FROM (
 WHERE s + 60 > (SELECT max(arrived_at) FROM recs) - 300""",
 }
 
+ORACLE["q_ingest_stream"] = ORACLE["q_ingest"]
 ORACLE["q_edges_bucketed"] = ORACLE["q_edges"]
 ORACLE["q_snapshot_sql"] = ORACLE["q_snapshot"]
 ORACLE["q_engagement_months"] = ORACLE["q_engagement"]

@@ -18,9 +18,9 @@ from threadlens.functions.ids import base36_to_long
 from threadlens.functions.timefmt import day_label, utc_month, utc_year
 from threadlens.operators import bucketed, graph, history, live, recommend, sink, sketches, snapshot
 from threadlens.session import scratch_path
-from threadlens.sources import fixtures, json_source, lists
+from threadlens.sources import drift, fixtures, json_source, lists
 from threadlens.sources.schema import COMMENT_COLUMNS, RAW_COMMENT_SCHEMA
-from threadlens.streaming import high_water, live_stream, ticks
+from threadlens.streaming import dump_stream, high_water, live_stream, ticks
 
 # Query parameters of the correctness run.
 AUTHOR = "u8"
@@ -111,6 +111,37 @@ def q_ingest_months(spark, sf):
     return _read_ingested(spark, out).join(names.select("id", "source_file").distinct(), "id")
 
 
+def q_ingest_stream(spark, sf):
+    """Monthly dumps dropped into a folder and found by three runs of the
+    ingest stream, with a fourth run that finds nothing."""
+    landing, out, dead, ckpt = (scratch_path(spark, n) for n in ("landing", "streamed", "streamed-dead", "streamed-ckpt"))
+    comments = json_source.with_month(_comments(spark, sf))
+    months = sorted((r[0], r[1]) for r in comments.select("year", "month").distinct().collect())
+    for year, month in [*months, (0, 0)]:
+        part = comments.filter((F.col("year") == year) & (F.col("month") == month))
+        if year:
+            _land_dump(part, f"{landing}/RC_{year}-{month:02d}")
+        dump_stream.start_ingest_stream(spark, landing, out, dead, ckpt).awaitTermination()
+    return _read_ingested(spark, out)
+
+
+def q_schema_drift(spark, sf):
+    """Two kinds of dump: the later one has lost a field and gained two; both
+    are read by one job, the new fields by their paths."""
+    root = scratch_path(spark, "drifting")
+    rows = _comments(spark, sf).withColumn("created_utc", F.col("created_utc").cast("string")).withColumn(
+        "code", base36_to_long("id"))
+    raw = RAW_COMMENT_SCHEMA.fieldNames()
+    rows.filter("code % 2 = 0").select(*raw).write.json(f"{root}/RC_old")
+    rows.filter("code % 2 = 1").select(*[c for c in raw if c != "gilded"], F.struct(
+        (F.col("code") % 7).alias("gold"), F.lit("x").alias("kind")).alias("awards"),
+        (F.col("code") % 3 == 0).alias("stickied")).write.json(f"{root}/RC_new")
+    found = drift.read_with_variant(spark, f"{root}/*")
+    return found.select("id", "author", "created_utc", "gilded", "source_file",
+                        drift.field("$.awards.gold", "bigint").alias("gold"),
+                        drift.field("$.stickied", "boolean").alias("stickied"))
+
+
 def q_author_count(spark, sf):
     return history.author_count(_comments(spark, sf), AUTHOR)
 
@@ -226,6 +257,19 @@ def q_author_sketches(spark, sf):
     return sketches.estimated_top(sketches.combined(spark.read.parquet(path), HOUR), "author")
 
 
+def q_fold_in(spark, sf):
+    """Factors of every author folded in from the item factors, next to the
+    training's own: the same within rounding."""
+    counts = recommend.interaction_counts(_comments(spark, sf))
+    users, items = recommend.dense_ids(counts, "author"), recommend.dense_ids(counts, "subreddit")
+    ratings = recommend.dense_ratings(counts, users, items)
+    model = recommend.train_als(ratings)
+    folded = recommend.fold_in(model.itemFactors, ratings).withColumnRenamed("features", "own")
+    gap = F.aggregate(F.zip_with("own", "features", lambda a, b: F.abs(a - b)), F.lit(0.0).cast("float"),
+                      lambda a, b: F.greatest(a, b))
+    return users.join(folded, "id").join(model.userFactors, "id").select("author", (gap < 1e-4).alias("same"))
+
+
 def q_dense_ids(spark, sf):
     """Dense user ids given twice: to the authors of even comments, then to the
     others, who come after them."""
