@@ -84,3 +84,42 @@ def test_the_estimate_keeps_pairs_with_27_of_64_common_values(spark):
     reps = spark.createDataFrame(rows, "rep long, sketch array<long>")
     pairs = spark.createDataFrame([(1, x) for x in (26, 27, 32, 33)], "a long, b long")
     assert sorted(r.b for r in near_dup.estimated(pairs, reps, 64, 75).collect()) == [27, 32, 33]
+
+
+def test_repeated_and_null_ids_lose_no_link(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, a, "s"), (5, b, "s"), (9, b + " more", "s"), (None, a, "s"), (None, a + " end", "s"), (7, a + " end", "s"),
+            (None, "c " * 30 + "alone", "s"), (None, "c " * 30 + "alone", "s"), (None, None, "s"), (None, " ", "s")]
+    out = near_dup.near_duplicates(frame(spark, rows)).collect()
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in out)
+    assert [g for g in got if g[0] == 9] == [(9, 57, 5, False)]
+    assert [g for g in got if g[0] == 7] == [(7, 57, 5, False)]
+    assert [g[2:] for g in got if g[0] == 5] == [(5, True), (5, True)]
+    assert sorted(g[2:] for g in got if g[0] == -1 and g[1] > 50) == [(5, False), (5, False)]
+    kept = near_dup.one_per_group(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id) == [5, 5]
+    assert sorted(r.text or "" for r in kept if r.doc_id is None) == ["", " ", "c " * 30 + "alone"]
+
+
+def test_against_all_pairs_with_repeated_and_null_ids(spark):
+    import random
+    rng = random.Random(12)
+    base = [prose(rng, 40) for _ in range(12)]
+    rows = []
+    for _ in range(90):
+        words = rng.choice(base).split(" ")
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 3)}"
+        rows.append((rng.choice([None, *range(40)]), " ".join(words), "s"))
+    by_row = components([(i, t, "s") for i, (_, t, _) in enumerate(rows)])
+    smallest = {}
+    for i, (doc_id, _, _) in enumerate(rows):
+        if doc_id is not None:
+            smallest[by_row[i]] = min(doc_id, smallest.get(by_row[i], doc_id))
+    want = sorted(str((doc_id, smallest.get(by_row[i]))) for i, (doc_id, _, _) in enumerate(rows))
+    out = near_dup.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(str((r.doc_id, r.component_id)) for r in out) == want
+    kept = near_dup.one_per_group(frame(spark, rows)).collect()
+    assert len(kept) == len(set(by_row.values()))
+    at = {(doc_id, t): by_row[i] for i, (doc_id, t, _) in enumerate(rows)}
+    assert len({at[(r.doc_id, r.text)] for r in kept}) == len(kept)

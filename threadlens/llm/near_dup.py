@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import small, stash
+from threadlens.llm.common import null_safe, small, stash
 from threadlens.llm.shingles import WordHashes, shingle_set
 
 SKETCH = 64
@@ -53,9 +53,9 @@ def required_overlap(size: Column, k: int, percent: int) -> Column:
 
 
 def signatures(docs: DataFrame, k: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit digest of the set; null when it is
-    empty), sketch (ascending)."""
-    schema = "doc_id long, n_shingles long, set_key string, sketch array<long>"
+    """doc_id, text_key (digest of the text), n_shingles, set_key (128-bit digest
+    of the set; null when it is empty), sketch (ascending)."""
+    schema = "doc_id long, text_key string, n_shingles long, set_key string, sketch array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -67,31 +67,33 @@ def signatures(docs: DataFrame, k: int = SKETCH) -> DataFrame:
                 keys.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
                 sketches.append(s[:k])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()),
-                 pa.array(sketches, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_key", "sketch"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.string()), pa.array(sketches, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "n_shingles", "set_key", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return _keyed(docs).mapInArrow(run, schema)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, text_key): ids may repeat or be null, so a row is named by
+    its id and the digest of its text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.md5(text).alias("text_key"))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(rep, shingles) of the documents named in ``ids`` (column rep).  A
-    repeated id gives its first set in hash order."""
+    """(rep, shingles) of the classes in ``ids`` (rep, doc_id, text_key): the
+    text of the one row that stands for each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = [shingle_set(t.as_py(), hashes) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], pa.string()),
-                 pa.array(sets, pa.list_(pa.int64()))],
-                names=["rep", "set_key", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sets, pa.list_(pa.int64()))],
+                                             names=["rep", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(
-        small(ids.select("rep", "set_key")).select("rep", F.col("set_key").alias("wanted")), "rep")
-    found = rows.select("rep", "text", "wanted")
-    sets = found.select("rep", "text").mapInArrow(run, "rep long, set_key string, shingles array<long>")
-    return sets.join(small(ids.select("rep", "set_key")), ["rep", "set_key"], "left_semi") \
-        .dropDuplicates(["rep"]).select("rep", "shingles")
+    rows = null_safe(_keyed(docs), small(ids.select("rep", "doc_id", "text_key")), ["doc_id", "text_key"])
+    # a repeated row gives its set again
+    return rows.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -222,31 +224,32 @@ def far_links(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
     return confirmed(stash(pairs, "far-pairs"), sets, percent)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, k: int = SKETCH,
-                    list_limit: int = LIST_LIMIT) -> DataFrame:
-    """Link documents whose 5-word shingle sets have Jaccard >= percent / 100.
+def _stand_in() -> Column:
+    """The row that stands for a group: the smallest id (null last), then text digest."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
 
-    Returns one row per row of ``docs``: doc_id, n_shingles, component_id (the
-    smallest doc_id reachable over links, itself included), kept (doc_id =
-    component_id).
 
-    Defined cases: a null or blank text has the empty set and no links; repeated
-    rows of one id share its component; a null id cannot end a link: such a row
-    takes its exact copies' component, or a null one, and is kept only in the
-    latter case.  Extra columns are ignored.
+def classified(docs: DataFrame, percent: int = 75, k: int = SKETCH, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """Every row of ``docs`` as (doc_id, text_key, n_shingles, label,
+    component_id): rows of one label are linked, directly or over others, and
+    component_id is the smallest id among them; a row without words has neither.
+
+    Equal shingle sets form a class, which is searched once.  Classes are
+    numbered, so neither repeated nor null ids stand for anything here.
     """
     sig = stash(signatures(docs, k), "signatures")
-    classes = sig.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    classes = sig.filter("set_key IS NOT NULL").groupBy("set_key").agg(_stand_in().alias("row")) \
+        .select("set_key", "row.doc_id", "row.text_key", F.monotonically_increasing_id().alias("rep"))
     classes = stash(classes, "classes")
-    reps = sig.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi") \
-        .dropDuplicates(["set_key"]).select(F.col("doc_id").alias("rep"), "set_key", "n_shingles", "sketch")
+    reps = null_safe(sig, classes, ["set_key", "doc_id", "text_key"]).dropDuplicates(["rep"]) \
+        .select("rep", "n_shingles", "sketch")
     reps = stash(reps, "representatives")
     lists = stash(inverted_lists(reps, k, percent), "lists")
     pairs, long = list_pairs(lists, list_limit)
     pairs = stash(estimated(stash(pairs, "pairs"), reps, k, percent), "likely-pairs")
     long = stash(long, "long-members")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(long).distinct()
-    ids = stash(ids.join(reps.select("rep", "set_key"), "rep"), "set-ids")
+    ids = stash(ids.join(classes.select("rep", "doc_id", "text_key"), "rep"), "set-ids")
     sets = stash(full_sets(docs, ids), "sets")
     edges = stash(confirmed(pairs, sets, percent), "links")
     labels = components(edges)
@@ -255,19 +258,46 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = SKETCH,
         if not more.isEmpty():
             labels = components(edges.union(more))
     moved = labels.filter("node <> label").withColumnRenamed("node", "rep")
-    found = classes.join(moved, "rep", "left").select("set_key", F.coalesce("label", "rep").alias("component"))
-    return (sig.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
-                                           F.col("component_id").isNull())))
+    found = stash(classes.join(moved, "rep", "left").select("set_key", "doc_id", F.coalesce("label", "rep").alias("label")),
+                  "class-labels")
+    found = found.join(found.groupBy("label").agg(F.min("doc_id").alias("component_id")), "label").drop("doc_id")
+    return sig.select("doc_id", "text_key", "n_shingles", "set_key").join(found, "set_key", "left").drop("set_key")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, k: int = SKETCH,
+                    list_limit: int = LIST_LIMIT) -> DataFrame:
+    """Link documents whose 5-word shingle sets have Jaccard >= percent / 100.
+
+    Returns one row per row of ``docs``: doc_id, n_shingles, component_id (the
+    smallest doc_id reachable over links, itself included), kept (doc_id =
+    component_id).
+
+    Defined cases: a null or blank text has the empty set and no links; rows of
+    one id with several texts are linked each by its own text; a row with a null
+    id is linked like any other, takes the smallest id of its component, or a
+    null one where all ids are null, and is kept only in the latter case.  Extra
+    columns are ignored.
+    """
+    own = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return classified(docs, percent, k, list_limit).select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(
+        F.col("doc_id") == own, own.isNull()).alias("kept"))
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that near-dedup keeps, with their columns: one
-    document of each component, and one of several rows with its id and text."""
-    gone = stash(near_duplicates(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-                 .distinct(), "duplicates")
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One row of ``docs`` for each group of near duplicates, with its columns:
+    the one of the smallest id (null last; of several texts of that id the one
+    of the smallest digest).  Rows without words stay; of several rows with one
+    id and text one stays."""
+    rows = stash(classified(docs, **options), "classified")
+    linked = rows.filter("label IS NOT NULL")
+    stays = linked.groupBy("label").agg(_stand_in().alias("row")).select(
+        "label", F.col("row.doc_id").alias("__id"), F.col("row.text_key").alias("__text"))
+    gone = linked.join(stays, "label").filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__text"))))
+    gone = stash(gone.select("doc_id", "text_key").distinct(), "duplicates")
+    key = F.md5(F.col("text").cast("string"))
+    left = docs.join(gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")),
+                     F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__text")), "left_anti")
     return left.dropDuplicates(["doc_id", "text"])
 
 
