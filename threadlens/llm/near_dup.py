@@ -238,9 +238,13 @@ def classified(docs: DataFrame, percent: int = 75, k: int = SKETCH, list_limit:
     numbered, so neither repeated nor null ids stand for anything here.
     """
     sig = stash(signatures(docs, k), "signatures")
-    classes = sig.filter("set_key IS NOT NULL").groupBy("set_key").agg(_stand_in().alias("row")) \
-        .select("set_key", "row.doc_id", "row.text_key", F.monotonically_increasing_id().alias("rep"))
-    classes = stash(classes, "classes")
+    classes = stash(sig.filter("set_key IS NOT NULL").groupBy("set_key").agg(_stand_in().alias("row"))
+                    .select("set_key", "row.doc_id", "row.text_key"), "class-rows")
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text_key")]
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # numbers follow the ids, so that ties between centres go to the smallest id
+    classes = stash(classes.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                    .withColumn("rep", F.monotonically_increasing_id()), "classes")
     reps = null_safe(sig, classes, ["set_key", "doc_id", "text_key"]).dropDuplicates(["rep"]) \
         .select("rep", "n_shingles", "sketch")
     reps = stash(reps, "representatives")
