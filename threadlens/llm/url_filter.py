@@ -2,41 +2,43 @@
 
 A rule is a host and the start of a path; it fits its host and all subdomains,
 and the longest one that fits decides.  Every other URL is judged by what it
-says: concatenated host names are split into words by a unigram Viterbi search
-(the unigram counts come from all page texts), and multinomial naive Bayes
-scores the segmented host and path tokens.  It learns from the pages that the
-rules decide, plus a short list of seed words.
+says: concatenated names are split into words by a unigram Viterbi search, and
+multinomial naive Bayes scores the segmented host and path tokens.  It learns
+from the pages that the rules decide, plus a short list of seed words.
+
+The unigram counts come from all words of all page texts, with no least count,
+greatest length or number of words.  They never meet as one table: the
+substrings of each distinct name are joined with the counted words, so a name
+comes to its task with just the words that occur in it.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import broadcast_fields, sigmoid, stash, text_score
+from threadlens.llm.common import small, stash
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
-VOCABULARY = 50_000
-LEAST_COUNT = 3
-COUNT_STEPS = 64
-LONGEST_WORD = 24
+#: Words up to this length are joined as substrings, longer ones by their first letters.
+SHORT_WORD = 24
 BUCKETS = 1 << 16
 SMOOTH = 0.5
 SEED_WEIGHT = 200.0
+SEED_COUNT = 300
 #: Words that speak for blocking before anything is learnt.
 SEED_WORDS = ("spam", "farm", "cheap", "pills", "casino", "viagra", "porn", "xxx", "warez", "loan", "betting")
+#: Log odds are whole multiples of this, so that their sums don't depend on order.
+STEP = 1e-6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TOKEN = re.compile(r"[^\W\d_]+|\d+")
+_NAME = r"\p{L}+|\p{Nd}+"
 
 
 def host_of(url: str = "url") -> Column:
@@ -68,13 +70,16 @@ class Segmenter:
     letter: float
 
     def __call__(self, name: str) -> list[str]:
+        lengths = sorted({len(w) for w in self.cost})
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             options = [(best[end - 1] + self.letter, end - 1)]
-            for start in range(max(0, end - LONGEST_WORD), end):
-                price = self.cost.get(name[start:end])
+            for n in lengths:
+                if n > end:
+                    break
+                price = self.cost.get(name[end - n:end])
                 if price is not None:
-                    options.append((best[start] + price, start))
+                    options.append((best[end - n] + price, end - n))
             price, start = min(options)
             best.append(price)
             back.append(start)
@@ -85,103 +90,111 @@ class Segmenter:
         return out[::-1]
 
 
-def unigrams(pages: DataFrame, vocabulary: int = VOCABULARY) -> Segmenter:
-    """Counts of words over the text of *all* pages, mark-up removed.
-
-    The most frequent, at most ``vocabulary`` of them, reach the driver: a
-    histogram of the counts in steps of a 64th of a doubling says from which
-    count on they fit, so no task sends more than its share."""
+def unigrams(pages: DataFrame, seeds: Sequence[str] = SEED_WORDS) -> DataFrame:
+    """(word, n): every word of two letters or more over the text of *all*
+    pages, mark-up removed; a seed word counts ``SEED_COUNT`` at least."""
     text = F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), r"(?s)<[^>]*>", " ")
-    words = F.explode(F.split(F.lower(text), r"[^\p{L}]+"))
-    seen = pages.select(words.alias("word")).filter("length(word) > 1").groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"))
-    seen = stash(seen.filter((F.col("n") >= LEAST_COUNT) & (F.length("word") <= LONGEST_WORD))
-                 .withColumn("step", F.floor(F.log2("n") * COUNT_STEPS).cast("int")), "words")
-    least, kept = 0, 0
-    for r in sorted(seen.groupBy("step").count().collect(), key=lambda r: -r["step"]):
-        kept += r["count"]
-        if kept > vocabulary:
-            least = r["step"] + 1
-            break
-    top = seen.filter(F.col("step") >= least).select("word", "n").collect()
-    counts = {r["word"]: r["n"] for r in top}
-    for w in SEED_WORDS:
-        counts[w] = max(counts.get(w, 0), 100 * LEAST_COUNT)
-    total = float(sum(counts.values()))
-    return Segmenter({w: float(np.log(total / n)) for w, n in counts.items()}, float(np.log(total) + 1.0))
-
-
-def tokens(host: str, path: str, segment) -> list[str]:
-    """Words of the host's labels, each split by ``segment``, and of the path;
-    the two kinds are told apart by a mark."""
-    out = [f"h:{w}" for name in _TOKEN.findall(host) for w in segment(name)]
-    return out + [f"p:{w}" for name in _TOKEN.findall(path.lower()) for w in segment(name)]
-
-
-def bucket(token: str) -> int:
-    return xxhash.xxh3_64_intdigest(token) % BUCKETS
-
-
-def _cached(segmenter: Segmenter):
-    return lru_cache(maxsize=100_000)(lambda name: tuple(segmenter(name)))
-
-
-def learnt(judged: DataFrame, segmenter: Segmenter) -> np.ndarray:
-    """Log odds of 'block' per token bucket, and the prior's in the last place,
-    counted over all pages that a rule decides.  Counts are summed by Spark
-    per (verdict, bucket): at most two rows for each bucket."""
-    shared = broadcast_fields(judged.sparkSession, segmenter)
-
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        segment = _cached(Segmenter(*shared.value))
-        for hosts, paths in batches:
-            yield pd.Series([[bucket(t) for t in tokens(h, p, segment)] for h, p in zip(hosts, paths)])
-
-    # equal hosts with equal paths are segmented once
-    known = judged.filter("rule IS NOT NULL").groupBy("host", "path", "verdict").agg(F.count(F.lit(1)).alias("n"))
-    known = known.withColumn("ids", ids("host", "path"))
+    words = pages.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word")) \
+        .filter("length(word) > 1").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    listed = pages.sparkSession.createDataFrame([(w, SEED_COUNT) for w in seeds], "word string, n long")
+    return words.union(listed).groupBy("word").agg(F.max("n").alias("n"))
+
+
+def spoken(urls: DataFrame) -> DataFrame:
+    """(url_key, kind, key, name, n): the names in the host (h) and the path
+    (p) of each distinct URL and how often it holds them; ``key`` is short
+    however long a name is."""
+    def names(part: str, kind: str) -> Column:
+        found = F.regexp_extract_all(F.lower(part), F.lit(_NAME), F.lit(0))
+        return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("name")))
+    said = urls.select("url_key", F.explode(F.concat(names("host", "h"), names("path", "p"))).alias("t"))
+    return said.groupBy("url_key", "t.kind", "t.name").agg(F.count(F.lit(1)).alias("n")) \
+        .select("url_key", "kind", F.md5("name").alias("key"), "name", "n")
+
+
+def segmented(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(key, words): each distinct name of ``names`` (key, name) split into the
+    words of ``words`` (word, n) of the highest product of probabilities."""
+    total = float(words.agg(F.sum("n")).first()[0] or 1)
+    size = F.length("name")
+    letters = names.filter(F.col("name").rlike(r"^\p{L}"))
+    starts = letters.filter(size > 1).withColumn("start", F.explode(F.sequence(F.lit(1), size - 1)))
+    sizes = F.sequence(F.lit(2), F.least(F.lit(SHORT_WORD), size - F.col("start") + 1))
+    pieces = starts.select("key", F.explode(F.transform(
+        sizes, lambda n: F.substring(F.col("name"), F.col("start"), n))).alias("word")).distinct()
+    inside = pieces.join(words, "word").select("key", "word", "n")
+    # a longer word is found by its first letters and then compared whole
+    longer = words.filter(F.length("word") > SHORT_WORD).withColumn("head", F.substring("word", 1, SHORT_WORD))
+    heads = pieces.filter(F.length("word") == SHORT_WORD).withColumnRenamed("word", "head")
+    inside = inside.union(heads.join(longer, "head").join(letters, "key")
+                          .filter(F.col("name").contains(F.col("word"))).select("key", "word", "n"))
+    priced = inside.groupBy("key").agg(F.collect_list(F.struct("word", (F.log(F.lit(total)) - F.log("n")).alias("cost")))
+                                       .alias("w"))
+    letter = float(np.log(total) + 1.0)
+
+    @F.pandas_udf("array<string>")
+    def split(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for names, known, costs in parts:
+            yield pd.Series([Segmenter(dict(zip(w, c)) if w is not None else {}, letter)(name)
+                             for name, w, c in zip(names, known, costs)])
+
+    return names.join(priced, "key", "left").select("key", split("name", "w.word", "w.cost").alias("words"))
+
+
+def bucket(kind: str, word: str) -> Column:
+    return F.pmod(F.xxhash64(F.concat_ws(":", kind, word)), F.lit(BUCKETS)).cast("int")
+
+
+def learnt(said: DataFrame, judged: DataFrame, words_of: DataFrame,
+           seeds: Sequence[str] = SEED_WORDS) -> tuple[np.ndarray, float]:
+    """(log odds of 'block' per token bucket, the prior's), counted over all
+    pages of ``judged`` (url_key, verdict).  Counts are summed by Spark: names
+    by verdict before they are split, then two rows for each bucket at most."""
+    pages = judged.groupBy("url_key", "verdict").agg(F.count(F.lit(1)).alias("pages"))
+    names = said.join(pages, "url_key").groupBy("verdict", "kind", "key").agg(F.sum(F.col("n") * F.col("pages")).alias("n"))
+    tokens = names.join(words_of, "key").select("verdict", "kind", "n", F.explode("words").alias("word"))
     counts = np.full((2, BUCKETS), 0.0)
-    for r in known.select("verdict", "n", F.explode("ids").alias("id")).groupBy("verdict", "id") \
-            .agg(F.sum("n").alias("n")).collect():
-        counts[int(r["verdict"] == "block"), r["id"]] += r["n"]
-    pages = {r["verdict"]: r["n"] for r in known.groupBy("verdict").agg(F.sum("n").alias("n")).collect()}
-    for w in SEED_WORDS:
-        for kind in "hp":
-            counts[1, bucket(f"{kind}:{w}")] += SEED_WEIGHT
+    for r in tokens.groupBy("verdict", bucket("kind", "word").alias("b")).agg(F.sum("n").alias("n")).collect():
+        counts[int(r["verdict"] == "block"), r["b"]] += r["n"]
+    listed = judged.sparkSession.createDataFrame([(k, w) for k in "hp" for w in seeds], "kind string, word string")
+    for r in listed.select(bucket("kind", "word").alias("b")).collect():
+        counts[1, r["b"]] += SEED_WEIGHT
     counts += SMOOTH
     logs = np.log(counts / counts.sum(1, keepdims=True))
-    prior = np.log((pages.get("block", 0) + 1) / (pages.get("allow", 0) + 1))
-    return np.r_[logs[1] - logs[0], prior]
+    seen = {r["verdict"]: r["n"] for r in pages.groupBy("verdict").agg(F.sum("pages").alias("n")).collect()}
+    return logs[1] - logs[0], float(np.log((seen.get("block", 0) + 1) / (seen.get("allow", 0) + 1)))
 
 
-def judged_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+def judged_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
+                seeds: Sequence[str] = SEED_WORDS, fit: Column | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, score (odds of 'block' by the
-    method, for every URL).
+    method, for every URL).  ``fit`` picks the pages, among those that a rule
+    decides, to learn from: all of them unless given.
 
     Defined cases: a null URL or one without :// has an empty host and path,
     no rule, and the verdict of the prior; a null html adds no words; repeated
     rows get equal verdicts; a score of exactly 1/2 blocks.
     """
     spark = pages.sparkSession
-    parts = pages.select("page_id", host_of().alias("host"), path_of().alias("path")) \
-        .withColumn("r", rule_of(rules)).select("page_id", "host", "path", "r.rule", "r.verdict")
-    parts = stash(parts, "urls")
-    segmenter = unigrams(pages)
-    odds = learnt(parts, segmenter)
-    words, weights = broadcast_fields(spark, segmenter), spark.sparkContext.broadcast(odds)
-
-    def setup():
-        odds = weights.value
-        segment = _cached(Segmenter(*words.value))
-
-        def score(urls):
-            z = [odds[-1] + sum(odds[bucket(t)] for t in tokens(*u.split("\n", 1), segment)) for u in urls]
-            return sigmoid(np.array(z, np.float64))
-        return score
-
-    # a host holds no line break once they are blanked, so one column carries both
-    url = F.concat(F.translate("host", "\n", " "), F.lit("\n"), F.col("path"))
-    return parts.withColumn("score", text_score(setup)(url)) \
-        .withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") >= 0.5, "block").otherwise("allow"))) \
-        .select("page_id", "host", "path", "rule", "verdict", "score")
+    parts = pages.select("page_id", host_of().alias("host"), path_of().alias("path"),
+                         F.coalesce(F.lit(True) if fit is None else fit, F.lit(False)).alias("fit"))
+    parts = parts.withColumn("url_key", F.md5(F.concat("host", F.lit("\n"), "path"))).withColumn("r", rule_of(rules))
+    parts = stash(parts.select("page_id", "host", "path", "url_key", "fit", "r.rule", "r.verdict"), "urls")
+    said = stash(spoken(parts.dropDuplicates(["url_key"])), "url-names")
+    words = stash(unigrams(pages, seeds), "words")
+    words_of = stash(segmented(said.select("key", "name").distinct(), words), "segmented")
+    odds, prior = learnt(said, parts.filter("rule IS NOT NULL AND fit").select("url_key", "verdict"), words_of, seeds)
+    steps = pd.DataFrame({"bucket": np.arange(BUCKETS, dtype=np.int32), "odds": np.rint(odds / STEP).astype(np.int64)})
+    steps = F.broadcast(spark.createDataFrame(steps, "bucket int, odds long"))  # BUCKETS rows
+    tokens = words_of.select("key", F.explode(F.array(F.lit("h"), F.lit("p"))).alias("kind"), "words") \
+        .select("key", "kind", F.explode("words").alias("word"))
+    of_name = tokens.join(steps, bucket("kind", "word") == F.col("bucket")).groupBy("key", "kind") \
+        .agg(F.sum("odds").alias("odds"))
+    of_name = small(stash(of_name, "name-odds"))
+    of_url = said.join(of_name, ["key", "kind"]).groupBy("url_key").agg(F.sum(F.col("n") * F.col("odds")).alias("odds"))
+    z = F.coalesce("odds", F.lit(0)) + F.lit(int(np.rint(prior / STEP)))
+    logit = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z * F.lit(STEP)))
+    return parts.join(of_url, "url_key", "left").select(
+        "page_id", "host", "path", "rule",
+        F.coalesce("verdict", F.when(z >= 0, "block").otherwise("allow")).alias("verdict"),
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))).alias("score"))
