@@ -122,8 +122,8 @@ def test_scores_against_brute_force(spark, seeds):
     want = brute_scores(pages, seeds)
     assert set(got) == set(want)
     for i, score in want.items():
-        assert got[i].score == pytest.approx(score, abs=1e-2 if abs(score - 0.5) < 0.4 else 1e-3)
-        if got[i].rule is None and abs(score - 0.5) > 1e-2:
+        assert got[i].score == pytest.approx(score, abs=1e-4)
+        if got[i].rule is None and abs(score - 0.5) > 1e-4:
             assert got[i].verdict == ("block" if score >= 0.5 else "allow")
 
 
