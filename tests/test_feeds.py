@@ -10,7 +10,8 @@ from conftest import SF001
 from threadlens.operators import live, recommend
 from threadlens.plans import queries as Q
 from threadlens.session import scratch_path
-from threadlens.sources import drift, json_source
+from threadlens.sources import drift, fixtures, json_source
+from threadlens.sources.schema import FEED_PAGE_SCHEMA
 from threadlens.streaming import dump_stream, lag, live_stream
 
 
@@ -112,3 +113,13 @@ def test_fold_in_is_the_trainings_own_step(spark):
     assert max(np.abs(own[u] - folded[u]).max() for u in own) < 1e-5 * max(np.abs(v).max() for v in own.values()) + 1e-6
     new = spark.createDataFrame([(999, 0, 3.0), (999, 1, 0.0), (998, 12345, 1.0)], "user int, item int, rating float")
     assert [r.id for r in recommend.fold_in(model.itemFactors, new).collect()] == [999]
+
+
+def test_landed_pages_read_back_whole(spark):
+    """Pages landed as JSON hold every page and comment of those in memory."""
+    pages = live.pages_from_records(fixtures.load_comments(spark, SF001, with_arrival=True))
+    landed = Q._landed_pages(spark, SF001)
+    assert landed.schema == FEED_PAGE_SCHEMA
+    flat, want = live.flatten_pages(landed), live.flatten_pages(pages)
+    assert flat.count() == want.count() > 1000
+    assert flat.exceptAll(want).isEmpty()
