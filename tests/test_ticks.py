@@ -3,6 +3,9 @@
 import json
 import time
 
+import pytest
+from pyspark.sql import Row
+
 from threadlens.operators import live
 from threadlens.operators.sink import partitions_of
 from threadlens.plans import queries as Q
@@ -121,3 +124,73 @@ def test_a_replayed_batch_starts_from_the_marks_before_it(spark):
     assert {tuple(r) for r in high_water.marks_before(spark, path, 2).collect()} == {("a", 9), ("b", 2)}
     assert high_water.marks_before(spark, path, 0).isEmpty()
     assert live.TREND_TTL_SECONDS == 300
+
+
+class _Calls:
+    """A state handle and list state that count their calls."""
+
+    def __init__(self, calls=None):
+        self.calls, self.rows = ([] if calls is None else calls), []
+
+    def getListState(self, *a, **kw):
+        return _Calls(self.calls)
+
+    def registerTimer(self, ms):
+        self.calls.append(ms)
+
+    def exists(self):
+        self.calls.append("exists")
+        return bool(self.rows)
+
+    def appendValue(self, row):
+        self.calls.append("append")
+        self.rows.append(row)
+
+    def get(self):
+        self.calls.append("get")
+        return iter(self.rows)
+
+    def clear(self):
+        self.calls.append("clear")
+        self.rows.clear()
+
+
+def test_state_calls_do_not_grow_with_names():
+    counter, handle = ticks.SlotCounter(60, 5, 300), _Calls()
+    counter.init(handle)
+    key = ("author", 600, 3)
+    for _ in range(2):
+        list(counter.handleInputRows(key, [Row(name=f"u{n}") for n in range(5000)], None))
+    rows = list(counter.handleExpiredTimer(key, None, None))
+    assert {(r.name, r["count"], r.late) for r in rows} == {(f"u{n}", 2, False) for n in range(5000)}
+    assert len(handle.calls) < 12 and [c for c in handle.calls if isinstance(c, int)] == [665_000]
+    list(counter.handleInputRows(key, [Row(name="u7"), Row(name="new")], None))
+    rows = list(counter.handleExpiredTimer(key, None, None))
+    assert {(r.name, r["count"], r.late) for r in rows} == {("u7", 1, True), ("new", 1, False)}
+
+
+def test_closed_slots_are_written_by_every_state_partition(spark):
+    src, out, ck = (scratch_path(spark, n) for n in ("p-src", "p-out", "p-ck"))
+    _land(spark, src, [(n, 1704153540 + n, f"s{n % 7}", f"u{n}") for n in range(300)])
+    ticks.drain(ticks.start_ticks(live_stream.file_source(spark, src), out, ck, state_partitions=4))
+    table = spark.read.parquet(out)
+    assert len(table.inputFiles()) > len(partitions_of(spark, out, "day", "batch"))
+    assert ticks.closed_counts(table).agg({"count": "sum"}).first()[0] == 600
+
+
+class _Busy:
+    """A query that still reads when its time is up."""
+    isActive, lastProgress, stopped = True, {"numInputRows": 5, "batchId": 0}, False
+
+    def exception(self):
+        return None
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_drain_cut_short_is_an_error():
+    query = _Busy()
+    with pytest.raises(TimeoutError):
+        ticks.drain(query, timeout=0.3)
+    assert query.stopped

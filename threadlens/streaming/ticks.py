@@ -2,14 +2,17 @@
 end a slot.
 
 Every record counts once for its subreddit and once for its author; both
-listeners share one read of the topic and one state.  A counter is keyed by
-(kind, name), so a busy subreddit holds a few numbers, never its records.
-Its slots follow arrival, and a processing-time timer per open slot fires
-``linger`` seconds after the slot's end: the count goes out and leaves the
-state.  A closed slot is remembered for ``ttl`` seconds; what still comes in
-for it goes out as a correction (``late``), so the sums of all rows are exact
-however a topic is cut into batches.  The state store drops forgotten slots by
-its own time to live.
+listeners share one read of the topic and one state.  The counts of a slot are
+kept per (kind, slot, part), a part being a share of the names by their hash:
+a batch adds one list of (name, count) to each, so the calls to the state grow
+with slots and not with names, and a busy subreddit holds one number per
+batch, never its records.  Slots follow arrival, and a processing-time timer
+per (kind, slot, part) fires ``linger`` seconds after the slot's end: the
+counts go out and leave the state.  The names of a closed slot are remembered
+for ``ttl`` seconds; what still comes in for one of them goes out as a
+correction (``late``), so the sums of all rows are exact however a topic is
+cut into batches.  The state store drops forgotten slots by its own time to
+live.
 """
 
 from __future__ import annotations
@@ -29,39 +32,42 @@ from threadlens.operators.sink import overwrite_partitions
 from threadlens.streaming.live_stream import _start
 
 KINDS = ("subreddit", "author")
+#: Shares of a slot's names, each counted by its own key of the state.
+PARTS = 8
 OUT = "kind string, name string, slot_start long, count long, late boolean"
 
 
 class SlotCounter(StatefulProcessor):
-    """Counts of one (kind, name) per open slot; closed slots under a TTL."""
+    """Counts of one (kind, slot, part) while its slot is open; the names of a
+    closed slot under a TTL."""
 
     def __init__(self, slot_seconds: int, linger: int, ttl: int):
         self.slot_seconds, self.linger, self.ttl = slot_seconds, linger, ttl
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "slot long", "count long")  # each slot's timer takes it out
-        self.closed = handle.getMapState("closed", "slot long", "count long", ttlDurationMs=1000 * self.ttl)
+        self.open = handle.getListState("open", "names array<string>, counts array<long>")  # the timer clears it
+        self.closed = handle.getListState("closed", "names array<string>", ttlDurationMs=1000 * self.ttl)
 
     def _closes_ms(self, slot: int) -> int:
         return 1000 * (slot + self.slot_seconds + self.linger)
 
     def handleInputRows(self, key, rows: Iterable, timerValues) -> Iterator[Row]:
-        for slot, n in Counter(r.slot_start for r in rows).items():
-            before = self.open.getValue((slot,))
-            self.open.updateValue((slot,), ((before[0] if before else 0) + n,))
-            if before is None:
-                self.handle.registerTimer(self._closes_ms(slot))
+        counts = Counter(r.name for r in rows)
+        if not self.open.exists():
+            self.handle.registerTimer(self._closes_ms(key[1]))
+        self.open.appendValue((list(counts), list(counts.values())))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        due = [(s[0], n[0]) for s, n in self.open.iterator() if self._closes_ms(s[0]) <= now]
-        for slot, n in due:
-            before = self.closed.getValue((slot,))
-            self.closed.updateValue((slot,), (n + (before[0] if before else 0),))
-            self.open.removeKey((slot,))
-            yield Row(kind=key[0], name=key[1], slot_start=slot, count=n, late=before is not None)
+        counts: Counter = Counter()
+        for names, numbers in self.open.get():
+            counts.update(dict(zip(names, numbers)))
+        self.open.clear()
+        told = {n for (names,) in self.closed.get() for n in names}
+        self.closed.appendValue((list(counts),))
+        for name, n in counts.items():
+            yield Row(kind=key[0], name=name, slot_start=key[1], count=n, late=name in told)
 
     def close(self) -> None:
         pass
@@ -78,36 +84,43 @@ def listened(records: DataFrame, slot_seconds: int = 60) -> DataFrame:
 
 def start_ticks(records: DataFrame, sink_path: str, checkpoint: str, slot_seconds: int = 60, linger: int = 5,
                 ttl: int = live.TREND_TTL_SECONDS, processing_time: str = "1 second",
-                state_partitions: int | None = None) -> StreamingQuery:
+                state_partitions: int | None = None, parts: int = PARTS) -> StreamingQuery:
     """Count per slot for both listeners and append what closes to ``sink_path``
-    in (day, batch) folders, which a replayed batch overwrites.  A clock needs a
-    running query, so there is no ``availableNow``; see ``drain``."""
-    closed = listened(records, slot_seconds).groupBy("kind", "name").transformWithState(
+    in (day, batch) folders, which a replayed batch overwrites; each state
+    partition writes what it closes.  ``parts`` spreads a slot with very many
+    names and stays as the checkpoint was started.  A clock needs a running
+    query, so there is no ``availableNow``; see ``drain``."""
+    named = listened(records, slot_seconds).withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int"))
+    closed = named.groupBy("kind", "slot_start", "part").transformWithState(
         SlotCounter(slot_seconds, linger, ttl), OUT, "append", "processingTime")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("day", day_number("slot_start")).withColumn("batch", F.lit(batch_id))
-        overwrite_partitions(rows.coalesce(1), sink_path, ["day", "batch"])
+        overwrite_partitions(rows, sink_path, ["day", "batch"])
     return _start(closed.writeStream.foreachBatch(write), checkpoint, False, processing_time, records.sparkSession,
                   state_partitions, rocksdb=True)
 
 
-def drain(query: StreamingQuery, quiet_batches: int = 2, timeout: float = 600) -> None:
+def drain(query: StreamingQuery, quiet_batches: int = 2, timeout: float | None = None) -> None:
     """Wait until the source has been read and ``quiet_batches`` batches without
-    input have passed, then stop the query; an error of the query is raised."""
-    until, first = time.time() + timeout, None
-    while query.isActive and time.time() < until:
+    input have passed, then stop the query; an error of the query is raised.
+    A ``timeout`` (seconds) that passes before also stops it and is an error:
+    what the query had not read yet would be missing."""
+    until, first, drained = time.time() + (timeout or float("inf")), None, False
+    while query.isActive and time.time() < until and not drained:
         last = query.lastProgress
         if last is None or last["numInputRows"]:
             first = None
         elif first is None:
             first = last["batchId"]
-        elif last["batchId"] - first >= quiet_batches:
-            break
+        else:
+            drained = last["batchId"] - first >= quiet_batches
         time.sleep(0.1)
     if query.exception() is not None:
         raise query.exception()
     query.stop()
+    if not drained:
+        raise TimeoutError("the query ended before its source was read")
 
 
 def closed_counts(table: DataFrame) -> DataFrame:
