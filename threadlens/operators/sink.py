@@ -62,12 +62,29 @@ def drop_partition(spark: SparkSession, path: str, **values: int) -> None:
 BUCKET_ROWS, LEAST_BUCKETS = 500_000, 8
 
 
-def bucket_number(spark: SparkSession, path: str) -> int | None:
-    """The number of buckets that a keyed table was made with, kept as the name
-    of a folder that readers pass over."""
+def kept_number(spark: SparkSession, path: str, name: str) -> int | None:
+    """A number that a table was made with, kept as the name of an empty folder
+    ``name=number`` that readers pass over."""
     fs, root = _folder(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-    return next((int(n.split("=")[1]) for n in names if n.startswith("_buckets=")), None)
+    return next((int(n.split("=")[1]) for n in names if n.startswith(f"{name}=")), None)
+
+
+def keep_number(spark: SparkSession, path: str, name: str, number: int) -> None:
+    fs, marker = _folder(spark, f"{path}/{name}={number}")
+    fs.mkdirs(marker)
+
+
+def file_number(spark: SparkSession, path: str) -> int:
+    """The number of data files directly under ``path``."""
+    fs, root = _folder(spark, path)
+    return sum(s.isFile() and s.getPath().getName().startswith("part-") for s in fs.listStatus(root)) \
+        if fs.exists(root) else 0
+
+
+def bucket_number(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets that a keyed table was made with."""
+    return kept_number(spark, path, "_buckets")
 
 
 def upsert_table(rows: DataFrame, path: str, keys: Sequence[str], version: Sequence[Column],
@@ -86,8 +103,7 @@ def upsert_table(rows: DataFrame, path: str, keys: Sequence[str], version: Seque
     stored_number = bucket_number(spark, path)
     number = stored_number or buckets or max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
     if stored_number is None:
-        fs, marker = _folder(spark, f"{path}/_buckets={number}")
-        fs.mkdirs(marker)
+        keep_number(spark, path, "_buckets", number)
     new = rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int"))
     if partitions_of(spark, path, "bucket"):
         stored = spark.read.parquet(path)

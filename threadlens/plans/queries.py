@@ -449,7 +449,7 @@ def q_dead_letter(spark, sf):
 # ---- live: streams --------------------------------------------------------------
 
 def _landed_records(spark, sf, junk: bool = False, rate=MINUTE_RATE, **options) -> str:
-    """The topic as four files in offset order: four triggers."""
+    """The topic as four chunks of files in offset order: four triggers."""
     path = scratch_path(spark, "records")
     live_stream.land_records((_messages_with_junk if junk else _messages)(spark, sf, rate), path, **options)
     return path
