@@ -3,6 +3,7 @@ import random
 from corpus_helpers import SCHEMA, components, frame, odd_rows, prose, shingles, with_clashes
 
 from threadlens.llm import near_dup
+from threadlens.plans.inspect import explain_string
 
 
 def edited(rng, text, n):
@@ -79,6 +80,19 @@ def test_one_per_group_keeps_columns_and_one_of_each(spark):
     assert ids.count(None) == 2
 
 
+def test_one_per_group_shuffles_no_text_but_repeated_rows(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 40), "s") for i in range(20)]
+    rows += [(20, rows[3][1], "t"), (21, rows[4][1] + " end", "t")]
+    kept = near_dup.one_per_group(frame(spark, rows))
+    assert "hashpartitioning" not in explain_string(kept)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+    repeated = [(5, rows[5][1], "u"), (20, rows[3][1], "u"), (30, None, "s"), (30, None, "u"), (None, " ", "s"), (None, " ", "u")]
+    got = near_dup.one_per_group(frame(spark, rows + repeated)).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [*range(20), 30]
+    assert len(got) == 22
+
+
 def test_the_estimate_keeps_pairs_with_27_of_64_common_values(spark):
     rows = [(1, list(range(64)))] + [(x, list(range(x)) + list(range(1000 * x, 1000 * x + 64 - x))) for x in (26, 27, 32, 33)]
     reps = spark.createDataFrame(rows, "rep long, sketch array<long>")

@@ -245,8 +245,9 @@ def classified(docs: DataFrame, percent: int = 75, k: int = SKETCH, list_limit:
     # numbers follow the ids, so that ties between centres go to the smallest id
     classes = stash(classes.repartitionByRange(n, *order).sortWithinPartitions(*order)
                     .withColumn("rep", F.monotonically_increasing_id()), "classes")
-    reps = null_safe(sig, classes, ["set_key", "doc_id", "text_key"]).dropDuplicates(["rep"]) \
-        .select("rep", "n_shingles", "sketch")
+    # any row of a class has its sketch: dealt by class once, copies joined before
+    reps = sig.filter("set_key IS NOT NULL").select("set_key", "n_shingles", "sketch").dropDuplicates(["set_key"]) \
+        .join(classes.select("set_key", "rep"), "set_key").select("rep", "n_shingles", "sketch")
     reps = stash(reps, "representatives")
     lists = stash(inverted_lists(reps, k, percent), "lists")
     pairs, long = list_pairs(lists, list_limit)
@@ -299,10 +300,21 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
     gone = linked.join(stays, "label").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__text"))))
     gone = stash(gone.select("doc_id", "text_key").distinct(), "duplicates")
-    key = F.md5(F.col("text").cast("string"))
-    left = docs.join(gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")),
-                     F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__text")), "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    again = stash(rows.groupBy("doc_id", "text_key").count().filter("count > 1").select("doc_id", "text_key")
+                  .subtract(gone), "repeated")
+    if again.isEmpty():
+        return _named(docs, gone, "left_anti")
+    # only rows that are repeated are shuffled with their texts
+    return _named(docs, stash(gone.union(again), "set-aside"), "left_anti").union(
+        _named(docs, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def _named(docs: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text_key) is among ``names`` or, by
+    ``left_anti``, is not."""
+    names = small(names.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")))
+    return docs.join(names, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+                     & F.md5(F.col("text").cast("string")).eqNullSafe(F.col("__text")), how)
 
 
 ORACLE = r"""
